@@ -1,0 +1,186 @@
+"""Calendar, money, code and address expressions."""
+
+from datetime import date, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tillgrid.functions import codes
+from tillgrid.functions.a1 import address
+from tillgrid.functions.money import rounded_share, vat_net
+from tillgrid.functions.periods import (
+    between_days,
+    calendar_day,
+    calendar_days,
+    in_year,
+    period_of,
+    week_calendar,
+    week_mode1,
+)
+
+
+def expected_week(day: date) -> int:
+    """Week 1 is the ISO week 1; days of other ISO years count on from the near one."""
+    iso_year, week, _ = day.isocalendar()
+    if iso_year < day.year:
+        return 0
+    if iso_year > day.year:
+        return (day - timedelta(days=7)).isocalendar()[1] + 1
+    return week
+
+
+def test_week_mode1_over_half_a_century(spark):
+    days = spark.sql(
+        "select explode(sequence(date'1990-01-01', date'2045-12-31', interval 1 day)) as day"
+    )
+    rows = days.select("day", week_mode1(F.col("day")).alias("week")).collect()
+    assert len(rows) == 20454
+    assert [row for row in rows if row.week != expected_week(row.day)] == []
+
+
+def test_week_mode1_at_the_turn_of_the_year(spark):
+    days = ["2021-01-01", "2025-12-29", "2025-01-06"]
+    frame = spark.createDataFrame([(day,) for day in days], "text string")
+    weeks = frame.select(week_mode1(calendar_day(frame, "text"))).collect()
+    assert [row[0] for row in weeks] == [0, 53, 2]
+
+
+def test_bad_date_text_has_no_period(spark):
+    frame = spark.createDataFrame([("2025-13-45",), ("",), (None,)], "text string")
+    rows = frame.select(period_of(calendar_day(frame, "text"), "month")).collect()
+    assert [row[0] for row in rows] == [None] * 3
+
+
+def test_date_ranges_include_both_days_for_every_type(spark):
+    texts = [
+        "2024-12-31 23:59:59",
+        "2025-01-01",
+        "2025-01-01 00:00:00",
+        "2025-08-08 23:59:59",
+        "2025-08-09 00:00:00",
+    ]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string").select(
+        "text",
+        F.col("text").cast("timestamp").alias("at"),
+        F.col("text").cast("timestamp_ntz").alias("local_at"),
+        F.col("text").cast("timestamp").cast("date").alias("day"),
+    )
+    for name in frame.columns:
+        kept = frame.filter(between_days(frame, name, "2025-01-01", "2025-08-08")).collect()
+        assert [row.text for row in kept] == texts[1:4], name
+        assert frame.filter(in_year(frame, name, 2024)).count() == 1
+
+
+def test_week_calendar(spark):
+    weeks = week_calendar(spark, "2024-12-30", 32).collect()
+    assert len(weeks) == 32
+    assert (weeks[0].week_start, weeks[0].week_end) == (date(2024, 12, 30), date(2025, 1, 5))
+    assert (weeks[31].week_start, weeks[31].week_end) == (date(2025, 8, 4), date(2025, 8, 10))
+    assert calendar_days(spark, "2024-12-30", 32).select("day").distinct().count() == 224
+
+
+def half_up(value: Decimal, digits: int = 0) -> Decimal:
+    return value.quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(-(10**13), 10**13), min_size=1, max_size=50))
+def test_vat_net_equals_exact_division(spark, cents):
+    frame = spark.createDataFrame([(cent, Decimal(cent) / 100) for cent in cents],
+                                  "units bigint, price decimal(18,2)")
+    rows = frame.select(
+        "units", vat_net(F.col("units"), True), "price", vat_net(F.col("price"), False)
+    ).collect()
+    for units, net_units, price, net_price in rows:
+        assert net_units == half_up(Decimal(units) * 10 / 11)
+        assert net_price == half_up(price * 10 / 11)
+
+
+def test_vat_net_tie_rounds_away_from_zero(spark):
+    frame = spark.createDataFrame(
+        [(Decimal("0.55"),), (Decimal("-0.55"),)], "price decimal(18,2)"
+    )
+    assert [row[0] for row in frame.select(vat_net(F.col("price"), False)).collect()] == [1, -1]
+
+
+@settings(max_examples=20, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.integers(-(10**12), 10**12), st.integers(-(10**12), 10**12)),
+        min_size=1,
+        max_size=50,
+    )
+)
+def test_rounded_share_equals_exact_division(spark, pairs):
+    frame = spark.createDataFrame(pairs, "part bigint, total bigint")
+    rows = frame.select(
+        "part",
+        "total",
+        rounded_share(F.col("part"), F.col("total"), 2),
+        rounded_share(F.col("part"), F.col("total"), 1, percent=True),
+    ).filter(F.abs("part") <= F.abs("total") * 10**4)
+    for part, total, share, percent in rows.collect():
+        if total == 0:
+            assert share is None and percent is None
+        else:
+            exact = Decimal(part) / Decimal(total)
+            assert share == half_up(exact, 2)
+            assert percent == half_up(exact * 100, 1)
+
+
+def test_labels(spark):
+    frame = spark.createDataFrame([("SHIPPING",), ("NEW",), (None,)], "code string")
+    shipment = codes.label(F.col("code"), codes.SHIPMENT_STATUS, codes.SHIPMENT_STATUS_OTHER)
+    item = codes.label(F.col("code"), codes.ITEM_STATUS, codes.ITEM_STATUS_OTHER)
+    assert [tuple(row) for row in frame.select(shipment, item).collect()] == [
+        ("배송중", "UNKNOWN"),
+        ("기타", "UNKNOWN"),
+        ("기타", "UNKNOWN"),
+    ]
+
+
+def test_referral_types(spark):
+    frame = spark.createDataFrame(
+        [("#A1",), ("u1",), ("u-1",), ("-u",), ("",), (None,)], "name string"
+    )
+    strict = codes.referral_type(F.col("name"), strict=True)
+    loose = codes.referral_type(F.col("name"), strict=False)
+    agency, friend = codes.AGENCY_REFERRAL, codes.FRIEND_REFERRAL
+    assert [tuple(row) for row in frame.select(strict, loose).collect()] == [
+        (agency, agency),
+        (friend, friend),
+        (None, friend),
+        (None, None),
+        (None, None),
+        (None, None),
+    ]
+
+
+def test_basket_bands_are_half_open(spark):
+    totals = [149_999, 150_000, 199_999, 200_000, 250_000, 299_999, 300_000, None]
+    frame = spark.createDataFrame([(total,) for total in totals], "total bigint")
+    bands = [row[0] for row in frame.select(codes.basket_band(F.col("total"))).collect()]
+    assert bands == [
+        "under_150k",
+        "from_150k",
+        "from_150k",
+        "from_200k",
+        "from_250k",
+        "from_250k",
+        "from_300k",
+        None,
+    ]
+
+
+def test_delivery_type_without_courier_is_parcel(spark):
+    frame = spark.createDataFrame([("SFN",), ("POST",), (None,)], "courier string")
+    kinds = [row[0] for row in frame.select(codes.delivery_type(F.col("courier"))).collect()]
+    assert kinds == [codes.DIRECT, codes.PARCEL, codes.PARCEL]
+
+
+def test_addresses(spark):
+    frame = spark.createDataFrame([(1,), (26,), (27,), (33,), (52,), (53,)], "number int")
+    cells = [row[0] for row in frame.select(address(F.lit(7), F.col("number"))).collect()]
+    assert cells == ["A7", "Z7", "AA7", "AG7", "AZ7", "BA7"]

@@ -86,16 +86,3 @@ def calendar_days(spark: SparkSession, first_monday: str, weeks: int) -> DataFra
     """The week calendar with one row per day, for equi joins on the day."""
     days = F.sequence("week_start", "week_end")
     return week_calendar(spark, first_monday, weeks).select("*", F.explode(days).alias("day"))
-
-
-def calendar_week_of_text(text: Column, first_monday: str, weeks: int) -> Column:
-    """Calendar week of a date held as text, by string comparison.
-
-    The comparison is on text on purpose: ``2025-1-8`` belongs to no week, and
-    a time after the date leaves the last day of a week out.
-    """
-    weeks_listed = week_starts(first_monday, weeks)
-    starts = F.lit([start for _, start, _ in weeks_listed])
-    ends = F.lit([end for _, _, end in weeks_listed])
-    number = F.size(F.filter(starts, lambda start: start <= text))
-    return F.when(text <= F.get(ends, number - 1), number)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrid.functions.periods import calendar_week_of_text
+from tillgrid.functions.periods import calendar_days
 
 # What a filled cell, an error cell and a number look like.
 NOT_BLANK = r"(?U)\S"
@@ -20,22 +20,23 @@ def ads_clean(grid: DataFrame) -> DataFrame:
     Blank rows go, error cells and empty cells become 0, separators and percent
     signs are dropped, and what still is no number becomes 0.
     """
-    texts = [F.coalesce(F.col(name), F.lit("")) for name in grid.columns]
-    filled = F.concat(*texts).rlike(NOT_BLANK)
+    metrics = [name for name in grid.columns if name != "date"]
+    cells = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in grid.columns]
 
-    def without_errors(name: str) -> Column:
-        text = F.coalesce(F.col(name), F.lit(""))
-        error = (F.upper(text) == ERROR_CELL) | text.isin(ERROR_CELLS_AT_LOAD)
-        return F.when(error, "0").otherwise(text)
+    def without_error(name: str) -> Column:
+        error = (F.upper(name) == ERROR_CELL) | F.col(name).isin(ERROR_CELLS_AT_LOAD)
+        return F.when(error, "0").otherwise(F.col(name)).alias(name)
 
     def number(name: str) -> Column:
-        text = F.regexp_replace(without_errors(name), "[,%]", "")
-        value = F.when(text.rlike(NUMBER), text.try_cast("double"))
+        value = F.when(F.col(name).rlike(NUMBER), F.col(name).try_cast("double"))
         return F.coalesce(value, F.lit(0.0)).alias(name)
 
-    return grid.filter(filled).select(
-        without_errors("date").alias("date"),
-        *[number(name) for name in grid.columns if name != "date"],
+    return (
+        grid.select(*cells)
+        .filter(F.concat(*grid.columns).rlike(NOT_BLANK))
+        .select(*[without_error(name) for name in grid.columns])
+        .select("date", *[F.regexp_replace(name, "[,%]", "").alias(name) for name in metrics])
+        .select("date", *[number(name) for name in metrics])
     )
 
 
@@ -51,10 +52,21 @@ def _figures(ads: DataFrame, *by: str) -> DataFrame:
 def ads_weekly(ads: DataFrame, first_monday: str, weeks: int) -> DataFrame:
     """Sums and unweighted mean ROAS by calendar week, cut to integers.
 
-    Dates are compared as text; a date in no week is left out.
+    Dates stay texts: a row is in a week if its date sorts from the week's first
+    to its last day. So a time after the date is fine on all days but the last,
+    which it would sort behind, and a date not written in full, as ``2025-1-8``,
+    is in no week. The calendar has seven rows per week, so broadcasting it is
+    safe.
     """
-    week = calendar_week_of_text(F.col("date"), first_monday, weeks)
-    return _figures(ads.withColumn("period", week).filter(F.col("period").isNotNull()), "period")
+    calendar = calendar_days(ads.sparkSession, first_monday, weeks).select(
+        F.col("week").alias("period"),
+        F.col("day").cast("string").alias("day_text"),
+        (F.col("day") == F.col("week_end")).alias("ends_week"),
+    )
+    in_week = (F.substring("date", 1, 10) == F.col("day_text")) & (
+        ~F.col("ends_week") | (F.length("date") == 10)
+    )
+    return _figures(ads.join(F.broadcast(calendar), in_week), "period")
 
 
 def ads_monthly(ads: DataFrame, year: int, last_month: int) -> DataFrame:

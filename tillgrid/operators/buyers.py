@@ -21,7 +21,7 @@ JOIN_SPREAD = 16
 def spread_join(
     facts: DataFrame, per_key: DataFrame, key: str, spread_by: str, how: str = "inner"
 ) -> DataFrame:
-    """Join many facts to one row per key, one key over several tasks.
+    """Join many facts to few rows per key, one key over several tasks.
 
     A fact takes its part from a hash of ``spread_by``, which stays the same
     when a lost task is run again; the smaller side is repeated for each part.
@@ -112,7 +112,7 @@ def with_categories(
         F.col("id").alias("category_id"), F.col("name").alias("business_category")
     )
     links = (
-        codes_per_user.join(named, "category_id")
+        spread_join(codes_per_user, named, "category_id", spread_by="user_id")
         .groupBy("user_id", "business_category")
         .agg(F.sum("codes").alias("codes"))
     )

@@ -5,6 +5,7 @@ A cell is ``sheet, row_no, col_no, a1, value`` with the value as text.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,11 +58,10 @@ def layout_table(
 
     The column of a period is ``period + offset``.
     """
+    kinds = "array<struct<sheet string, block string, measure string, row_no int, offset int>>"
     names = ["sheet", "block", "measure", "row_no", "offset"]
-    places = [
-        F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*places)))
+    places = json.dumps([dict(zip(names, row)) for row in rows], ensure_ascii=False)
+    return spark.range(1).select(F.inline(F.from_json(F.lit(places), kinds)))
 
 
 def place_cells(

@@ -30,7 +30,7 @@ def sales_lines(rollup: DataFrame, orders: DataFrame, buyer_rows: DataFrame) ->
     bought = spread_join(orders, buyer_rows, "user_id", spread_by="shipment_id").select(
         "*", is_first_order().alias("is_first")
     )
-    return rollup.filter(F.col("period").isNotNull()).join(bought, "shipment_id")
+    return rollup.filter(F.col("entering_year").isNotNull()).join(bought, "shipment_id")
 
 
 def _staged(

@@ -1,15 +1,15 @@
 """The dashboard: every report of one grain, ending in cells.
 
 The builders below return lazy DataFrames. :func:`write_dashboard` runs them
-all, computes the shared item rollup once and writes the cells in one go.
+all, computes the item rollup once and writes the cells in one go.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from uuid import uuid4
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,17 +158,21 @@ def rollup_of(tables: Tables, settings: Settings) -> DataFrame:
     return shipment_rollup(tables["shipment_item"], settings.grain)
 
 
+def lines_by_buyer(
+    tables: Tables, settings: Settings, rollup: DataFrame, by_company: bool
+) -> DataFrame:
+    orders = orders_in_range(tables, settings)
+    return sales.sales_lines(rollup, orders, buyer_rows(tables, by_company))
+
+
 def delivery_sales(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
-    bought = buyer_rows(tables, settings.buyers_by_company)
-    lines = sales.sales_lines(rollup, orders_in_range(tables, settings), bought)
-    return sales.sales_by_delivery(lines)
+    return sales.sales_by_delivery(
+        lines_by_buyer(tables, settings, rollup, settings.buyers_by_company)
+    )
 
 
 def total_sales(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
-    bought = buyer_rows(tables, by_company=False)
-    return sales.sales_total(
-        sales.sales_lines(rollup, orders_in_range(tables, settings), bought)
-    )
+    return sales.sales_total(lines_by_buyer(tables, settings, rollup, by_company=False))
 
 
 def category_sales(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
@@ -210,11 +214,11 @@ def member_cells(tables: Tables, settings: Settings) -> DataFrame:
     )
 
 
-def report_cells(
-    tables: Tables, settings: Settings, rollup: DataFrame | None = None
-) -> DataFrame:
-    """Cells of all blocks but the categories, point sheet included."""
-    rollup = rollup_of(tables, settings) if rollup is None else rollup
+def report_cells(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
+    """Cells of all blocks but the categories, point sheet included.
+
+    Four reports read the rollup, so it had better be a stored one.
+    """
     figures = ad_figures(ads.ads_clean(tables["ad_raw"]), settings)
     main = (
         member_measures(tables, settings)
@@ -226,14 +230,12 @@ def report_cells(
     )
 
 
-def report_cells_category(
-    tables: Tables, settings: Settings, rollup: DataFrame | None = None
-) -> DataFrame:
+def report_cells_category(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
     """Cells of the category blocks."""
-    rollup = rollup_of(tables, settings) if rollup is None else rollup
     by_category = category_sales(tables, settings, rollup)
-    measures = layouts.CATEGORY_MEASURES
-    long = cells.measures_long(by_category, measures, F.col("business_category"))
+    long = cells.measures_long(
+        by_category, layouts.CATEGORY_MEASURES, F.col("business_category")
+    )
     return _placed(long, layouts.category_layout(settings.sheet, settings.categories), settings)
 
 
@@ -255,31 +257,29 @@ def _placed(long: DataFrame, places: list[layouts.Place], settings: Settings) ->
     return cells.place_cells(long, layout, settings.first_period, settings.last_period)
 
 
-def shared(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Compute once what several reports read.
 
-    Written as a table to the session's checkpoint folder if one is set, which
-    keeps column pruning and survives lost executors; else cached on disk, where
-    lost blocks are computed again.
+    The rows are written as a table to the session's checkpoint folder, which
+    outlives lost executors and still lets every reader pick its columns. In a
+    session without that folder each reader computes the rows again.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        return df.persist(StorageLevel.DISK_ONLY)
-    path = f"{folder}/{spark.sparkContext.applicationId}/{name}"
-    df.write.mode("overwrite").parquet(path)
+        return df
+    path = f"{folder}/{spark.sparkContext.applicationId}/{name}_{uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_rollup(tables: Tables, settings: Settings) -> DataFrame:
+    return stored(rollup_of(tables, settings), f"rollup_{settings.grain}")
+
+
 def write_dashboard(tables: Tables, settings: Settings, store: str) -> None:
     """Build all reports of a grain and upsert their cells into the store."""
-    rollup = shared(rollup_of(tables, settings), f"rollup_{settings.grain}")
-    try:
-        upsert_cells(
-            report_cells(tables, settings, rollup).unionByName(
-                report_cells_category(tables, settings, rollup)
-            ),
-            store,
-        )
-    finally:
-        rollup.unpersist()
+    rollup = stored_rollup(tables, settings)
+    main = report_cells(tables, settings, rollup)
+    by_category = report_cells_category(tables, settings, rollup)
+    upsert_cells(main.unionByName(by_category), store)

@@ -94,6 +94,14 @@ def _basket_bands_total(tables: DemoTables, at: Settings) -> DataFrame:
     return baskets.basket_bands_total(in_baskets)
 
 
+def _report_cells(tables: DemoTables, at: Settings) -> DataFrame:
+    return dashboard.report_cells(tables, at, dashboard.stored_rollup(tables, at))
+
+
+def _report_cells_category(tables: DemoTables, at: Settings) -> DataFrame:
+    return dashboard.report_cells_category(tables, at, dashboard.rollup_of(tables, at))
+
+
 def _verify(tables: DemoTables, at: Settings) -> DataFrame:
     checked = cells.verify_points(
         dashboard.point_cells(tables, at), at.point_sheet, layouts.POINT_ROWS
@@ -117,8 +125,8 @@ BY_GRAIN: dict[str, Callable[[DemoTables, Settings], DataFrame]] = {
     "sales_total": _sales_total,
     "basket_bands": _basket_bands,
     "basket_bands_total": _basket_bands_total,
-    "report_cells": dashboard.report_cells,
-    "report_cells_category": dashboard.report_cells_category,
+    "report_cells": _report_cells,
+    "report_cells_category": _report_cells_category,
     "report_verify": _verify,
     "ads": lambda tables, at: dashboard.ad_figures(ads.ads_clean(tables["ad_raw"]), at),
 }
