@@ -14,7 +14,7 @@ import pandas as pd
 
 from tillgrid.functions import codes
 from tillgrid.plans.dashboard import Settings, monthly_settings, weekly_settings
-from tillgrid.sources.tables import SCHEMAS
+from tillgrid.sources.tables import SCHEMAS, read_parquet_tables
 
 CATEGORIES = ("bakery", "cafe", "pub")
 SETTINGS: dict[str, Settings] = {
@@ -105,8 +105,10 @@ def shop_rows(seed: int, size: int) -> dict[str, list[tuple]]:
     }
 
 
-def spark_tables(spark, rows: dict[str, list[tuple]]) -> dict:
-    return {name: spark.createDataFrame(rows[name], SCHEMAS[name]) for name in rows}
+def spark_tables(spark, rows: dict[str, list[tuple]], folder: str) -> dict:
+    for name, values in rows.items():
+        spark.createDataFrame(values, SCHEMAS[name]).write.parquet(f"{folder}/{name}")
+    return read_parquet_tables(spark, folder, rows)
 
 
 def duck_tables(rows: dict[str, list[tuple]]) -> duckdb.DuckDBPyConnection:

@@ -13,9 +13,10 @@ GRAINS = ["weekly", "monthly"]
 
 
 @pytest.fixture(scope="module", params=SEEDS)
-def both(spark, request):
+def both(spark, request, tmp_path_factory):
     rows = shop.shop_rows(request.param, size=300)
-    return shop.spark_tables(spark, rows), shop.duck_tables(rows)
+    folder = str(tmp_path_factory.mktemp("shop"))
+    return shop.spark_tables(spark, rows, folder), shop.duck_tables(rows)
 
 
 def counted(rows, columns):

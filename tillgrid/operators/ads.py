@@ -70,11 +70,16 @@ def ads_weekly(ads: DataFrame, first_monday: str, weeks: int) -> DataFrame:
 
 
 def ads_monthly(ads: DataFrame, year: int, last_month: int) -> DataFrame:
-    """The same by month of one year; a date that is none fails the job."""
-    day = F.to_date("date")
-    return _figures(
-        ads.withColumn("period", F.month(day)).filter(
-            (F.year(day) == year) & (F.col("period") <= last_month)
-        ),
-        "period",
+    """The same by month of one year; a text that is no date fails the job.
+
+    Texts that are no dates form a group of their own and fail when the result
+    is read. A failing cast would run on rows that a filter further down removes.
+    """
+    day = F.col("date").try_cast("date")
+    in_year = (F.year(day) == year) & (F.month(day) <= last_month)
+    unreadable = day.isNull() & (F.trim("date") != "")
+    months = _figures(
+        ads.filter(in_year | unreadable).withColumn("period", F.month(day)), "period"
     )
+    failure = F.raise_error(F.lit("the advertising table holds a text that is no date"))
+    return months.withColumn("period", F.coalesce(F.col("period"), failure))

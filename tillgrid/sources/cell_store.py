@@ -26,7 +26,7 @@ CELL_SCHEMA = (
 
 def latest_version(spark: SparkSession, store: str) -> int:
     """Number of the newest version, 0 for a store without any."""
-    schema = T.StructType(CELL_SCHEMA.fields).add("version", T.IntegerType())
+    schema = T.StructType([*CELL_SCHEMA, T.StructField("version", T.IntegerType())])
     try:
         cells = spark.read.schema(schema).parquet(store)
     except AnalysisException as error:
