@@ -5,6 +5,7 @@ import csv
 import pytest
 
 from tillgrid.operators.ads import ads_clean, ads_monthly, ads_weekly
+from tillgrid.plans.dashboard import refresh_ads
 from tillgrid.sources.ad_grid import ad_columns, read_ad_grid
 
 
@@ -122,6 +123,12 @@ def test_weekly_and_monthly_figures(spark, folder):
     assert figures(ads_monthly(clean, 2025, 8)) == {(1, 1241, 0, 0, 8), (2, 8, 0, 0, 0)}
 
 
+def test_refresh_replaces_the_table(spark, folder, tmp_path):
+    target = str(tmp_path / "ads")
+    for _ in range(2):
+        assert refresh_ads(spark, folder, target).count() == 5
+
+
 def test_weekly_dates_compare_as_text(spark):
     texts = [
         "2025-01-06",

@@ -122,10 +122,9 @@ def test_dashboard_is_written_once_and_again_without_change(spark, tmp_path):
     ]
     rows["direct_shipping"] = [(row[5], 0) for row in rows["shipment"] if row[5]]
     tables = shop.spark_tables(spark, rows, str(tmp_path / "tables"))
-    tables["ad_raw"] = spark.createDataFrame(
-        [("2025-03-04", "5", "1,000", "2", "150%")],
-        "date string, total_signups string, total_cost string, total_conversions string,"
-        " total_roas string",
+    tables["ads"] = spark.sql(
+        "select '2025-03-04' as date, 5D as total_signups, 1000D as total_cost,"
+        " 2D as total_conversions, 150D as total_roas"
     )
     at = shop.SETTINGS["monthly"]
     store = str(tmp_path / "cells")
@@ -150,4 +149,12 @@ def test_dashboard_is_written_once_and_again_without_change(spark, tmp_path):
             str(sales[month]) if month in sales else None
         )
     assert any(key[0] == sheet and 115 <= key[1] <= 139 for key in first)
-    assert any(key[0] == points for key in first)
+    shown = {row.col_no: row for row in dashboard.check_points(spark, at, store).collect()}
+    assert set(shown) <= {period - 7 + 2 for period in at.point_periods}
+    assert {key[2] for key in first if key[0] == points} >= set(shown)
+    assert {
+        (points, row, column): f"{value:.2f}"
+        for column, read in shown.items()
+        for row, value in zip((3, 4, 5), (read.first_order, read.joined, read.referral))
+    } == {key: value for key, value in first.items() if key[0] == points and key[2] in shown}
+    assert shown

@@ -66,6 +66,8 @@ def test_basket_bands(both, grain):
     rows = dashboard.basket_rows(tables, at, dashboard.rollup_of(tables, at))
     assert_same(baskets.basket_bands(rows), duck, oracles.basket_bands(at))
     assert_same(baskets.basket_bands_total(rows), duck, oracles.basket_bands_total(at))
+    merged = dashboard.basket_rows(tables, at, dashboard.rollup_of(tables, at), by_delivery=False)
+    assert_same(baskets.basket_bands_total(merged), duck, oracles.basket_bands_total(at))
 
 
 @pytest.mark.parametrize("grain", GRAINS)

@@ -11,17 +11,19 @@ from tillgrid.functions.codes import BASKET_BANDS, basket_band
 from tillgrid.functions.money import rounded_share
 
 
-def baskets(rollup: DataFrame, orders: DataFrame) -> DataFrame:
+def baskets(rollup: DataFrame, orders: DataFrame, by_delivery: bool = True) -> DataFrame:
     """One row per entering year, period, order number and delivery type.
 
     An order that enters in several periods is a basket in each of them, and
-    the delivery fee counts once per item line.
+    the delivery fee counts once per item line. Without ``by_delivery`` an order
+    is one basket over both types.
     """
     fee = F.col("delivery_fee") * F.col("item_lines")
     net = F.col("gross") - F.col("point") - F.col("coupon") + fee
+    block = ["delivery_type"] if by_delivery else []
     return (
         rollup.join(orders, "shipment_id")
-        .groupBy("entering_year", "period", "delivery_type", "order_number")
+        .groupBy("entering_year", "period", *block, "order_number")
         .agg(F.sum("gross").alias("total"), F.sum(net).alias("net_total"))
     )
 
@@ -60,8 +62,13 @@ def basket_bands(basket_rows: DataFrame) -> DataFrame:
 
 
 def basket_bands_total(basket_rows: DataFrame) -> DataFrame:
-    """Band shares by year and period; an order is one basket over both types."""
-    merged = basket_rows.groupBy("entering_year", "period", "order_number").agg(
-        F.sum("total").alias("total"), F.sum("net_total").alias("net_total")
-    )
-    return _band_shares(merged, [])
+    """Band shares by year and period, an order being one basket over both types.
+
+    Takes baskets of either kind. Baskets by delivery type are merged first,
+    which is the shorter way where they are there already.
+    """
+    if "delivery_type" in basket_rows.columns:
+        basket_rows = basket_rows.groupBy("entering_year", "period", "order_number").agg(
+            F.sum("total").alias("total"), F.sum("net_total").alias("net_total")
+        )
+    return _band_shares(basket_rows, [])

@@ -75,21 +75,23 @@ def member_growth(snapshot: DataFrame) -> DataFrame:
     """Difference to the snapshot of the previous period number, from period 2.
 
     A period whose predecessor is missing grows by its whole count, which a lag
-    over the existing rows would not give.
+    over the existing rows would not give. Each snapshot is added to its own
+    period and taken from the next, so the source is read once and not joined.
     """
-    previous = snapshot.select(
-        (F.col("period") + 1).alias("period"),
-        F.col("ok_total_count").alias("previous_total"),
-        F.col("ok_direct_count").alias("previous_direct"),
-        F.col("ok_parcel_count").alias("previous_parcel"),
-    )
+    kinds = ["total", "direct", "parcel"]
 
-    def growth(kind: str) -> Column:
-        before = F.coalesce(F.col(f"previous_{kind}"), F.lit(0))
-        return (F.col(f"ok_{kind}_count") - before).alias(f"{kind}_growth")
+    def entry(period: Column, sign: int) -> Column:
+        counts = [(F.col(f"ok_{kind}_count") * sign).alias(f"{kind}_growth") for kind in kinds]
+        return F.struct(period.alias("period"), F.lit(sign > 0).alias("is_own"), *counts)
 
+    own, following = entry(F.col("period"), 1), entry(F.col("period") + 1, -1)
     return (
-        snapshot.filter(F.col("period") >= 2)
-        .join(previous, "period", "left")
-        .select("period", growth("total"), growth("direct"), growth("parcel"))
+        snapshot.select(F.inline(F.array(own, following)))
+        .groupBy("period")
+        .agg(
+            F.max("is_own").alias("is_own"),
+            *[F.sum(f"{kind}_growth").alias(f"{kind}_growth") for kind in kinds],
+        )
+        .filter(F.col("is_own") & (F.col("period") >= 2))
+        .drop("is_own")
     )

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.functions import codes
@@ -19,7 +19,8 @@ from tillgrid.operators import ads, baskets, cells, members, points, sales
 from tillgrid.operators.buyers import buyers
 from tillgrid.operators.shipments import shipment_rollup, shipped_orders
 from tillgrid.plans import layouts
-from tillgrid.sources.cell_store import upsert_cells
+from tillgrid.sources.ad_grid import read_ad_grid
+from tillgrid.sources.cell_store import read_range, upsert_cells
 
 Tables = dict[str, DataFrame]
 
@@ -129,10 +130,23 @@ def member_measures(tables: Tables, settings: Settings) -> DataFrame:
     return long
 
 
-def ad_figures(clean: DataFrame, settings: Settings) -> DataFrame:
+def refresh_ads(spark: SparkSession, raw_folder: str, target: str) -> DataFrame:
+    """Replace the advertising table at ``target`` by the cleaned raw sheet."""
+    ads.ads_clean(read_ad_grid(spark, raw_folder)).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
+
+
+def ad_figures(tables: Tables, settings: Settings) -> DataFrame:
     if settings.grain == WEEK:
-        return ads.ads_weekly(clean, settings.ad_first_monday, settings.last_period)
-    return ads.ads_monthly(clean, settings.ad_year, settings.last_period)
+        return ads.ads_weekly(tables["ads"], settings.ad_first_monday, settings.last_period)
+    return ads.ads_monthly(tables["ads"], settings.ad_year, settings.last_period)
+
+
+def ad_measures(tables: Tables, settings: Settings) -> DataFrame:
+    """Long measures of the advertising block."""
+    return cells.measures_long(
+        ad_figures(tables, settings), list(layouts.AD_ROWS), layouts.ADS
+    )
 
 
 def point_shares(tables: Tables, settings: Settings) -> DataFrame:
@@ -186,8 +200,10 @@ def category_sales(tables: Tables, settings: Settings, rollup: DataFrame) -> Dat
     )
 
 
-def basket_rows(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
-    return baskets.baskets(rollup, orders_in_range(tables, settings))
+def basket_rows(
+    tables: Tables, settings: Settings, rollup: DataFrame, by_delivery: bool = True
+) -> DataFrame:
+    return baskets.baskets(rollup, orders_in_range(tables, settings), by_delivery)
 
 
 def sales_measures(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
@@ -209,25 +225,30 @@ def sales_measures(tables: Tables, settings: Settings, rollup: DataFrame) -> Dat
 
 def member_cells(tables: Tables, settings: Settings) -> DataFrame:
     """Cells of the member block alone."""
-    return _placed(
-        member_measures(tables, settings), layouts.main_layout(settings.sheet), settings
-    )
+    return _on_main_sheet(member_measures(tables, settings), settings)
 
 
-def report_cells(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
-    """Cells of all blocks but the categories, point sheet included.
+def ad_cells(tables: Tables, settings: Settings) -> DataFrame:
+    """Cells of the advertising block alone."""
+    return _on_main_sheet(ad_measures(tables, settings), settings)
+
+
+def sales_cells(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
+    """Cells of the sales, total and band blocks.
 
     Four reports read the rollup, so it had better be a stored one.
     """
-    figures = ad_figures(ads.ads_clean(tables["ad_raw"]), settings)
+    return _on_main_sheet(sales_measures(tables, settings, rollup), settings)
+
+
+def report_cells(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
+    """Cells of all blocks but the categories, point sheet included."""
     main = (
         member_measures(tables, settings)
-        .unionByName(cells.measures_long(figures, list(layouts.AD_ROWS), layouts.ADS))
+        .unionByName(ad_measures(tables, settings))
         .unionByName(sales_measures(tables, settings, rollup))
     )
-    return _placed(main, layouts.main_layout(settings.sheet), settings).unionByName(
-        point_cells(tables, settings)
-    )
+    return _on_main_sheet(main, settings).unionByName(point_cells(tables, settings))
 
 
 def report_cells_category(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
@@ -252,6 +273,10 @@ def point_cells(tables: Tables, settings: Settings) -> DataFrame:
     return cells.place_cells(long, layout, min(periods), max(periods))
 
 
+def _on_main_sheet(long: DataFrame, settings: Settings) -> DataFrame:
+    return _placed(long, layouts.main_layout(settings.sheet), settings)
+
+
 def _placed(long: DataFrame, places: list[layouts.Place], settings: Settings) -> DataFrame:
     layout = cells.layout_table(long.sparkSession, places)
     return cells.place_cells(long, layout, settings.first_period, settings.last_period)
@@ -283,3 +308,18 @@ def write_dashboard(tables: Tables, settings: Settings, store: str) -> None:
     main = report_cells(tables, settings, rollup)
     by_category = report_cells_category(tables, settings, rollup)
     upsert_cells(main.unionByName(by_category), store)
+
+
+def check_points(spark: SparkSession, settings: Settings, store: str) -> DataFrame:
+    """Stored point shares of the reported periods with their check sum."""
+    offset = 2 - settings.point_first_period
+    columns = [period + offset for period in settings.point_periods]
+    rows = list(layouts.POINT_ROWS.values())
+    read = read_range(
+        spark,
+        store,
+        settings.point_sheet,
+        (min(rows), max(rows)),
+        (min(columns), max(columns)),
+    )
+    return cells.verify_points(read, settings.point_sheet, layouts.POINT_ROWS)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillgrid.operators.ads import ads_clean
+
 GIVEN = ["orders", "lineitem", "customer", "nation", "events"]
 
 VIEWS = {
@@ -98,6 +100,9 @@ class DemoTables(dict):
         self._spark, self._folder = spark, folder
 
     def __missing__(self, name: str) -> DataFrame:
+        if name == "ads":
+            self[name] = ads_clean(self["ad_raw"])
+            return self[name]
         text = VIEWS[name]
         used = {
             table: given_table(self._spark, self._folder, table)

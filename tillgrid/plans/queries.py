@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillgrid.functions import codes
 from tillgrid.functions.money import vat_net
 from tillgrid.functions.periods import calendar_days, week_mode1
-from tillgrid.operators import ads, baskets, cells, members, points
+from tillgrid.operators import baskets, cells, members, points
 from tillgrid.operators import buyers as buyer_operators
 from tillgrid.plans import dashboard, layouts
 from tillgrid.plans.dashboard import Settings, monthly_settings, weekly_settings
@@ -90,7 +90,8 @@ def _basket_bands(tables: DemoTables, at: Settings) -> DataFrame:
 
 
 def _basket_bands_total(tables: DemoTables, at: Settings) -> DataFrame:
-    in_baskets = dashboard.basket_rows(tables, at, dashboard.rollup_of(tables, at))
+    rollup = dashboard.rollup_of(tables, at)
+    in_baskets = dashboard.basket_rows(tables, at, rollup, by_delivery=False)
     return baskets.basket_bands_total(in_baskets)
 
 
@@ -128,7 +129,7 @@ BY_GRAIN: dict[str, Callable[[DemoTables, Settings], DataFrame]] = {
     "report_cells": _report_cells,
     "report_cells_category": _report_cells_category,
     "report_verify": _verify,
-    "ads": lambda tables, at: dashboard.ad_figures(ads.ads_clean(tables["ad_raw"]), at),
+    "ads": dashboard.ad_figures,
 }
 
 
@@ -208,7 +209,7 @@ def first_order(spark: SparkSession, folder: str) -> DataFrame:
 
 def ads_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Typed advertising table."""
-    return ads.ads_clean(DemoTables(spark, folder)["ad_raw"])
+    return DemoTables(spark, folder)["ads"]
 
 
 def report_merge(spark: SparkSession, folder: str) -> DataFrame:
