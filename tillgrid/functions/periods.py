@@ -47,8 +47,9 @@ def week_mode1(day: Column) -> Column:
     Days before week 1 are week 0 and the last days of December can be week 53,
     unlike the ISO week of ``weekofyear``, which borrows from the other year.
     """
-    new_year = F.weekday(F.trunc(day, "year"))
-    full_weeks = F.floor((F.dayofyear(day) - 1 + new_year) / 7).cast("int")
+    days_before = F.dayofyear(day) - 1
+    new_year = F.pmod(F.weekday(day) - days_before, F.lit(7))
+    full_weeks = F.call_function("div", days_before + new_year, F.lit(7)).cast("int")
     return full_weeks + F.when(new_year <= 3, 1).otherwise(0)
 
 
