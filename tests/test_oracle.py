@@ -10,8 +10,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from conftest import plan_of
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+SLOW = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "ExistingRDD"]
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
 
 
@@ -49,3 +51,5 @@ def test_same_rows(spark, duck, name):
     wanted = rows_of(expected.fetchall(), expected.columns)
     assert sum(wanted.values()) > 0
     assert got == wanted
+    plan = plan_of(result)
+    assert [word for word in SLOW if word in plan] == []

@@ -4,22 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as registered
 import shop
+from conftest import plan_of
 from tillgrid.operators import buyers
 from tillgrid.plans import dashboard
 from tillgrid.sources.tables import jdbc_options
 
-FOLDER = "/root/testdata/sf0.001"
-SLOW = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "ExistingRDD"]
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )
-
-
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     rows = shop.shop_rows(5, size=60)
@@ -36,12 +26,6 @@ def no_broadcast(spark):
     spark.conf.set(setting, before)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
-def test_no_slow_operator(spark, name):
-    plan = plan_of(registered.queries()[name](spark, FOLDER))
-    assert [word for word in SLOW if word in plan] == []
-
-
 def scan(plan: str, column: str) -> str:
     blocks = [block for block in plan.split("\n\n") if "Scan parquet" in block]
     return next(block for block in blocks if re.search(rf"struct<.*\b{column}:", block))
@@ -72,8 +56,7 @@ def test_items_are_combined_before_their_first_shuffle(tables, no_broadcast):
 
 def test_buyers_are_joined_by_user_and_part(tables, no_broadcast):
     plan = plan_of(buyers.first_order(tables["shipment"]))
-    join = next(block for block in plan.split("\n\n") if "SortMergeJoin" in block and "keys" in block)
-    assert re.search(r"Left keys \[2\]: \[user_id#\d+L, _part#\d+\]", join)
+    assert re.search(r"SortMergeJoin.*\nLeft keys \[2\]: \[user_id#\d+L, _part#\d+\]", plan)
     assert "Window" not in plan
 
 
