@@ -6,7 +6,7 @@ import pytest
 
 from tillgrid.operators.ads import ads_clean, ads_monthly, ads_weekly
 from tillgrid.plans.dashboard import refresh_ads
-from tillgrid.sources.ad_grid import ad_columns, read_ad_grid
+from tillgrid.sources.ad_grid import ad_columns, raw_sheet, read_ad_grid
 
 
 def grid_row(date, **cells):
@@ -37,7 +37,7 @@ def folder(tmp_path):
             [*grid_row("2025-02-01", total_signups=" 8 ", total_cost="1d"), "x", "y", "z"],
         ],
     )
-    write("other_RAW.csv", [*junk, grid_row("2024-12-31", total_signups="#VALUE")])
+    write("z_RAW.csv", [*junk, grid_row("2024-12-31", total_signups="#VALUE")])
     write("unrelated.csv", [*junk, grid_row("2025-01-06", total_signups="999")])
     return str(tmp_path)
 
@@ -50,31 +50,33 @@ def test_columns():
     assert names[-1] == "mobion_roas"
 
 
-def test_grid_skips_header_rows_of_each_raw_file(spark, folder):
-    dates = [row.date for row in read_ad_grid(spark, folder).collect()]
-    assert sorted(date for date in dates if date and date.strip()) == [
-        "2024-12-31",
-        "2025-01-06",
-        "2025-01-12",
-        "2025-01-13",
-        "2025-02-01",
-    ]
+DATES = ["2025-01-06", "2025-01-12", "2025-01-13", "2025-02-01"]
+
+
+def test_first_raw_file_is_the_sheet(spark, folder):
+    assert raw_sheet(spark, folder).endswith("/sheet_Raw.csv")
+
+
+def test_header_rows_are_skipped_in_each_file(spark, folder):
+    grid = read_ad_grid(spark, raw_sheet(spark, folder), f"{folder}/z_RAW.csv")
+    dates = [row.date for row in grid.collect()]
+    assert sorted(date for date in dates if date and date.strip()) == ["2024-12-31", *DATES]
 
 
 def test_no_raw_file_is_an_error(spark, tmp_path):
     (tmp_path / "other.csv").write_text("a,b\n")
     with pytest.raises(FileNotFoundError):
-        read_ad_grid(spark, str(tmp_path))
+        raw_sheet(spark, str(tmp_path))
     with pytest.raises(FileNotFoundError):
-        read_ad_grid(spark, str(tmp_path / "missing"))
+        raw_sheet(spark, str(tmp_path / "missing"))
 
 
 def test_clean(spark, folder):
-    clean = ads_clean(read_ad_grid(spark, folder))
+    clean = ads_clean(read_ad_grid(spark, raw_sheet(spark, folder)))
     assert clean.columns == ad_columns()
     assert {kind for _, kind in clean.dtypes[1:]} == {"double"}
     rows = {row.date: row for row in clean.collect()}
-    assert set(rows) == {"2024-12-31", "2025-01-06", "2025-01-12", "2025-01-13", "2025-02-01"}
+    assert sorted(rows) == DATES
     assert rows["2025-01-06"].total_signups == 1234.5
     assert rows["2025-01-06"].total_cost == 0
     assert rows["2025-01-12"].total_signups == 0
@@ -82,7 +84,6 @@ def test_clean(spark, folder):
     assert rows["2025-01-13"].mobion_roas == 0
     assert rows["2025-02-01"].total_signups == 8
     assert rows["2025-02-01"].total_cost == 0
-    assert rows["2024-12-31"].total_signups == 0
 
 
 @pytest.mark.parametrize(
@@ -113,9 +114,8 @@ def figures(df):
 
 
 def test_weekly_and_monthly_figures(spark, folder):
-    clean = ads_clean(read_ad_grid(spark, folder))
+    clean = ads_clean(read_ad_grid(spark, raw_sheet(spark, folder)))
     assert figures(ads_weekly(clean, "2024-12-30", 32)) == {
-        (1, 0, 0, 0, 0),
         (2, 1234, 0, 0, 12),
         (3, 7, 0, 0, 0),
         (5, 8, 0, 0, 0),
@@ -126,7 +126,7 @@ def test_weekly_and_monthly_figures(spark, folder):
 def test_refresh_replaces_the_table(spark, folder, tmp_path):
     target = str(tmp_path / "ads")
     for _ in range(2):
-        assert refresh_ads(spark, folder, target).count() == 5
+        assert refresh_ads(spark, folder, target).count() == 4
 
 
 def test_weekly_dates_compare_as_text(spark):

@@ -10,7 +10,7 @@ from tillgrid.functions.periods import calendar_days
 # What a filled cell, an error cell and a number look like.
 NOT_BLANK = r"(?U)\S"
 ERROR_CELL = "#VALUE!"
-ERROR_CELLS_AT_LOAD = ["#VALUE!", "#VALUE"]
+BARE_ERROR_CELL = "#VALUE"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -24,7 +24,7 @@ def ads_clean(grid: DataFrame) -> DataFrame:
     cells = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in grid.columns]
 
     def without_error(name: str) -> Column:
-        error = (F.upper(name) == ERROR_CELL) | F.col(name).isin(ERROR_CELLS_AT_LOAD)
+        error = (F.upper(name) == ERROR_CELL) | (F.col(name) == BARE_ERROR_CELL)
         return F.when(error, "0").otherwise(F.col(name)).alias(name)
 
     def number(name: str) -> Column:
@@ -35,7 +35,7 @@ def ads_clean(grid: DataFrame) -> DataFrame:
         grid.select(*cells)
         .filter(F.concat(*grid.columns).rlike(NOT_BLANK))
         .select(*[without_error(name) for name in grid.columns])
-        .select("date", *[F.regexp_replace(name, "[,%]", "").alias(name) for name in metrics])
+        .select("date", *[F.translate(name, ",%", "").alias(name) for name in metrics])
         .select("date", *[number(name) for name in metrics])
     )
 

@@ -19,7 +19,7 @@ from tillgrid.operators import ads, baskets, cells, members, points, sales
 from tillgrid.operators.buyers import buyers
 from tillgrid.operators.shipments import shipment_rollup, shipped_orders
 from tillgrid.plans import layouts
-from tillgrid.sources.ad_grid import read_ad_grid
+from tillgrid.sources.ad_grid import raw_sheet, read_ad_grid
 from tillgrid.sources.cell_store import read_range, upsert_cells
 
 Tables = dict[str, DataFrame]
@@ -132,7 +132,8 @@ def member_measures(tables: Tables, settings: Settings) -> DataFrame:
 
 def refresh_ads(spark: SparkSession, raw_folder: str, target: str) -> DataFrame:
     """Replace the advertising table at ``target`` by the cleaned raw sheet."""
-    ads.ads_clean(read_ad_grid(spark, raw_folder)).write.mode("overwrite").parquet(target)
+    grid = read_ad_grid(spark, raw_sheet(spark, raw_folder))
+    ads.ads_clean(grid).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
@@ -293,7 +294,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         return df
-    path = f"{folder}/{spark.sparkContext.applicationId}/{name}_{uuid4().hex}"
+    path = f"{folder}/{spark.conf.get('spark.app.id')}/{name}_{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

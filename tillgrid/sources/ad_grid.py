@@ -1,4 +1,4 @@
-"""The raw advertising sheet: a folder of CSV exports, every cell a string."""
+"""The raw advertising sheet, exported as CSV."""
 
 from __future__ import annotations
 
@@ -48,29 +48,36 @@ def ad_columns() -> list[str]:
     return columns
 
 
-def read_ad_grid(spark: SparkSession, folder: str) -> DataFrame:
-    """Data rows of every raw CSV file below ``folder``, as strings.
+def raw_sheet(spark: SparkSession, folder: str) -> str:
+    """Path of the first file of ``folder``, by name, that is a raw sheet."""
+    try:
+        files = spark.read.option("pathGlobFilter", RAW_FILES).text(folder).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = []
+    if not files:
+        raise FileNotFoundError(f"no raw sheet in {folder}")
+    return min(files)
+
+
+def read_ad_grid(spark: SparkSession, *files: str) -> DataFrame:
+    """Data rows of raw sheet files, every cell a string.
 
     Short rows are filled with NULL and long rows are cut by the CSV reader.
-    The rows above the data are skipped per file. A sheet export is read as one
-    split (cells may hold line breaks), so row order within a file is the order
-    of the generated ids and files spread over tasks.
+    The rows above the data are skipped per file. Cells may hold line breaks, so
+    a file is one split, which the size of a spreadsheet bounds; within it the
+    generated ids follow the order of the rows.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in ad_columns()])
-    try:
-        grid = (
-            spark.read.schema(schema)
-            .option("pathGlobFilter", RAW_FILES)
-            .csv(folder, header=False, multiLine=True, escape='"', mode="PERMISSIVE")
+    numbered = (
+        spark.read.schema(schema)
+        .csv(list(files), header=False, multiLine=True, escape='"', mode="PERMISSIVE")
+        .select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.monotonically_increasing_id().alias("_position"),
         )
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no raw sheet below {folder}") from error
-    if not grid.inputFiles():
-        raise FileNotFoundError(f"no raw sheet below {folder}")
-    numbered = grid.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_position"),
     )
     first = numbered.groupBy("_file").agg(F.min("_position").alias("_first"))
     return (

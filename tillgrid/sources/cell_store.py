@@ -1,8 +1,8 @@
 """Store of report cells: upsert, full replacement and range read-back.
 
 A store is a folder of Parquet versions. A write adds a version and never
-touches an earlier one, so it can read the store it extends, a failed or
-repeated write does no harm, and readers see whole versions only.
+touches an earlier one, so it can read the store it extends, and a failed or
+repeated write does no harm. One writer at a time.
 """
 
 from __future__ import annotations
