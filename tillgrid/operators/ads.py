@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillgrid.functions.periods import calendar_days
 
-# What a filled cell, an error cell and a number look like.
+# What a filled cell looks like, and the steps of cleaning one.
 NOT_BLANK = r"(?U)\S"
-ERROR_CELL = "#VALUE!"
-BARE_ERROR_CELL = "#VALUE"
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+AS_TEXT = "coalesce({cell}, '')"
+WITHOUT_ERROR = "if(upper({cell}) = '#VALUE!' or {cell} = '#VALUE', '0', {cell})"
+WITHOUT_SIGNS = "translate({cell}, ',%', '')"
+AS_NUMBER = r"""coalesce(
+    if({cell} rlike r'^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$',
+      try_cast({cell} as double), null),
+    0D)"""
 
 
 def ads_clean(grid: DataFrame) -> DataFrame:
@@ -21,22 +25,16 @@ def ads_clean(grid: DataFrame) -> DataFrame:
     signs are dropped, and what still is no number becomes 0.
     """
     metrics = [name for name in grid.columns if name != "date"]
-    cells = [F.coalesce(F.col(name), F.lit("")).alias(name) for name in grid.columns]
 
-    def without_error(name: str) -> Column:
-        error = (F.upper(name) == ERROR_CELL) | (F.col(name) == BARE_ERROR_CELL)
-        return F.when(error, "0").otherwise(F.col(name)).alias(name)
-
-    def number(name: str) -> Column:
-        value = F.when(F.col(name).rlike(NUMBER), F.col(name).try_cast("double"))
-        return F.coalesce(value, F.lit(0.0)).alias(name)
+    def each(step: str, names: list[str]) -> list[str]:
+        return [step.format(cell=f"`{name}`") + f" as `{name}`" for name in names]
 
     return (
-        grid.select(*cells)
+        grid.selectExpr(*each(AS_TEXT, grid.columns))
         .filter(F.concat(*grid.columns).rlike(NOT_BLANK))
-        .select(*[without_error(name) for name in grid.columns])
-        .select("date", *[F.translate(name, ",%", "").alias(name) for name in metrics])
-        .select("date", *[number(name) for name in metrics])
+        .selectExpr(*each(WITHOUT_ERROR, ["date", *metrics]))
+        .selectExpr("date", *each(WITHOUT_SIGNS, metrics))
+        .selectExpr("date", *each(AS_NUMBER, metrics))
     )
 
 
