@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.functions import codes
-from tillgrid.functions.periods import WEEK
+from tillgrid.functions.periods import MONTH, WEEK
 from tillgrid.operators import ads, baskets, cells, members, points, sales
 from tillgrid.operators.buyers import buyers
 from tillgrid.operators.shipments import shipment_rollup, shipped_orders
@@ -78,7 +78,7 @@ def weekly_settings(year: int, order_to: str, first_monday: str, **changes) -> S
 def monthly_settings(year: int, order_to: str, **changes) -> Settings:
     """Months 1 to 8 of a year."""
     values = {
-        "grain": "month",
+        "grain": MONTH,
         "sheet": "monthly",
         "point_sheet": "points monthly",
         "first_period": 1,

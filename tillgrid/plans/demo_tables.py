@@ -48,12 +48,12 @@ from {customer} c left join (
   on m.o_custkey = c.c_custkey""",
     "base_user": "select c_custkey as id from {customer}",
     "user_business_type_code": """
-select c_custkey as base_user_id, cast(c_nationkey % 10 as bigint) as business_type_codes
+select c_custkey as base_user_id, cast(c_nationkey as bigint) as business_type_codes
 from {customer}
 union all
-select c_custkey, cast((c_nationkey + 3) % 10 as bigint) from {customer} where c_custkey % 5 = 0""",
-    "business_type": """
-select cast(n_nationkey as bigint) as id, n_name as name from {nation} where n_nationkey < 10""",
+select c_custkey, cast((c_nationkey + 3) % 25 as bigint) from {customer}
+where c_mktsegment = 'MACHINERY'""",
+    "business_type": "select cast(n_nationkey as bigint) as id, n_name as name from {nation}",
     # The running sums are over one row per day.
     "dashboard_user": """
 select concat(cast(d as string), ' 00:00:00') as period_date, 'DAILY' as period_type, new_count,

@@ -25,7 +25,7 @@ DEMO = {
     "ad_year": 2024,
     "point_year": 2024,
     "point_first_period": 1,
-    "categories": tuple(f"NATION_{number}" for number in range(10)),
+    "categories": tuple(f"NATION_{number}" for number in range(25)),
 }
 WEEKLY = weekly_settings(
     1996, "1996-08-08", first_monday="2024-01-01", point_periods=range(1, 6), **DEMO
