@@ -60,6 +60,23 @@ def test_buyers_are_joined_by_user_and_part(tables, no_broadcast):
     assert "Window" not in plan
 
 
+def test_tables_bucketed_by_shipment_need_no_shuffle_up_to_the_join(spark, tables, no_broadcast):
+    bucketed = dict(tables)
+    for name, key in (("shipment_item", "shipment_id"), ("shipment", "id")):
+        table = f"bucketed_{name}"
+        tables[name].write.bucketBy(4, key).mode("overwrite").saveAsTable(table)
+        bucketed[name] = spark.table(table)
+    at = shop.SETTINGS["weekly"]
+    try:
+        rows = dashboard.basket_rows(bucketed, at, dashboard.rollup_of(bucketed, at))
+        plan = plan_of(rows)
+        assert "SortMergeJoin" in plan
+        assert re.findall(r"Arguments: hashpartitioning\((\w+)#", plan) == ["entering_year"]
+    finally:
+        for name in ("shipment_item", "shipment"):
+            spark.sql(f"drop table bucketed_{name}")
+
+
 def test_jdbc_options():
     options = jdbc_options(
         "jdbc:x", "shipment", {"user": "u"}, "order_dated_at", "2025-01-01", "2025-09-01", 64
