@@ -63,6 +63,30 @@ def test_first_order_flags(spark):
     assert flags == {1: "O", 2: "O", 3: "O", 4: "O", 5: "X", 6: "O", 7: "O", 8: "O"}
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("limit", [3, 1000])
+def test_spread_join_is_a_join(spark, monkeypatch, how, limit):
+    monkeypatch.setattr(buyers, "ROWS_PER_PART", limit)
+    facts = spark.sql(
+        "select id, if(id % 3 = 0, 1, if(id % 7 = 0, null, id % 20)) as key from range(200)"
+    )
+    per_key = spark.sql("select id as key, id * n as x from range(15) join values 1, 2 t(n)")
+    joined = buyers.spread_join(facts, per_key, "key", spread_by="id", how=how)
+    plain = facts.join(per_key, "key", how)
+    assert joined.columns == plain.columns
+    assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hot_users_are_split_evenly(spark, monkeypatch):
+    monkeypatch.setattr(buyers, "ROWS_PER_PART", 100)
+    facts = spark.sql("select id, if(id % 3 = 0, 1, id) as key from range(3000)")
+    per_key = spark.sql("select id as key from range(3000)")
+    split, repeated = buyers.split_hot_keys(facts, per_key, "key", "id")
+    sizes = split.filter("key = 1").groupBy("_part").count().collect()
+    assert len(sizes) == 11 and max(row["count"] for row in sizes) < 200
+    assert repeated.groupBy("key").count().filter("count > 1").collect() == [(1, 11)]
+
+
 def test_fee_counts_per_item_line(spark):
     rows = delivery_rows(spark, [shipment(1, fee=1100)], [item(1), item(1), item(1)])
     row = rows[(10, codes.DIRECT)]

@@ -19,6 +19,12 @@ def both(spark, request, tmp_path_factory):
     return shop.spark_tables(spark, rows, folder), shop.duck_tables(rows)
 
 
+@pytest.fixture(autouse=True)
+def low_hot_limit(monkeypatch):
+    """Spread the hot users and categories of the small tables too."""
+    monkeypatch.setattr(buyers, "ROWS_PER_PART", 20)
+
+
 def counted(rows, columns):
     order = sorted(range(len(columns)), key=columns.__getitem__)
     return Counter(

@@ -14,27 +14,51 @@ from pyspark.sql import functions as F
 
 from tillgrid.functions.codes import VALID_ORDER_STATUSES
 
-# Tasks the rows of one key are spread over in a salted join.
-JOIN_SPREAD = 16
+# Rows of one key that go to one task of a spread join, and the parts of rows
+# without a key.
+ROWS_PER_PART = 1_000_000
+KEYLESS_PARTS = 1_000
 
 
 def spread_join(
     facts: DataFrame, per_key: DataFrame, key: str, spread_by: str, how: str = "inner"
 ) -> DataFrame:
-    """Join many facts to few rows per key, one key over several tasks.
+    """Join many facts to few rows per key, hot keys over several tasks.
 
-    A fact takes its part from a hash of ``spread_by``, which stays the same
-    when a lost task is run again; the smaller side is repeated for each part.
     Both sides are shuffled for this join alone, so AQE can still split a part
     that is too large, or broadcast the smaller side after measuring it.
     """
-    part = F.pmod(F.xxhash64(spread_by), F.lit(JOIN_SPREAD)).cast("int")
-    parts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SPREAD - 1)))
-    return (
-        facts.withColumn("_part", part)
-        .join(per_key.withColumn("_part", parts), [key, "_part"], how)
-        .drop("_part")
+    split, repeated = split_hot_keys(facts, per_key, key, spread_by)
+    return split.join(repeated, [key, "_part"], how).drop("_part")
+
+
+def split_hot_keys(
+    facts: DataFrame, per_key: DataFrame, key: str, spread_by: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_part`` to join by together with the key.
+
+    A key with more than ``ROWS_PER_PART`` facts gets a part per that many, and
+    its rows of the smaller side are repeated for each; other keys have one
+    part. A fact takes its part from a hash of ``spread_by``, which stays the
+    same when a lost task is run again. There is at most one hot key per
+    ``ROWS_PER_PART`` facts, which bounds what is broadcast.
+    """
+    hot = F.broadcast(
+        facts.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count("*").alias("_facts"))
+        .filter(F.col("_facts") > ROWS_PER_PART)
+        .select(key, F.ceil(F.col("_facts") / ROWS_PER_PART).cast("int").alias("_parts"))
+    )
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    fact_parts = F.when(F.col(key).isNull(), KEYLESS_PARTS).otherwise(parts)
+    split = facts.join(hot, key, "left").withColumn(
+        "_part", F.pmod(F.xxhash64(spread_by), fact_parts).cast("int")
+    )
+    repeated = per_key.join(hot, key, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
     )
+    return split.drop("_parts"), repeated.drop("_parts")
 
 
 def account_counts(
