@@ -84,15 +84,22 @@ def _sales_total(tables: DemoTables, at: Settings) -> DataFrame:
     return dashboard.total_sales(tables, at, dashboard.rollup_of(tables, at))
 
 
+def _periods_as_text(bands: DataFrame) -> DataFrame:
+    """Numbers with NULLs among them as text, which every client reads alike."""
+    return bands.withColumns(
+        {name: F.col(name).cast("string") for name in ("entering_year", "period")}
+    )
+
+
 def _basket_bands(tables: DemoTables, at: Settings) -> DataFrame:
     in_baskets = dashboard.basket_rows(tables, at, dashboard.rollup_of(tables, at))
-    return baskets.basket_bands(in_baskets)
+    return _periods_as_text(baskets.basket_bands(in_baskets))
 
 
 def _basket_bands_total(tables: DemoTables, at: Settings) -> DataFrame:
     rollup = dashboard.rollup_of(tables, at)
     in_baskets = dashboard.basket_rows(tables, at, rollup, by_delivery=False)
-    return baskets.basket_bands_total(in_baskets)
+    return _periods_as_text(baskets.basket_bands_total(in_baskets))
 
 
 def _report_cells(tables: DemoTables, at: Settings) -> DataFrame:
