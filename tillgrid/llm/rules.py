@@ -113,14 +113,17 @@ def votes() -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class RuleModel:
-    """Share of good documents, and per rule how often its votes are right."""
+    """How often the votes of each rule are right.
+
+    Good and bad are taken as equally likely before the votes: a balance learned
+    from mostly good documents would outvote a defect that only one rule sees.
+    """
 
-    good: float
     rules: dict[str, float]
 
     def posterior(self) -> Column:
         """Probability of good given the votes of :func:`votes`; silence says nothing."""
-        odds = F.lit(_log_odds(self.good))
+        odds = F.lit(0.0)
         for name, vote in votes().items():
             if name in self.rules:
                 weight = _log_odds(self.rules[name])
@@ -129,7 +132,7 @@ class RuleModel:
 
     def probability(self, names: list[str], pattern: tuple) -> float:
         """The same for one pattern of votes."""
-        odds = _log_odds(self.good)
+        odds = 0.0
         for name, vote in zip(names, pattern):
             if vote is not None:
                 odds += _log_odds(self.rules[name]) * (1 if vote else -1)
@@ -151,18 +154,16 @@ def accuracies(patterns: Iterable[tuple[tuple, int]], names: list[str], rounds:
     1 and without documents the start remains.
     """
     patterns = list(patterns)
-    model = RuleModel(0.5, {name: START for name in names})
+    model = RuleModel({name: START for name in names})
     for _ in range(rounds):
-        good, every = 1.0, 2.0
         right, cast = {name: START for name in names}, {name: 1.0 for name in names}
         for pattern, n in patterns:
             p = model.probability(names, pattern)
-            good, every = good + n * p, every + n
             for name, vote in zip(names, pattern):
                 if vote is not None:
                     right[name] += n * (p if vote else 1 - p)
                     cast[name] += n
-        model = RuleModel(good / every, {name: right[name] / cast[name] for name in names})
+        model = RuleModel({name: right[name] / cast[name] for name in names})
     return model
 
 
