@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillgrid.llm import rules, shards, url_filter
+from tillgrid.llm import mixing, near_vectors, rules, shards, simhash, url_filter
 from tillgrid.llm.common import saved
 
 
@@ -14,6 +14,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(found["fp"]).alias("fingerprint"), "component_id")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
@@ -32,6 +45,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_vectors": op1_near_vectors,
+        "op3_mixing": op3_mixing,
+        "op4_simhash": op4_simhash,
         "op6_url_filter": op6_url_filter,
         "op8_quality_rules": op8_quality_rules,
         "op9_sharding": op9_sharding,
