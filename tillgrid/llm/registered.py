@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillgrid.llm import mixing, near_vectors, rules, shards, simhash, url_filter
+from tillgrid.llm import mixing, near_vectors, pieces, rules, shards, simhash, url_filter
 from tillgrid.llm.common import saved
 
 
@@ -32,6 +34,18 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.with_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     measures = saved(rules.measured(docs))
@@ -49,6 +63,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mixing": op3_mixing,
         "op4_simhash": op4_simhash,
         "op6_url_filter": op6_url_filter,
+        "op7_pieces": op7_pieces,
         "op8_quality_rules": op8_quality_rules,
         "op9_sharding": op9_sharding,
     }
