@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.llm import mixing, near_vectors, pieces, rules, shards, simhash, url_filter
+from tillgrid.llm import mixing, near_vectors, passages, pieces, rules, shards, simhash, url_filter
 from tillgrid.llm.common import saved
 
 
@@ -57,6 +57,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.document_shards(_table(spark, sf_dir, "documents"))
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passages.without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_vectors": op1_near_vectors,
@@ -66,6 +71,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_pieces": op7_pieces,
         "op8_quality_rules": op8_quality_rules,
         "op9_sharding": op9_sharding,
+        "op10_passages": op10_passages,
     }
 
 
