@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,9 +53,45 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def small_partitions(df: DataFrame, rows: int, most: int = 4096) -> int:
-    """Partition count for about ``rows`` rows each, between 1 and ``most``."""
-    return int(min(most, max(1, -(-df.count() // rows))))
+def slices(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``most`` bytes of text each, to bound what arrays a task holds."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    borders = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(borders, borders[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def witten_bell(grams: DataFrame, order: int, names: list[str], uniform: float) -> DataFrame:
+    """Chance of the last character of each ``gram`` after the others, ``p_<name>`` per count column.
+
+    Mixes orders 0 to ``order`` - 1: the share of a character after a context is
+    mixed with that after the context without its first character, by the number
+    of different characters seen after it. A context never seen leaves the shorter
+    one's chance as it is; before any count stands ``uniform``.
+    """
+    chances = None
+    for k in range(order):
+        ends = grams.groupBy(F.substring("gram", order - k, k + 1).alias("e")).agg(
+            *[F.sum(name).alias(name) for name in names]
+        )
+        ends = ends.withColumn("c", F.substring("e", 1, k))
+        contexts = ends.groupBy("c").agg(
+            *[F.sum(name).alias(f"{name}_all") for name in names],
+            *[F.sum((F.col(name) > 0).cast("long")).alias(f"{name}_kinds") for name in names],
+        )
+        table = ends.join(contexts, "c")
+        if chances is None:
+            table = table.withColumns({f"p_{name}": F.lit(uniform) for name in names})
+        else:
+            table = table.withColumn("s", F.substring("e", 2, k)).join(chances.withColumnRenamed("e", "s"), "s")
+        mixed = []
+        for name in names:
+            kinds, every, p = F.col(f"{name}_kinds"), F.col(f"{name}_all"), F.col(f"p_{name}")
+            mixed.append(F.when(every == 0, p).otherwise((F.col(name) + kinds * p) / (every + kinds)).alias(f"p_{name}"))
+        chances = table.select("e", *mixed)
+    return chances.withColumnRenamed("e", "gram")
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillgrid.llm.common import slices
+
 #: Words of a window, and of the part of it that routes it to a shard.
 WINDOW, ANCHOR = 13, 4
 #: Segments from which on an anchor's windows are routed one by one, and words of a shard.
@@ -112,7 +114,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     The anchor of a window is the smallest hash of its four-word parts, so equal
     windows have equal anchors, and neighbours mostly share theirs.
     """
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, 1)):
         counts, words = _split(batch.column(1))
         ends = np.cumsum(counts)
         coded = words.dictionary_encode()

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.llm import mixing, near_vectors, passages, pieces, rules, shards, simhash, url_filter
+from tillgrid.llm import (
+    classifier,
+    lm_scores,
+    mixing,
+    near_vectors,
+    passages,
+    pieces,
+    rules,
+    shards,
+    simhash,
+    url_filter,
+)
 from tillgrid.llm.common import saved
 
 
@@ -20,6 +31,10 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +44,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.entropy_differences(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
@@ -65,8 +84,10 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_vectors": op1_near_vectors,
+        "op2_classifier": op2_classifier,
         "op3_mixing": op3_mixing,
         "op4_simhash": op4_simhash,
+        "op5_lm_scores": op5_lm_scores,
         "op6_url_filter": op6_url_filter,
         "op7_pieces": op7_pieces,
         "op8_quality_rules": op8_quality_rules,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillgrid.llm.common import saved
+from tillgrid.llm.common import saved, witten_bell
 
 ORDER = 4
 #: (verdict, rule); a rule is a host and the start of a path.
@@ -56,37 +56,9 @@ def _grams(url: Column) -> Column:
 
 
 def gram_ratios(grams: DataFrame) -> DataFrame:
-    """Log ratio of both models for each ``gram``, from counts ``allowed`` and ``blocked``.
-
-    Each model mixes orders 0 to 3 after Witten and Bell: the share of a
-    character after a context is mixed with that after the context without its
-    first character, by the number of different characters seen after it. A
-    context that was never seen leaves the shorter one's share as it is.
-    """
-    probabilities = None
-    for k in range(ORDER):
-        ends = grams.groupBy(F.substring("gram", ORDER - k, k + 1).alias("e")).agg(
-            F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked")
-        )
-        ends = ends.withColumn("c", F.substring("e", 1, k))
-        contexts = ends.groupBy("c").agg(
-            *[F.sum(name).alias(f"{name}_all") for name in ("allowed", "blocked")],
-            *[F.sum((F.col(name) > 0).cast("long")).alias(f"{name}_kinds") for name in ("allowed", "blocked")],
-        )
-        table = ends.join(contexts, "c")
-        if probabilities is None:
-            table = table.withColumns({"allowed_p": F.lit(UNIFORM), "blocked_p": F.lit(UNIFORM)})
-        else:
-            shorter = probabilities.withColumnRenamed("e", "s")
-            table = table.withColumn("s", F.substring("e", 2, k)).join(shorter, "s")
-        mixed = {}
-        for name in ("allowed", "blocked"):
-            kinds, every, p = F.col(f"{name}_kinds"), F.col(f"{name}_all"), F.col(f"{name}_p")
-            mixed[name] = F.when(every == 0, p).otherwise((F.col(name) + kinds * p) / (every + kinds))
-        probabilities = table.select("e", *[value.alias(f"{name}_p") for name, value in mixed.items()])
-    return probabilities.select(
-        F.col("e").alias("gram"), (F.log("allowed_p") - F.log("blocked_p")).alias("ratio")
-    )
+    """Log ratio of both models for each ``gram``, from counts ``allowed`` and ``blocked``."""
+    chances = witten_bell(grams, ORDER, ["allowed", "blocked"], UNIFORM)
+    return chances.select("gram", (F.log("p_allowed") - F.log("p_blocked")).alias("ratio"))
 
 
 def url_scores(pages: DataFrame) -> DataFrame:
