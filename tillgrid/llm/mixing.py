@@ -163,6 +163,7 @@ def mixed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 def repeated(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` as often as the mix takes them, with their columns."""
     sizes = saved(docs.select(key, "source", word_count(F.col("text")).alias("size")))
-    placed = taken_times(docs, key, mix_plan(sizes, key).select("source", "times", "threshold"))
+    rows = docs.select(key, "source", F.struct(*docs.columns).alias("row"))
+    placed = taken_times(rows, key, mix_plan(sizes, key).select("source", "times", "threshold"))
     again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return placed.where("copies > 0").select(*docs.columns, again.alias("_copy")).drop("_copy")
+    return placed.where("copies > 0").select("row", again).select("row.*")
