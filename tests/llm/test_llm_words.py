@@ -195,10 +195,11 @@ def removal(rows):
     return Counter(made)
 
 
-@pytest.mark.parametrize("hot", [4096, 2])
+@pytest.mark.parametrize("hot", [16, 2])
 def test_without_repeats(docs, odd, empty, monkeypatch, hot):
     """Also where anchors count as hot and windows go their own ways."""
-    monkeypatch.setattr(passages, "HOT", hot)
+    monkeypatch.setattr(passages, "LEAST_HOT", hot)
+    monkeypatch.setattr(passages, "HOT_ASKED", 1)
     for table in (docs, odd, empty):
         rows = [(row["doc_id"], row["text"]) for row in table.select("doc_id", "text").collect()]
         found = passages.without_repeats(table, "doc_id").collect()

@@ -8,16 +8,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillgrid.llm.common import slices
+from tillgrid.llm.common import saved, slices
 
 #: Words of a window, and of the part of it that routes it to a shard.
 WINDOW, ANCHOR = 13, 4
-#: Segments from which on an anchor's windows are routed one by one, and words of a shard.
-HOT, SHARD_WORDS = 4096, 400_000
+#: Share of all segments from which on an anchor is hot, so that there are at most
+#: its inverse of them, and the part of the documents that is asked for hot ones.
+#: A hot anchor also has so many segments in that part.
+HOT_SHARE, HOT_ASKED, LEAST_HOT = 1 / 20_000, 1 / 64, 16
+#: Words of a shard.
+SHARD_WORDS = 150_000
 
 
 class FmIndex:
@@ -71,6 +75,13 @@ class FmIndex:
             at = np.where(bit, self.zeros[level] + ones_at, at - ones_at)
         return at - start
 
+    def first_row(self, patterns: np.ndarray) -> np.ndarray:
+        """First row of each pattern, a row of symbols that stand in the text like that."""
+        low = self.before[patterns[:, -1]]
+        for k in reversed(range(patterns.shape[1] - 1)):
+            low = self.before[patterns[:, k]] + self.occurrences(patterns[:, k], low)
+        return low
+
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First row and end of the rows that begin with each pattern, a row of symbols."""
         low = np.zeros(len(patterns), np.int64)
@@ -108,165 +119,212 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments of windows with one anchor: (anchor, doc_id, start, n).
+def _anchors(hot: np.ndarray):
+    """Segments of windows with one anchor: (route, anchor, doc_id, place, sure).
 
     The anchor of a window is the smallest hash of its four-word parts, so equal
-    windows have equal anchors, and neighbours mostly share theirs.
+    windows have equal anchors, and neighbours mostly share theirs. ``route`` is the
+    anchor. Segments of hot anchors, in ``hot``, are shared for sure and need not
+    meet; they are spread by document. ``place`` is the first word times 2^32 plus
+    the number of windows.
     """
-    for batch in (part for whole in batches for part in slices(whole, 1)):
-        counts, words = _split(batch.column(1))
-        ends = np.cumsum(counts)
-        coded = words.dictionary_encode()
-        hashes = np.fromiter(
-            (xxhash.xxh64_intdigest(word) for word in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary)
-        )[coded.indices.to_numpy()]
-        if len(hashes) < WINDOW:
-            continue
-        parts = np.zeros(len(hashes) - ANCHOR + 1, np.uint64)
-        for k in range(ANCHOR):
-            parts = _mixed(parts * np.uint64(3) + hashes[k: k + len(parts)])
-        anchors = _lowest(parts, WINDOW - ANCHOR + 1)
-        doc = np.repeat(np.arange(len(counts)), counts)[: len(anchors)]
-        position = np.arange(len(anchors))
-        whole = position + WINDOW <= ends[doc]
-        position, doc, anchors = position[whole], doc[whole], anchors[whole]
-        if not len(position):
-            continue
-        new = np.ones(len(position), bool)
-        new[1:] = (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1])
-        first = np.flatnonzero(new)
-        sizes = np.diff(np.concatenate([first, [len(position)]]))
-        start = position[first] - (ends - counts)[doc[first]]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(anchors[first].view(np.int64)),
-                batch.column(0).take(pa.array(doc[first])),
-                pa.array(start.astype(np.int32)),
-                pa.array(sizes.astype(np.int32)),
-            ],
-            names=["anchor", "doc_id", "start", "n"],
-        )
-
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of the segments that documents carry in ``found``."""
-    names = ["shard", "doc_id", "version", "start", "segment"]
-    for batch in batches:
-        rows: list[tuple] = []
-        for doc_id, version, text, found in zip(*(column.to_pylist() for column in batch.columns)):
-            if not found:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
+            counts, words = _split(batch.column(1))
+            ends = np.cumsum(counts)
+            coded = words.dictionary_encode()
+            hashes = np.fromiter(
+                (xxhash.xxh64_intdigest(word) for word in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary)
+            )[coded.indices.to_numpy()]
+            if len(hashes) < WINDOW:
+                continue
+            parts = np.zeros(len(hashes) - ANCHOR + 1, np.uint64)
+            for k in range(ANCHOR):
+                parts = _mixed(parts * np.uint64(3) + hashes[k: k + len(parts)])
+            anchors = _lowest(parts, WINDOW - ANCHOR + 1)
+            doc = np.repeat(np.arange(len(counts)), counts)[: len(anchors)]
+            position = np.arange(len(anchors))
+            whole = position + WINDOW <= ends[doc]
+            position, doc, anchors = position[whole], doc[whole], anchors[whole]
+            if not len(position):
                 continue
-            words = text.encode().split()
-            for one in found:
-                start, n = one["start"], one["n"]
-                if one["hot"]:
-                    for at in range(start, start + n):
-                        window = b" ".join(words[at: at + WINDOW])
-                        rows.append((xxhash.xxh64_intdigest(window) - 2**63, doc_id, version, at, window))
-                else:
-                    rows.append((one["anchor"], doc_id, version, start, b" ".join(words[start: start + n + WINDOW - 1])))
-            if len(rows) >= 100_000:
+            new = np.ones(len(position), bool)
+            new[1:] = (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1])
+            first = np.flatnonzero(new)
+            sizes = np.diff(np.concatenate([first, [len(position)]]))
+            start = position[first] - (ends - counts)[doc[first]]
+            own, doc = anchors[first], doc[first]
+            ids = batch.column(0).to_numpy()[doc]
+            sure = np.isin(own.view(np.int64), hot)
+            route = np.where(sure, _mixed(own + ids.astype(np.uint64)), own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(route.view(np.int64)), pa.array(own.view(np.int64)), pa.array(ids),
+                 pa.array(start.astype(np.int64) << 32 | sizes), pa.array(sure)],
+                names=["route", "anchor", "doc_id", "place", "sure"],
+            )
+
+    return run
+
+
+def _segments(hot: bool):
+    """Words of the segments in ``found``: (shard, doc_id, version, start, segment).
+
+    Of hot anchors, each window by itself, with its own hash for a shard; else
+    those of the others, whole, with their anchor for a shard.
+    """
+    names = ["shard", "doc_id", "version", "start", "segment"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
+            rows: list[tuple] = []
+            for doc_id, version, text, found in zip(*(column.to_pylist() for column in batch.columns)):
+                chosen = [one for one in found or () if one["sure"] is hot]
+                words = text.encode().split() if chosen else []
+                for one in chosen:
+                    start, n = one["place"] >> 32, one["place"] & 0xFFFFFFFF
+                    if hot:
+                        for at in range(start, min(start + n, len(words) - WINDOW + 1)):
+                            window = b" ".join(words[at: at + WINDOW])
+                            rows.append((xxhash.xxh64_intdigest(window) - 2**63, doc_id, version, at, window))
+                    else:
+                        rows.append((one["anchor"], doc_id, version, start, b" ".join(words[start: start + n + WINDOW - 1])))
+                if len(rows) >= 50_000:
+                    yield _batch(rows, names)
+                    rows = []
+            if rows:
                 yield _batch(rows, names)
-                rows = []
-        if rows:
-            yield _batch(rows, names)
+
+    return run
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), types)]
     return pa.RecordBatch.from_arrays([*columns[:4], columns[4].cast(pa.string())], names=names)
 
 
-def _firsts(segments: pa.Array, docs: np.ndarray) -> pa.Array:
-    """For each segment the smallest document with each of its windows, in any segment."""
-    counts, words = _split(segments)
-    coded = words.dictionary_encode().indices.to_numpy() + 1
-    ends = np.cumsum(counts)
+def _firsts(segments: pa.Array, docs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Number of each segment among the different ones, and for each of those the
+    smallest document with each of its windows, in any segment."""
+    coded = segments.dictionary_encode()
+    which, different = coded.indices.to_numpy(), coded.dictionary
+    first = np.full(len(different), np.iinfo(np.int64).max)
+    np.minimum.at(first, which, docs)
+    counts, words = _split(different)
+    symbols = words.dictionary_encode().indices.to_numpy() + 1
     owner = np.repeat(np.arange(len(counts)), counts)
     # One separator after each segment.
-    text = np.zeros(len(coded) + len(counts), np.int64)
-    text[np.arange(len(coded)) + owner] = coded
+    text = np.zeros(len(symbols) + len(counts), np.int64)
+    text[np.arange(len(symbols)) + owner] = symbols
     owner = np.repeat(np.arange(len(counts)), counts + 1)
     index = FmIndex(text, WINDOW)
     borders = np.flatnonzero(np.diff(index.classes, prepend=-1))
-    smallest = np.minimum.reduceat(docs[owner[index.rows]], borders)
+    smallest = np.minimum.reduceat(first[owner[index.rows]], borders)
     windows = np.maximum(0, counts - WINDOW + 1)
-    which = np.repeat(np.arange(len(counts)), windows)
-    offset = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = (ends - counts)[which] + which + offset
+    of = np.repeat(np.arange(len(counts)), windows)
+    offset = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = (np.cumsum(counts) - counts)[of] + of + offset
     made = np.empty(len(at), np.int64)
-    for part in np.array_split(np.arange(len(at)), max(1, len(at) // 50_000)):
-        low, _ = index.search(text[at[part][:, None] + np.arange(WINDOW)])
+    for part in np.array_split(np.arange(len(at)), max(1, len(at) // 20_000)):
+        low = index.first_row(text[at[part][:, None] + np.arange(WINDOW)])
         made[part] = smallest[index.classes[low]]
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(windows)]).astype(np.int32)), pa.array(made))
+    return which, np.split(made, np.cumsum(windows)[:-1])
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Indexes rows (shard, key1, key2, segment, first), sorted by shard, and searches them.
+def _by_shard(search):
+    """``search`` on rows (shard, doc_id, version, start, segment), sorted by shard.
 
     Shard keys that follow each other share an index until it has enough words;
     a key is never torn apart.
     """
-    held: list[pa.RecordBatch] = []
-    size = 0
 
-    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        table = table.combine_chunks()
-        segments = table["segment"].combine_chunks() if table["segment"].num_chunks != 1 else table["segment"].chunk(0)
-        firsts = _firsts(segments, table["first"].to_numpy())
-        yield from pa.table(
-            {"shard": table["shard"], "key1": table["key1"], "key2": table["key2"], "firsts": firsts}
-        ).to_batches(max_chunksize=20_000)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            while batch.num_rows:
+                # About six bytes a word.
+                sizes = pc.binary_length(batch["segment"]).to_numpy() // 6 + 2
+                keys = batch["shard"].to_numpy()
+                full = int(np.searchsorted(np.cumsum(sizes), SHARD_WORDS - size))
+                later = np.flatnonzero(keys[full:] != keys[full]) if full < batch.num_rows else ()
+                if not len(later):
+                    held.append(batch)
+                    size += int(sizes.sum())
+                    break
+                cut = full + int(later[0])
+                yield from search(pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()).to_batches()
+                held, size, batch = [], 0, batch.slice(cut)
+        if held:
+            yield from search(pa.Table.from_batches(held).combine_chunks()).to_batches()
+
+    return run
+
+
+def _repeats(table: pa.Table) -> pa.Table:
+    """(doc_id, version, starts) of rows with windows that an earlier document has."""
+    docs, starts = table["doc_id"].to_numpy(), table["start"].to_numpy()
+    which, firsts = _firsts(table["segment"].chunk(0), docs)
+    found = [np.flatnonzero(firsts[own] < doc) for own, doc in zip(which.tolist(), docs.tolist())]
+    hits = np.array([len(own) for own in found])
+    full = np.flatnonzero(hits)
+    flat = np.concatenate([np.zeros(0, np.int64), *[found[i] + starts[i] for i in full.tolist()]])
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.concatenate([[0], np.cumsum(hits[full])]).astype(np.int32)), pa.array(flat.astype(np.int32))
+    )
+    taken = table.select(["doc_id", "version"]).take(pa.array(full))
+    return pa.table({"doc_id": taken["doc_id"], "version": taken["version"], "starts": lists}).combine_chunks()
 
-    for batch in batches:
-        while batch.num_rows:
-            # About six bytes a word.
-            sizes = pc.binary_length(batch["segment"]).to_numpy() // 6 + 2
-            keys = batch["shard"].to_numpy()
-            full = np.searchsorted(np.cumsum(sizes), SHARD_WORDS - size)
-            if full >= batch.num_rows:
-                held.append(batch)
-                size += int(sizes.sum())
-                break
-            # The next border of keys from there on.
-            later = np.flatnonzero(keys[full:] != keys[full])
-            cut = full + int(later[0]) if len(later) else batch.num_rows
-            held.append(batch.slice(0, cut))
-            if cut == batch.num_rows:
-                size += int(sizes.sum())
-                batch = batch.slice(cut)
-                break
-            yield from run(pa.Table.from_batches(held))
-            held, size, batch = [], 0, batch.slice(cut)
-    if held:
-        yield from run(pa.Table.from_batches(held))
+
+def _first_documents(table: pa.Table) -> pa.Table:
+    """(shard, key, first): the smallest document of each segment of one window."""
+    which, firsts = _firsts(table["segment"].chunk(0), table["doc_id"].to_numpy())
+    first = np.array([int(firsts[own][0]) for own in which.tolist()], np.int64)
+    return pa.table({"shard": table["shard"], "key": table["start"], "first": first}).combine_chunks()
 
 
 def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words_of, removed_of, kept_of = [], [], []
-        for text, starts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, version, found in zip(*(column.to_pylist() for column in batch.columns[:3])):
             words = (text or "").encode().split()
+            starts = [at for one in found or () if one["version"] == version for at in one["starts"]]
+            kept = words
             if starts:
                 covered = np.zeros(len(words) + 1, np.int64)
                 np.add.at(covered, starts, 1)
                 np.add.at(covered, np.asarray(starts) + WINDOW, -1)
                 keep = np.cumsum(covered)[: len(words)] == 0
                 kept = [word for word, stays in zip(words, keep.tolist()) if stays]
-            else:
-                kept = words
             words_of.append(len(words))
             removed_of.append(len(words) - len(kept))
             kept_of.append(b" ".join(kept))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[2:], pa.array(words_of, pa.int64()), pa.array(removed_of, pa.int64()),
+            [*batch.columns[3:], pa.array(words_of, pa.int64()), pa.array(removed_of, pa.int64()),
              pa.array(kept_of, pa.binary()).cast(pa.string())],
-            names=[*batch.schema.names[2:], "n_words", "n_removed", "kept_text"],
+            names=[*batch.schema.names[3:], "n_words", "n_removed", "kept_text"],
         )
 
 
+ANCHORS = "route long, anchor long, doc_id long, place long, sure boolean"
+REPEATS = "doc_id long, version int, starts array<int>"
+SEGMENTS = "shard long, doc_id long, version int, start int, segment string"
+
+
+def hot_anchors(texts: DataFrame) -> np.ndarray:
+    """Anchors with at least ``HOT_SHARE`` of the segments, as far as a part of the documents shows.
+
+    They only choose the way that segments go, as the sample of a range partitioning
+    does; any choice gives the same result. By the share there are at most
+    1 / ``HOT_SHARE``, which is what the driver gets and the tasks are given.
+    """
+    asked = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(round(1 / HOT_ASKED))) == 0)
+    counts = saved(asked.mapInArrow(_anchors(np.zeros(0, np.int64)), ANCHORS).groupBy("anchor").count())
+    least = max(LEAST_HOT, HOT_SHARE * (counts.agg(F.sum("count")).first()[0] or 0))
+    return np.array([row["anchor"] for row in counts.where(F.col("count") >= least).collect()], np.int64)
+
+
 def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     """Columns ``keep`` of ``docs``, ``n_words``, ``n_removed`` and ``kept_text``.
 
@@ -275,66 +333,56 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     are judged on what comes in.
 
     Windows go to shards by their anchor; those whose anchor stands in one
-    document only can't repeat and stop there. What remains is gathered by
-    document, its words are cut out, equal segments are merged before they move,
-    and each shard is an FM-index that is searched for all its windows. Anchors
-    with very many segments send each window to a shard of its own, so a passage
-    in a third of all documents is spread over the tasks.
+    document only can't repeat and stop there. The rest are gathered by document
+    and their words cut out. Each shard is an FM-index that is searched for all its
+    windows. Windows of hot anchors have shards of their own, and equal ones are
+    merged before they move, so that a passage in a third of all documents is
+    spread over the tasks.
 
     Null texts have no words. Rows with a null ``doc_id`` neither lose words nor cost
     others theirs, nor do repeated rows each other.
     """
     texts = docs.select("doc_id", "text")
-    found = texts.where("doc_id is not null and text is not null").mapInArrow(
-        _anchors, "anchor long, doc_id long, start int, n int"
+    whole = texts.where("doc_id is not null and text is not null")
+    meeting = Window.partitionBy("route")
+    found = (
+        whole.mapInArrow(_anchors(hot_anchors(whole)), ANCHORS)
+        .withColumns({"low": F.min("doc_id").over(meeting), "high": F.max("doc_id").over(meeting)})
+        .where("sure or low < high")
     )
-    anchors = found.groupBy("anchor").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("rows")
-    )
-    shared = anchors.where("low < high").select("anchor", (F.col("rows") > HOT).alias("hot"))
-    by_doc = (
-        found.join(shared, "anchor")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("start", "n", "anchor", "hot")).alias("found"))
-    )
-    segments = (
-        texts.join(by_doc, "doc_id", "left")
-        .select("doc_id", F.xxhash64("text").alias("version"), "text", "found")
-        .mapInArrow(_segments, "shard long, doc_id long, version long, start int, segment string")
-        .withColumns({"key1": F.xxhash64("segment"), "key2": F.xxhash64(F.lit(1), "segment")})
-    )
-    merged = segments.groupBy("shard", "segment").agg(
-        F.first("key1").alias("key1"), F.first("key2").alias("key2"), F.min("doc_id").alias("first")
+    by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place", "sure")).alias("found"))
+    carried = texts.join(by_doc, "doc_id", "left").select("doc_id", F.hash("text").alias("version"), "text", "found")
+    direct = (
+        carried.mapInArrow(_segments(False), SEGMENTS)
+        .repartition("shard")
+        .sortWithinPartitions("shard")
+        .mapInArrow(_by_shard(_repeats), REPEATS)
     )
+    windows = carried.mapInArrow(_segments(True), SEGMENTS).withColumn("key", F.hash("segment"))
     firsts = (
-        merged.select("shard", "key1", "key2", "segment", "first")
+        windows.groupBy("shard", "segment")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("key").alias("start"))
+        .select("shard", "doc_id", F.lit(0).alias("version"), "start", "segment")
         .repartition("shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(_search, "shard long, key1 long, key2 long, firsts array<long>")
+        .mapInArrow(_by_shard(_first_documents), "shard long, key int, first long")
     )
-    repeats = (
-        segments.drop("segment")
-        .join(firsts, ["shard", "key1", "key2"])
-        .select(
-            "doc_id",
-            "version",
-            F.filter(
-                F.transform("firsts", lambda first, i: F.when(first < F.col("doc_id"), F.col("start") + i)),
-                lambda at: at.isNotNull(),
-            ).alias("starts"),
-        )
-        .where(F.size("starts") > 0)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
-        .agg(F.flatten(F.collect_list("starts")).alias("_starts"))
+    spread = (
+        windows.drop("segment")
+        .join(firsts, ["shard", "key"])
+        .where("first < doc_id")
+        .select("doc_id", "version", F.array("start").alias("starts"))
     )
-    joined = docs.join(
-        repeats, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_version")), "left"
+    repeats = direct.union(spread).groupBy(F.col("doc_id").alias("_id")).agg(
+        F.collect_list(F.struct("version", "starts")).alias("_found")
     )
-    kept = [docs.schema[name] for name in keep]
+    joined = docs.join(repeats, docs["doc_id"] == F.col("_id"), "left")
     schema = T.StructType([
-        *kept,
+        *[docs.schema[name] for name in keep],
         T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()),
         T.StructField("kept_text", T.StringType()),
     ])
-    return joined.select(F.col("text").alias("_text"), "_starts", *[docs[name] for name in keep]).mapInArrow(_removal, schema)
+    return joined.select(
+        F.col("text").alias("_text"), F.hash("text").alias("_version"), "_found", *[docs[name] for name in keep]
+    ).mapInArrow(_removal, schema)
