@@ -120,13 +120,13 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _anchors(hot: np.ndarray):
-    """Segments of windows with one anchor: (route, anchor, doc_id, place, sure).
+    """Segments of windows with one anchor: (route, doc_id, place).
 
     The anchor of a window is the smallest hash of its four-word parts, so equal
     windows have equal anchors, and neighbours mostly share theirs. ``route`` is the
     anchor. Segments of hot anchors, in ``hot``, are shared for sure and need not
-    meet; they are spread by document. ``place`` is the first word times 2^32 plus
-    the number of windows.
+    meet; they are spread by document. ``place`` is the first word times 2^31 plus
+    the number of windows; for hot anchors, -1 less that.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,10 +158,10 @@ def _anchors(hot: np.ndarray):
             ids = batch.column(0).to_numpy()[doc]
             sure = np.isin(own.view(np.int64), hot)
             route = np.where(sure, _mixed(own + ids.astype(np.uint64)), own)
+            place = start.astype(np.int64) << 31 | sizes
             yield pa.RecordBatch.from_arrays(
-                [pa.array(route.view(np.int64)), pa.array(own.view(np.int64)), pa.array(ids),
-                 pa.array(start.astype(np.int64) << 32 | sizes), pa.array(sure)],
-                names=["route", "anchor", "doc_id", "place", "sure"],
+                [pa.array(route.view(np.int64)), pa.array(ids), pa.array(np.where(sure, -1 - place, place))],
+                names=["route", "doc_id", "place"],
             )
 
     return run
@@ -179,16 +179,17 @@ def _segments(hot: bool):
         for batch in (part for whole in batches for part in slices(whole, 2)):
             rows: list[tuple] = []
             for doc_id, version, text, found in zip(*(column.to_pylist() for column in batch.columns)):
-                chosen = [one for one in found or () if one["sure"] is hot]
+                chosen = [one for one in found or () if (one["place"] < 0) is hot]
                 words = text.encode().split() if chosen else []
                 for one in chosen:
-                    start, n = one["place"] >> 32, one["place"] & 0xFFFFFFFF
+                    place = -1 - one["place"] if hot else one["place"]
+                    start, n = place >> 31, place & 0x7FFFFFFF
                     if hot:
                         for at in range(start, min(start + n, len(words) - WINDOW + 1)):
                             window = b" ".join(words[at: at + WINDOW])
                             rows.append((xxhash.xxh64_intdigest(window) - 2**63, doc_id, version, at, window))
                     else:
-                        rows.append((one["anchor"], doc_id, version, start, b" ".join(words[start: start + n + WINDOW - 1])))
+                        rows.append((one["route"], doc_id, version, start, b" ".join(words[start: start + n + WINDOW - 1])))
                 if len(rows) >= 50_000:
                     yield _batch(rows, names)
                     rows = []
@@ -263,18 +264,26 @@ def _by_shard(search):
 
 
 def _repeats(table: pa.Table) -> pa.Table:
-    """(doc_id, version, starts) of rows with windows that an earlier document has."""
+    """(doc_id, version, runs) of rows with windows that an earlier document has.
+
+    ``runs`` has pairs: the first word of such a window, and how many follow each other.
+    """
     docs, starts = table["doc_id"].to_numpy(), table["start"].to_numpy()
     which, firsts = _firsts(table["segment"].chunk(0), docs)
-    found = [np.flatnonzero(firsts[own] < doc) for own, doc in zip(which.tolist(), docs.tolist())]
-    hits = np.array([len(own) for own in found])
-    full = np.flatnonzero(hits)
-    flat = np.concatenate([np.zeros(0, np.int64), *[found[i] + starts[i] for i in full.tolist()]])
+    sizes = np.array([len(own) for own in firsts])[which]
+    row = np.repeat(np.arange(len(docs)), sizes)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    earlier = np.concatenate([np.zeros(0, np.int64), *[firsts[own] for own in which.tolist()]]) < docs[row]
+    row, offset = row[earlier], offset[earlier]
+    new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)])[: len(row)])
+    length = np.diff(np.concatenate([new, [len(row)]]))
+    flat = np.stack([starts[row[new]] + offset[new], length], axis=1).reshape(-1)
+    full, count = np.unique(row[new], return_counts=True)
     lists = pa.ListArray.from_arrays(
-        pa.array(np.concatenate([[0], np.cumsum(hits[full])]).astype(np.int32)), pa.array(flat.astype(np.int32))
+        pa.array(np.concatenate([[0], 2 * np.cumsum(count)]).astype(np.int32)), pa.array(flat.astype(np.int32))
     )
     taken = table.select(["doc_id", "version"]).take(pa.array(full))
-    return pa.table({"doc_id": taken["doc_id"], "version": taken["version"], "starts": lists}).combine_chunks()
+    return pa.table({"doc_id": taken["doc_id"], "version": taken["version"], "runs": lists}).combine_chunks()
 
 
 def _first_documents(table: pa.Table) -> pa.Table:
@@ -289,12 +298,13 @@ def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of, removed_of, kept_of = [], [], []
         for text, version, found in zip(*(column.to_pylist() for column in batch.columns[:3])):
             words = (text or "").encode().split()
-            starts = [at for one in found or () if one["version"] == version for at in one["starts"]]
+            runs = [at for one in found or () if one["version"] == version for at in one["runs"]]
             kept = words
-            if starts:
+            if runs:
+                starts, lengths = np.array(runs).reshape(-1, 2).T
                 covered = np.zeros(len(words) + 1, np.int64)
                 np.add.at(covered, starts, 1)
-                np.add.at(covered, np.asarray(starts) + WINDOW, -1)
+                np.add.at(covered, starts + lengths + WINDOW - 1, -1)
                 keep = np.cumsum(covered)[: len(words)] == 0
                 kept = [word for word, stays in zip(words, keep.tolist()) if stays]
             words_of.append(len(words))
@@ -307,8 +317,8 @@ def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-ANCHORS = "route long, anchor long, doc_id long, place long, sure boolean"
-REPEATS = "doc_id long, version int, starts array<int>"
+ANCHORS = "route long, doc_id long, place long"
+REPEATS = "doc_id long, version int, runs array<int>"
 SEGMENTS = "shard long, doc_id long, version int, start int, segment string"
 
 
@@ -320,9 +330,9 @@ def hot_anchors(texts: DataFrame) -> np.ndarray:
     1 / ``HOT_SHARE``, which is what the driver gets and the tasks are given.
     """
     asked = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(round(1 / HOT_ASKED))) == 0)
-    counts = saved(asked.mapInArrow(_anchors(np.zeros(0, np.int64)), ANCHORS).groupBy("anchor").count())
+    counts = saved(asked.mapInArrow(_anchors(np.zeros(0, np.int64)), ANCHORS).groupBy("route").count())
     least = max(LEAST_HOT, HOT_SHARE * (counts.agg(F.sum("count")).first()[0] or 0))
-    return np.array([row["anchor"] for row in counts.where(F.col("count") >= least).collect()], np.int64)
+    return np.array([row["route"] for row in counts.where(F.col("count") >= least).collect()], np.int64)
 
 
 def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
@@ -348,9 +358,9 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     found = (
         whole.mapInArrow(_anchors(hot_anchors(whole)), ANCHORS)
         .withColumns({"low": F.min("doc_id").over(meeting), "high": F.max("doc_id").over(meeting)})
-        .where("sure or low < high")
+        .where("place < 0 or low < high")
     )
-    by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place", "sure")).alias("found"))
+    by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("route", "place")).alias("found"))
     carried = texts.join(by_doc, "doc_id", "left").select("doc_id", F.hash("text").alias("version"), "text", "found")
     direct = (
         carried.mapInArrow(_segments(False), SEGMENTS)
@@ -371,10 +381,10 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
         windows.drop("segment")
         .join(firsts, ["shard", "key"])
         .where("first < doc_id")
-        .select("doc_id", "version", F.array("start").alias("starts"))
+        .select("doc_id", "version", F.array("start", F.lit(1)).alias("runs"))
     )
     repeats = direct.union(spread).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_list(F.struct("version", "starts")).alias("_found")
+        F.collect_list(F.struct("version", "runs")).alias("_found")
     )
     joined = docs.join(repeats, docs["doc_id"] == F.col("_id"), "left")
     schema = T.StructType([
