@@ -1,0 +1,252 @@
+"""Operators with models and vectors: brute force, exact round trips, held-out accuracy."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from tillgrid.llm import classifier, lm_scores, near_vectors, pieces, url_filter
+from tillgrid.llm.common import witten_bell
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+# Vectors
+
+
+def vector_rows():
+    draw = np.random.default_rng(4)
+    rows, number = [], 0
+    for label in (0, 1, 1, 1, None):
+        for _ in range(12):
+            seed = draw.normal(size=6)
+            for _ in range(draw.integers(1, 5)):
+                rows.append((number, (seed + draw.normal(size=6) * 0.12).tolist(), label))
+                number += 1
+    rows += [(number, rows[0][1], 0), (number + 1, rows[0][1], 0), (number + 2, [2 * x for x in rows[0][1]], 0)]
+    rows += [(number + 3, None, 0), (number + 4, [0.0] * 6, 0), (number + 5, [1.0, float("nan")] * 3, 0)]
+    rows += [(number + 6, [1.0, None] * 3, 0), (number + 7, [float("inf")] + [1.0] * 5, 1), (number + 8, [1.0, 2.0], 1)]
+    rows += [(number + 9, [1.0, 2.0], 1), (number + 10, [], 1)]
+    return rows
+
+
+def direct_links(rows, least):
+    def unit(vector):
+        if not vector or any(x is None or not math.isfinite(x) for x in vector) or not any(vector):
+            return None
+        return np.array(vector) / np.linalg.norm(vector)
+
+    units = [unit(vector) for _, vector, _ in rows]
+    return [
+        (i, j)
+        for i in range(len(rows))
+        for j in range(len(rows))
+        if i != j and units[i] is not None and units[j] is not None and rows[i][2] is not None
+        and rows[i][2] == rows[j][2] and len(units[i]) == len(units[j]) and units[i] @ units[j] >= least
+    ]
+
+
+@pytest.mark.parametrize("size", [2048, 8])
+def test_near_vectors(spark, monkeypatch, size):
+    """One cell a label, and many cells of many blocks."""
+    monkeypatch.setattr(near_vectors, "PER_PIVOT", size)
+    monkeypatch.setattr(near_vectors, "IN_BLOCK", size)
+    rows = vector_rows()
+    pairs = direct_links(rows, 0.93)
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+    counts = Counter(i for i, _ in pairs)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("node", F.lit("x"))
+    found = {row["vec_id"]: tuple(row)[1:] for row in near_vectors.near_vectors(table.repartition(3)).collect()}
+    assert len(pairs) > 50
+    assert found == {i: (counts[i], label[i], label[i] == i) for i in range(len(rows))}
+
+
+def test_near_vectors_of_odd_rows(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.0], 0), (None, None, None)]
+    found = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((row["vec_id"] is None, row["n_links"], row["component_id"] or 0) for row in found) == [
+        (False, 2, 1), (False, 2, 1), (True, 0, 0), (True, 2, 0)
+    ]
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert near_vectors.near_vectors(empty).count() == 0
+
+
+# Classifier
+
+
+def test_isotonic_shares():
+    good, every = np.array([1.0, 3, 1, 4, 0, 9]), np.array([10.0, 10, 10, 10, 10, 10])
+    found = classifier.increasing(np.arange(6), good, every)
+    assert (np.diff(found) >= 0).all()
+    assert found == pytest.approx([0.1, 0.2, 0.2, 0.2, 0.2, 0.9])
+
+
+def test_classifier_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    odd = spark.createDataFrame([(None, "a b"), (10**9, None), (10**9 + 1, ""), (10**9 + 1, "")], "doc_id long, text string")
+    every = docs.select("doc_id", "text").union(odd).withColumn("score", F.lit("clash"))
+    found = classifier.classified(every, labels)
+    assert found.count() == docs.count() + 4
+    assert found.where("score is null or score < 0 or score > 1 or predicted <> cast(score >= 0.3 as int)").count() == 0
+    assert found.where("held_out <> coalesce(crc32(string(doc_id)) % 5 = 0, false)").count() == 0
+    right = found.join(labels, "doc_id").where("held_out").agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0]
+    assert right > 0.95
+
+
+def test_classifier_without_rows(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert classifier.classified(empty, labels).count() == 0
+    one = spark.createDataFrame([(1, "text")], "doc_id long, text string")
+    assert classifier.classified(one, labels).first()["score"] == 0.5
+
+
+# Language models
+
+
+def chances_of(counts, order, uniform):
+    """Chance of each n-gram from its counts, by the definition."""
+    ngrams = defaultdict(int)
+    for gram, n in counts.items():
+        for k in range(order):
+            ngrams[gram[order - k - 1:]] += n
+    after = defaultdict(lambda: [0, 0])
+    for gram, n in ngrams.items():
+        after[gram[:-1]][0] += n
+        after[gram[:-1]][1] += n > 0
+
+    def chance(gram):
+        shorter = chance(gram[1:]) if len(gram) > 1 else uniform
+        n, kinds = after[gram[:-1]]
+        return (ngrams[gram] + kinds * shorter) / (n + kinds) if n else shorter
+
+    return {gram: chance(gram) for gram in counts}
+
+
+TEXTS = ["abab abba", "aab", "", None, "xyz é日", "abab abba", "b" * 50]
+
+
+def gram_counts(texts, order):
+    counts = Counter()
+    for text in texts:
+        padded = "\x02" * (order - 1) + (text or "")
+        counts.update(padded[i: i + order] for i in range(len(padded) - order + 1))
+    return counts
+
+
+def test_witten_bell(spark):
+    a, b = gram_counts(TEXTS[:3], 3), gram_counts(TEXTS[2:], 3)
+    rows = [(gram, a[gram], b[gram]) for gram in {*a, *b}]
+    found = witten_bell(spark.createDataFrame(rows, "gram string, a long, b long"), 3, ["a", "b"], 0.01).collect()
+    for counts, name in ((a, "p_a"), (b, "p_b")):
+        expected = chances_of({gram: counts[gram] for gram, _, _ in rows}, 3, 0.01)
+        assert {row["gram"]: row[name] for row in found} == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("part", [2_000_000, 4])
+@pytest.mark.parametrize("sent", [10**6, 0])
+def test_entropy_differences(spark, monkeypatch, sent, part):
+    """Sent and joined models; texts whole and in parts."""
+    monkeypatch.setattr(lm_scores, "PART", part)
+    rows = [(i, text, i in (0, 1, 4), i in (1, 5)) for i, text in enumerate(TEXTS)]
+    members = spark.createDataFrame(rows, "doc_id long, text string, target boolean, background boolean")
+    scored = lm_scores.scored(members.select("doc_id", "text"), lm_scores.losses(members), sent).collect()
+    every = set(gram_counts(TEXTS, 5))
+    uniform = 1 / len({gram[-1] for gram in every})
+    for k, name in ((2, "target"), (3, "background")):
+        counts = gram_counts([row[1] for row in rows if row[k]], 5)
+        chance = chances_of({gram: counts[gram] for gram in every}, 5, uniform)
+        for row in scored:
+            own = gram_counts([TEXTS[row["doc_id"]]], 5)
+            assert row["n_tokens"] == sum(own.values())
+            assert row[f"{name}_sum"] == pytest.approx(-sum(n * math.log(chance[gram]) for gram, n in own.items()))
+
+
+def test_entropy_differences_of_odd_rows(spark):
+    docs = spark.createDataFrame([(None, "ab"), (1, "ab"), (1, "ab"), (2, None), (3, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (None, 1), (2, 0)], "doc_id long, quality int")
+    found = lm_scores.entropy_differences(docs.withColumn("key", F.lit(1)), labels).collect()
+    assert len(found) == 5
+    assert {row["score"] for row in found if not row["n_tokens"]} == {0.0}
+    empty = lm_scores.entropy_differences(docs.limit(0), labels.limit(0))
+    assert empty.count() == 0
+
+
+# URLs
+
+
+def test_hosts_paths_and_rules(spark):
+    cases = {
+        "http://A.Example.NET/en/1?x#y": ("a.example.net", "/en/1", "example.net/en/"),
+        "https://example.net/fr/": ("example.net", "/fr/", "net/"),
+        "x://notexample.net": ("notexample.net", "", None),
+        "http://net/": ("net", "/", "net/"),
+        "http://planet/": ("planet", "/", None),
+        "http://b.example.com/de/x": ("b.example.com", "/de/x", "example.com/de/"),
+        "http://a.org/fr/?q://z": ("a.org", "/fr/", "org/fr/"),
+        "http://a.org/fr": ("a.org", "/fr", None),
+        "no scheme": ("", "", None),
+        "": ("", "", None),
+        None: ("", "", None),
+        "a://É.NET#/x": ("É.net", "", None),
+        "http://h/p#f?g": ("h", "/p", None),
+    }
+    pages = spark.createDataFrame([(i, url) for i, url in enumerate(cases)], "page_id long, url string")
+    rows = url_filter.with_rule(url_filter.with_host_and_path(pages)).collect()
+    assert {row["url"]: (row["host"], row["path"], row["rule"]) for row in rows} == cases
+
+
+def test_filter_urls(spark):
+    draw = random.Random(1)
+    rows = []
+    for i in range(300):
+        good = draw.random() < 0.5
+        word = "".join(draw.choices("aeiou" if good else "xzqwk", k=12))
+        ruled = draw.random() < 0.5
+        host = ("example.net/en/" if good else "site.net/de/") if ruled else "other.example.com/xx/"
+        rows.append((i, f"http://{host}{word}", good))
+    rows += [(1000, None, True), (1000, None, True), (1001, "http://" + "q" * 5000 + ".com/", False)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, good boolean").withColumn("score", F.lit("clash"))
+    found = url_filter.filter_urls(pages)
+    assert found.count() == len(rows)
+    others = found.where("rule is null and url is not null").collect()
+    assert sum((row["verdict"] == "allow") == row["good"] for row in others) >= 0.95 * len(others)
+    assert {row["verdict"] for row in found.where("rule = 'net/'").collect()} == {"block"}
+    assert url_filter.filter_urls(pages.limit(0)).count() == 0
+
+
+# Pieces
+
+
+def test_pieces_are_those_of_the_library(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    draw = random.Random(7)
+    alphabet = ["a", "b", " ", "  ", "\n", "▁", "é", "日", "😀", "\t", "th", "ing", "\x00", "0", "==", "     ", "A"]
+    texts = ["".join(draw.choices(alphabet, k=draw.randint(0, 40))) for _ in range(800)]
+    texts += [" " * k for k in range(40)] + ["a" * k for k in range(60)] + ["=-" * 500, "", None, "x" * 20000]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("ids", F.lit("clash"))
+    rows = {row["doc_id"]: row for row in pieces.with_pieces(table, MODEL).collect()}
+    for i, text in enumerate(texts):
+        expected = library.encode(text or "")
+        assert list(rows[i]["ids"]) == expected
+        assert rows[i]["decoded"] == library.decode(expected)
+    assert pieces.with_pieces(table.limit(0), MODEL).count() == 0
+
+
+def test_decoding_any_ids():
+    with open(MODEL, "rb") as file:
+        model = file.read()
+    coder, library = pieces.PieceCoder(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    draw = random.Random(8)
+    for _ in range(500):
+        ids = [draw.choice([draw.randrange(32000), draw.randrange(3, 259), draw.randrange(3, 259)]) for _ in range(9)]
+        assert coder.decode(np.array(ids, np.int32)) == library.decode(ids)
