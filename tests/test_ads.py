@@ -172,3 +172,21 @@ def test_monthly_fails_on_a_bad_date(spark):
     )
     with pytest.raises(Exception, match="no date"):
         ads_monthly(ads, 2025, 8).collect()
+
+
+def test_sheet_names_and_empty_header_lines(spark, tmp_path):
+    folder = tmp_path / "ads {a}"
+    folder.mkdir()
+    row = ",".join(grid_row("2025-01-06", total_signups="5"))
+    (folder / "ad RAW [data].csv").write_bytes(f"title\r\n\r\ndate\r\n{row}\r\n\r\n{row}".encode())
+    sheet = raw_sheet(spark, str(folder))
+    assert sheet.endswith("/ad RAW [data].csv")
+    assert [row.total_signups for row in read_ad_grid(spark, sheet).collect()] == ["5", "5"]
+
+
+def test_dates_that_are_not_written_in_full(spark):
+    texts = ["2025-02-3", "2025-01-05", "2025-01-05 10:00", "2025-01-04 10:00", "", "x"]
+    ads = spark.createDataFrame([(text, 1.0, 1.0, 1.0, 1.0) for text in texts],
+        "date string, total_signups double, total_cost double, total_conversions double, total_roas double")
+    weeks = {row.period: row.signups for row in ads_weekly(ads, "2024-12-30", 32).collect()}
+    assert weeks == {1: 2, 9: 1}

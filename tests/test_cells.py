@@ -1,9 +1,11 @@
 """Placing, merging, storing and reading back report cells."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import shop
 from tillgrid.functions import codes
+from tillgrid.functions.a1 import column_letter
 from tillgrid.operators import cells
 from tillgrid.plans import dashboard, layouts
 from tillgrid.sources import cell_store
@@ -94,6 +96,35 @@ def test_store(spark, tmp_path):
     assert values(cell_store.read_cells(spark, store)) == {("s", 1, 1): "x"}
 
 
+def test_store_counts_complete_versions_only(spark, tmp_path):
+    store = tmp_path / "cells [1]"
+    cell_store.replace_cells(cell_rows(spark, [("s", 1, 1, "x")]), str(store))
+    (store / "version=2").mkdir()
+    (store / "version=2" / "part-0.parquet").write_bytes(b"half")
+    assert values(cell_store.read_cells(spark, str(store))) == {("s", 1, 1): "x"}
+    cell_store.upsert_cells(cell_rows(spark, [("s", 1, 2, "y")]), str(store))
+    assert cell_store.latest_version(spark, str(store)) == 3
+    assert values(cell_store.read_cells(spark, str(store))) == {("s", 1, 1): "x", ("s", 1, 2): "y"}
+
+
+def test_store_is_emptied_and_keeps_few_versions(spark, tmp_path):
+    store = tmp_path / "cells"
+    for number in range(5):
+        cell_store.replace_cells(cell_rows(spark, [("s", 1, 1, str(number))]), str(store))
+    assert sorted(path.name for path in store.iterdir()) == ["version=3", "version=4", "version=5"]
+    cell_store.replace_cells(cell_rows(spark, []), str(store))
+    assert cell_store.read_cells(spark, str(store)).count() == 0
+    cell_store.upsert_cells(cell_rows(spark, [("s", 1, 1, "new")]), str(store))
+    assert values(cell_store.read_cells(spark, str(store))) == {("s", 1, 1): "new"}
+
+
+def test_columns_without_letters_fail(spark):
+    numbers = spark.createDataFrame([(1,), (27,), (702,)], "n int")
+    assert [row[0] for row in numbers.select(column_letter(F.col("n"))).collect()] == ["A", "AA", "ZZ"]
+    with pytest.raises(Exception, match="no letters for column 703"):
+        spark.createDataFrame([(703,)], "n int").select(column_letter(F.col("n"))).collect()
+
+
 def test_verify_adds_the_first_two_rows(spark):
     table = cell_rows(
         spark,

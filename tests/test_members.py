@@ -107,3 +107,11 @@ def test_requests_from_timestamps_and_from_text(spark):
     for table in (shipping, text):
         assert as_set(requests(table, "week", 2025, 32)) == {(2, 2)}
         assert as_set(requests(table, "month", 2025, 8)) == {(1, 2)}
+
+
+def test_growth_of_missing_counts(spark):
+    snapshot = spark.createDataFrame(
+        [(2, 10, None, 1), (3, None, 4, 2), (4, 7, 5, None)],
+        "period int, ok_total_count long, ok_direct_count long, ok_parcel_count long",
+    )
+    assert as_set(member_growth(snapshot)) == {(2, 10, None, 1), (3, None, 4, 1), (4, 7, 1, None)}

@@ -1,14 +1,16 @@
 """Physical plans: what is pushed to the scan, combined, broadcast or shuffled."""
 
 import re
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
 import shop
 from conftest import plan_of
 from tillgrid.operators import buyers
-from tillgrid.plans import dashboard
-from tillgrid.sources.tables import jdbc_options
+from tillgrid.plans import dashboard, queries
+from tillgrid.sources.tables import SCHEMAS, as_declared, jdbc_options
 
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
@@ -91,6 +93,73 @@ def test_jdbc_options():
         "upperBound": "2025-09-01",
         "numPartitions": "64",
     }
-    assert "partitionColumn" not in jdbc_options("jdbc:x", "business_type", {})
+    assert "partitionColumn" not in jdbc_options("jdbc:x", "business_type", {}, one_task=True)
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "shipment", {}, partition_column="id")
+
+
+BLOOM = "spark.sql.optimizer.runtime.bloomFilter"
+
+
+@pytest.mark.parametrize("build", [
+    lambda t, at: dashboard.delivery_sales(t, at, dashboard.rollup_of(t, at)),
+    lambda t, at: dashboard.basket_rows(t, at, dashboard.rollup_of(t, at)),
+    dashboard.pruned_rollup,
+])
+def test_items_are_filtered_by_the_shipments_in_range(spark, tables, no_broadcast, build):
+    size = f"{BLOOM}.applicationSideScanSizeThreshold"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "0")
+    try:
+        tree = plan_of(build(tables, shop.SETTINGS["weekly"]))
+    finally:
+        spark.conf.set(size, before)
+    tests = [block for block in tree.split("\n\n") if "might_contain" in block and "Filter" in block]
+    assert any("item_status" in block or "is_deleted" in block for block in tests)
+
+
+def test_the_pruned_rollup_gives_the_same_reports(spark, tables):
+    at = shop.SETTINGS["weekly"]
+    whole, pruned = dashboard.rollup_of(tables, at), dashboard.pruned_rollup(tables, at)
+    assert pruned.count() < whole.count()
+    for build in (dashboard.delivery_sales, dashboard.basket_rows):
+        first, second = (sorted(map(str, build(tables, at, rollup).collect())) for rollup in (whole, pruned))
+        assert first == second
+
+
+def test_stored_tables_go_and_need_a_shared_folder(spark):
+    with dashboard.stored(spark.range(3), "x") as df:
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        assert df.count() == 3
+    assert not Path(path.removeprefix("file:").replace("///", "/")).exists()
+    bare = SimpleNamespace(sparkSession=SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"), dashboard.stored(bare, "x"):
+        pass
+
+
+def test_building_a_report_starts_no_job(spark, tables):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    for build in (queries._report_cells, queries._report_cells_category):
+        build({**tables, **MEMBERS(spark)}, shop.SETTINGS["weekly"])
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def MEMBERS(spark):
+    return {
+        name: spark.createDataFrame([], SCHEMAS[name]) for name in ("dashboard_user", "direct_shipping")
+    } | {"ads": spark.createDataFrame([], "date string, total_signups double, total_cost double, "
+                                      "total_conversions double, total_roas double")}
+
+
+def test_tables_of_a_database_get_their_declared_types(spark):
+    read = spark.createDataFrame(
+        [(True, "2025-01-02 03:04:05"), (False, None), (None, None)], "is_deleted boolean, created_at string"
+    )
+    typed = as_declared(read, "direct_shipping")
+    assert typed.schema == SCHEMAS["direct_shipping"] or typed.dtypes == [("created_at", "timestamp"), ("is_deleted", "int")]
+    assert [row.is_deleted for row in typed.collect()] == [1, 0, None]
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", {})
+    assert "partitionColumn" not in jdbc_options("jdbc:x", "t", {}, one_task=True)

@@ -221,3 +221,18 @@ def test_missing_reasons_are_zero_only_where_one_is_there(spark):
         (10, codes.JOINED_REASON, 1.0),
         (10, codes.REFERRAL, 0.0),
     }
+
+
+def test_missing_parts_of_a_row_leave_the_others_of_its_basket(spark):
+    rollup = spark.createDataFrame(
+        [(1, 2025, 5, 100_000, None, 0, 1), (2, 2025, 5, 100_000, 0, None, 1), (3, 2025, 5, 400_000, 0, 0, 1)],
+        "shipment_id long, entering_year int, period int, gross long, point long, coupon long, item_lines long",
+    )
+    orders = spark.createDataFrame(
+        [(1, "A", "d", None), (2, "A", "d", 0), (3, "B", "d", 0)],
+        "shipment_id long, order_number string, delivery_type string, delivery_fee long",
+    )
+    rows = baskets.baskets(rollup, orders)
+    for bands in (baskets.basket_bands(rows), baskets.basket_bands_total(rows)):
+        texts = {text for text in bands.first()[2:] if text and "%(" in text}
+        assert texts == {"50.0%(33.3%)", "50.0%(66.7%)"}

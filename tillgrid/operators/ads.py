@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrid.functions.periods import calendar_days
+from tillgrid.functions.periods import week_starts
 
 # What a filled cell looks like, and the steps of cleaning one.
 NOT_BLANK = r"(?U)\S"
@@ -50,21 +50,22 @@ def _figures(ads: DataFrame, *by: str) -> DataFrame:
 def ads_weekly(ads: DataFrame, first_monday: str, weeks: int) -> DataFrame:
     """Sums and unweighted mean ROAS by calendar week, cut to integers.
 
-    Dates stay texts: a row is in a week if its date sorts from the week's first
-    to its last day. So a time after the date is fine on all days but the last,
-    which it would sort behind, and a date not written in full, as ``2025-1-8``,
-    is in no week. The calendar has seven rows per week, so broadcasting it is
-    safe.
+    Dates stay texts: a row is in the weeks between whose first and last day its
+    date sorts. So a time after the date is fine on all days but the last, which
+    it would sort behind, and ``2025-02-3`` is in the week that ``2025-02-30`` would
+    be in.
     """
-    calendar = calendar_days(ads.sparkSession, first_monday, weeks).select(
-        F.col("week").alias("period"),
-        F.col("day").cast("string").alias("day_text"),
-        (F.col("day") == F.col("week_end")).alias("ends_week"),
+    calendar = F.array(
+        *[
+            F.struct(F.lit(week).alias("week"), F.lit(start).alias("start"), F.lit(end).alias("end"))
+            for week, start, end in week_starts(first_monday, weeks)
+        ]
     )
-    in_week = (F.substring("date", 1, 10) == F.col("day_text")) & (
-        ~F.col("ends_week") | (F.length("date") == 10)
+    fits = F.filter(
+        calendar, lambda week: (week["start"] <= F.col("date")) & (F.col("date") <= week["end"])
     )
-    return _figures(ads.join(F.broadcast(calendar), in_week), "period")
+    in_week = ads.withColumn("period", F.explode(F.transform(fits, lambda week: week["week"])))
+    return _figures(in_week, "period")
 
 
 def ads_monthly(ads: DataFrame, year: int, last_month: int) -> DataFrame:

@@ -19,12 +19,16 @@ def baskets(rollup: DataFrame, orders: DataFrame, by_delivery: bool = True) -> D
     is one basket over both types.
     """
     fee = F.col("delivery_fee") * F.col("item_lines")
-    net = F.col("gross") - F.col("point") - F.col("coupon") + fee
     block = ["delivery_type"] if by_delivery else []
     return (
         rollup.join(orders, "shipment_id")
         .groupBy("entering_year", "period", *block, "order_number")
-        .agg(F.sum("gross").alias("total"), F.sum(net).alias("net_total"))
+        .agg(
+            F.sum("gross").alias("total"),
+            F.sum("point").alias("point"),
+            F.sum("coupon").alias("coupon"),
+            F.sum(fee).alias("delivery"),
+        )
     )
 
 
@@ -33,13 +37,15 @@ def _band_shares(basket_rows: DataFrame, block: Sequence[str]) -> DataFrame:
 
     The denominator is the whole period: both delivery types and baskets without
     a band are in it. Baskets are unique per order number and block, so counting
-    them counts distinct orders.
+    them counts distinct orders. Net sales are taken from the sums of a basket,
+    so a missing point, coupon or fee of one row costs nothing of the others.
     """
+    net = F.col("total") - F.col("point") - F.col("coupon") + F.col("delivery")
     bands = basket_rows.groupBy(
         "entering_year", "period", *block, basket_band(F.col("total")).alias("band")
     ).agg(
         F.count("order_number").alias("orders"),
-        F.sum("net_total").alias("net_total"),
+        F.sum(net).alias("net_total"),
     )
     period = Window.partitionBy("entering_year", "period")
 
@@ -69,6 +75,6 @@ def basket_bands_total(basket_rows: DataFrame) -> DataFrame:
     """
     if "delivery_type" in basket_rows.columns:
         basket_rows = basket_rows.groupBy("entering_year", "period", "order_number").agg(
-            F.sum("total").alias("total"), F.sum("net_total").alias("net_total")
+            *[F.sum(name).alias(name) for name in ("total", "point", "coupon", "delivery")]
         )
     return _band_shares(basket_rows, [])

@@ -75,22 +75,28 @@ def member_growth(snapshot: DataFrame) -> DataFrame:
     """Difference to the snapshot of the previous period number, from period 2.
 
     A period whose predecessor is missing grows by its whole count, which a lag
-    over the existing rows would not give. Each snapshot is added to its own
-    period and taken from the next, so the source is read once and not joined.
+    over the existing rows would not give; a missing count of the predecessor is
+    0, one of the period's own has no growth. Each snapshot is brought to its own
+    period and to the next, so the source is read once and not joined.
     """
     kinds = ["total", "direct", "parcel"]
 
-    def entry(period: Column, sign: int) -> Column:
-        counts = [(F.col(f"ok_{kind}_count") * sign).alias(f"{kind}_growth") for kind in kinds]
-        return F.struct(period.alias("period"), F.lit(sign > 0).alias("is_own"), *counts)
+    def entry(period: Column, is_own: bool) -> Column:
+        counts = [F.col(f"ok_{kind}_count").alias(kind) for kind in kinds]
+        return F.struct(period.alias("period"), F.lit(is_own).alias("is_own"), *counts)
 
-    own, following = entry(F.col("period"), 1), entry(F.col("period") + 1, -1)
+    def growth(kind: str) -> Column:
+        own = F.max(F.when(F.col("is_own"), F.col(kind)))
+        before = F.max(F.when(~F.col("is_own"), F.col(kind)))
+        return (own - F.coalesce(before, F.lit(0))).alias(f"{kind}_growth")
+
+    own, following = entry(F.col("period"), True), entry(F.col("period") + 1, False)
     return (
         snapshot.select(F.inline(F.array(own, following)))
         .groupBy("period")
         .agg(
             F.max("is_own").alias("is_own"),
-            *[F.sum(f"{kind}_growth").alias(f"{kind}_growth") for kind in kinds],
+            *[growth(kind) for kind in kinds],
         )
         .filter(F.col("is_own") & (F.col("period") >= 2))
         .drop("is_own")

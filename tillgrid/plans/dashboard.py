@@ -6,7 +6,8 @@ all, computes the item rollup once and writes the cells in one go.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -21,6 +22,7 @@ from tillgrid.operators.shipments import shipment_rollup, shipped_orders
 from tillgrid.plans import layouts
 from tillgrid.sources.ad_grid import raw_sheet, read_ad_grid
 from tillgrid.sources.cell_store import read_range, upsert_cells
+from tillgrid.sources.folders import remove_folder
 
 Tables = dict[str, DataFrame]
 
@@ -283,32 +285,42 @@ def _placed(long: DataFrame, places: list[layouts.Place], settings: Settings) ->
     return cells.place_cells(long, layout, settings.first_period, settings.last_period)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Compute once what several reports read.
+@contextmanager
+def stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Compute once what several reports read, for the time of a ``with`` block.
 
     The rows are written as a table to the session's checkpoint folder, which
-    outlives lost executors and still lets every reader pick its columns. In a
-    session without that folder each reader computes the rows again.
+    outlives lost executors and still lets every reader pick its columns, and
+    removed afterwards.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        return df
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     path = f"{folder}/{spark.conf.get('spark.app.id')}/{name}_{uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
 
 
-def stored_rollup(tables: Tables, settings: Settings) -> DataFrame:
-    return stored(rollup_of(tables, settings), f"rollup_{settings.grain}")
+def pruned_rollup(tables: Tables, settings: Settings) -> DataFrame:
+    """The rollup of shipments in the order range alone.
+
+    For a rollup that is stored before it meets the shipments. The range is on
+    the shipments only, as an item may enter at any time.
+    """
+    wanted = orders_in_range(tables, settings).select("shipment_id")
+    return rollup_of(tables, settings).join(wanted, "shipment_id", "left_semi")
 
 
 def write_dashboard(tables: Tables, settings: Settings, store: str) -> None:
     """Build all reports of a grain and upsert their cells into the store."""
-    rollup = stored_rollup(tables, settings)
-    main = report_cells(tables, settings, rollup)
-    by_category = report_cells_category(tables, settings, rollup)
-    upsert_cells(main.unionByName(by_category), store)
+    with stored(pruned_rollup(tables, settings), f"rollup_{settings.grain}") as rollup:
+        main = report_cells(tables, settings, rollup)
+        by_category = report_cells_category(tables, settings, rollup)
+        upsert_cells(main.unionByName(by_category), store)
 
 
 def check_points(spark: SparkSession, settings: Settings, store: str) -> DataFrame:

@@ -103,7 +103,7 @@ def _basket_bands_total(tables: DemoTables, at: Settings) -> DataFrame:
 
 
 def _report_cells(tables: DemoTables, at: Settings) -> DataFrame:
-    return dashboard.report_cells(tables, at, dashboard.stored_rollup(tables, at))
+    return dashboard.report_cells(tables, at, dashboard.rollup_of(tables, at))
 
 
 def _report_cells_category(tables: DemoTables, at: Settings) -> DataFrame:

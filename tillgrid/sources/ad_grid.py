@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+from tillgrid.sources.folders import literal, names_in
 
 # The sheet's channels and the metrics of each.
 CHANNELS = [
@@ -32,9 +32,9 @@ METRICS = [
     "roas",
 ]
 
-# Rows above the data, and the file names that count as raw.
+# Rows above the data, and what is in the names of raw files.
 HEADER_ROWS = 3
-RAW_FILES = "*[Rr][Aa][Ww]*"
+RAW_NAME = "raw"
 
 
 def ad_columns() -> list[str]:
@@ -50,38 +50,46 @@ def ad_columns() -> list[str]:
 
 def raw_sheet(spark: SparkSession, folder: str) -> str:
     """Path of the first file of ``folder``, by name, that is a raw sheet."""
-    try:
-        files = spark.read.option("pathGlobFilter", RAW_FILES).text(folder).inputFiles()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        files = []
-    if not files:
+    raw = [name for name in names_in(spark, folder) if RAW_NAME in name.lower() and name[0] not in "._"]
+    if not raw:
         raise FileNotFoundError(f"no raw sheet in {folder}")
-    return min(files)
+    return f"{folder}/{raw[0]}"
 
 
 def read_ad_grid(spark: SparkSession, *files: str) -> DataFrame:
-    """Data rows of raw sheet files, every cell a string.
+    """Data rows of raw sheet files, every cell a string; see :func:`grid_of_lines`.
+
+    A file is read whole, since its cells may hold line breaks; the size of a
+    spreadsheet bounds it.
+    """
+    sheets = spark.read.text([literal(file) for file in files], wholetext=True)
+    lines = F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("position", "line")
+    return grid_of_lines(sheets.select(F.col("_metadata.file_path").alias("file"), lines))
 
-    Short rows are filled with NULL and long rows are cut by the CSV reader.
-    The rows above the data are skipped per file. Cells may hold line breaks, so
-    a file is one split, which the size of a spreadsheet bounds; within it the
-    generated ids follow the order of the rows.
+
+def grid_of_lines(lines: DataFrame) -> DataFrame:
+    """Data rows of sheets given as ``file``, ``position`` and ``line`` of their text.
+
+    Lines are joined to rows where a quoted cell goes on over a line break. The
+    rows above the data are skipped per file, empty ones counted. Short rows are
+    filled with NULL and long rows cut; empty lines of the data are no rows.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in ad_columns()])
-    numbered = (
-        spark.read.schema(schema)
-        .csv(list(files), header=False, multiLine=True, escape='"', mode="PERMISSIVE")
-        .select(
-            "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.monotonically_increasing_id().alias("_position"),
-        )
+    up_to = Window.partitionBy("file").orderBy("position")
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    inside = F.coalesce(
+        F.sum(quotes).over(up_to.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    begins = (inside % 2 == 0).cast("int")
+    numbered = lines.withColumn("begins", begins).withColumn(
+        "row", F.sum("begins").over(up_to.rowsBetween(Window.unboundedPreceding, 0))
     )
-    first = numbered.groupBy("_file").agg(F.min("_position").alias("_first"))
-    return (
-        numbered.join(first, "_file")
-        .filter(F.col("_position") - F.col("_first") >= HEADER_ROWS)
-        .select(*ad_columns())
+    parts = F.sort_array(F.collect_list(F.struct("position", "line")))
+    rows = (
+        numbered.filter(F.col("row") > HEADER_ROWS)
+        .groupBy("file", "row")
+        .agg(F.array_join(F.transform(parts, lambda part: part["line"]), "\n").alias("text"))
+        .filter(F.col("text") != "")
     )
+    schema = ", ".join(f"{name} string" for name in ad_columns())
+    cells = F.from_csv("text", schema, {"mode": "PERMISSIVE", "escape": '"', "multiLine": "true"})
+    return rows.select(cells.alias("cells")).select("cells.*")

@@ -1,8 +1,9 @@
 """Store of report cells: upsert, full replacement and range read-back.
 
-A store is a folder of Parquet versions. A write adds a version and never
-touches an earlier one, so it can read the store it extends, and a failed or
-repeated write does no harm. One writer at a time.
+A store is a folder of Parquet versions. A write adds a version, which counts
+once it is complete, and never touches an earlier one that is read: so it can
+read the store it extends, and a failed or repeated write does no harm. The last
+few versions are kept for readers that have begun. One writer at a time.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tillgrid.operators.cells import merge_cells
+from tillgrid.sources.folders import exists, literal, names_in, remove_folder
 
 CELL_SCHEMA = (
     T.StructType()
@@ -24,16 +25,23 @@ CELL_SCHEMA = (
 )
 
 
+#: Complete versions that stay.
+VERSIONS_KEPT = 3
+
+
+def _versions(spark: SparkSession, store: str) -> dict[int, bool]:
+    """Numbers of the version folders, and whether each is complete."""
+    numbers = [name.removeprefix("version=") for name in names_in(spark, store)]
+    return {
+        int(number): exists(spark, f"{store}/version={number}/_SUCCESS")
+        for number in numbers
+        if number.isdecimal()
+    }
+
+
 def latest_version(spark: SparkSession, store: str) -> int:
-    """Number of the newest version, 0 for a store without any."""
-    schema = T.StructType([*CELL_SCHEMA, T.StructField("version", T.IntegerType())])
-    try:
-        cells = spark.read.schema(schema).parquet(store)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
-    return cells.agg(F.max("version")).first()[0] or 0
+    """Number of the newest complete version, 0 for a store without any."""
+    return max((number for number, done in _versions(spark, store).items() if done), default=0)
 
 
 def read_cells(spark: SparkSession, store: str) -> DataFrame:
@@ -41,17 +49,23 @@ def read_cells(spark: SparkSession, store: str) -> DataFrame:
     version = latest_version(spark, store)
     if not version:
         return spark.createDataFrame([], CELL_SCHEMA)
-    return spark.read.schema(CELL_SCHEMA).parquet(f"{store}/version={version}")
+    return spark.read.schema(CELL_SCHEMA).parquet(literal(f"{store}/version={version}"))
 
 
 def replace_cells(cells: DataFrame, store: str) -> None:
-    """Make ``cells`` the whole content of the store."""
-    version = latest_version(cells.sparkSession, store) + 1
+    """Make ``cells`` the whole content of the store; none empty it."""
+    spark = cells.sparkSession
+    version = max(_versions(spark, store), default=0) + 1
     (
         cells.select(*[F.col(field.name).cast(field.dataType) for field in CELL_SCHEMA])
-        .write.mode("overwrite")
+        .write.mode("errorifexists")
         .parquet(f"{store}/version={version}")
     )
+    versions = _versions(spark, store)
+    kept = sorted((number for number, done in versions.items() if done))[-VERSIONS_KEPT:]
+    for number in versions:
+        if number < kept[0]:
+            remove_folder(spark, f"{store}/version={number}")
 
 
 def upsert_cells(cells: DataFrame, store: str) -> None:

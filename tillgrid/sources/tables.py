@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMAS: dict[str, T.StructType] = {
@@ -78,14 +79,18 @@ def jdbc_options(
     upper: str | int | None = None,
     partitions: int | None = None,
     fetch_size: int = 10_000,
+    one_task: bool = False,
 ) -> dict[str, str]:
     """Options of a JDBC read; with a partition column the read is split.
 
     The bounds only place the splits, they filter nothing. ``connection`` holds
-    user, password and driver as the caller got them.
+    user, password and driver as the caller got them. A table that is small
+    enough for one task has to be named so by ``one_task``.
     """
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **connection}
     split = [partition_column, lower, upper, partitions]
+    if one_task == any(part is not None for part in split):
+        raise ValueError("a JDBC read needs either a split or one_task=True")
     if any(part is not None for part in split):
         if any(part is None for part in split):
             raise ValueError("a split JDBC read needs column, lower, upper and partitions")
@@ -96,6 +101,23 @@ def jdbc_options(
     return options
 
 
-def read_jdbc_table(spark: SparkSession, **kwargs) -> DataFrame:
-    """Table of a database; see :func:`jdbc_options` for the arguments."""
-    return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load()
+def as_declared(df: DataFrame, table: str) -> DataFrame:
+    """Declared columns of ``table`` in their declared types; money keeps its own.
+
+    Drivers hand over flags as booleans and dates as they see fit.
+    """
+    kept = (T.DecimalType, T.FloatType, T.DoubleType)
+
+    def typed(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.LongType) and isinstance(df.schema[field.name].dataType, kept):
+            return column
+        return column.cast(field.dataType).alias(field.name)
+
+    return df.select(*[typed(field) for field in SCHEMAS[table]])
+
+
+def read_jdbc_table(spark: SparkSession, table: str, **kwargs) -> DataFrame:
+    """Table of a database as declared; see :func:`jdbc_options` for the arguments."""
+    read = spark.read.format("jdbc").options(**jdbc_options(table=table, **kwargs)).load()
+    return as_declared(read, table) if table in SCHEMAS else read
