@@ -184,3 +184,15 @@ def test_addresses(spark):
     frame = spark.createDataFrame([(1,), (26,), (27,), (33,), (52,), (53,)], "number int")
     cells = [row[0] for row in frame.select(address(F.lit(7), F.col("number"))).collect()]
     assert cells == ["A7", "Z7", "AA7", "AG7", "AZ7", "BA7"]
+
+
+def test_fixed_values_are_those_of_the_reports():
+    """Literals, so that a wrong label or row cannot pass on both sides of a check."""
+    from tillgrid.functions import codes
+    from tillgrid.plans import layouts
+
+    assert codes.DIRECT_COURIER == "SFN"
+    assert codes.SHIPPED_STATUSES == ["READY_SHIPMENT", "SHIPPING", "SHIPPING_COMPLETE"]
+    assert list(codes.BASKET_BANDS.values()) == [None, 150_000, 200_000, 250_000, 300_000]
+    assert (codes.DIRECT, codes.PARCEL) == ("직배", "택배")
+    assert layouts.POINT_ROWS == {"first_order": 3, "joined": 4, "referral": 5}

@@ -12,9 +12,11 @@ from tillgrid.functions.money import vat_net
 from tillgrid.functions.periods import calendar_days, week_mode1
 from tillgrid.operators import baskets, cells, members, points
 from tillgrid.operators import buyers as buyer_operators
+from tillgrid.operators.ads import ads_clean as clean_ads
 from tillgrid.plans import dashboard, layouts
 from tillgrid.plans.dashboard import Settings, monthly_settings, weekly_settings
 from tillgrid.plans.demo_tables import DemoTables, given_table
+from tillgrid.sources.ad_grid import ad_columns, grid_of_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,6 +221,46 @@ def ads_clean(spark: SparkSession, folder: str) -> DataFrame:
     return DemoTables(spark, folder)["ads"]
 
 
+#: Sheet columns shown, and columns of a short row.
+SHEET_COLUMNS = ["total_impressions", "total_signups", "total_cost", "total_conversions", "total_roas",
+                 "gfa_clicks", "mobion_roas"]
+SHORT_ROW = 60
+
+
+def ads_sheet(spark: SparkSession, folder: str) -> DataFrame:
+    """Advertising figures by way of the raw sheet: its text lines, 92 columns each.
+
+    Three header rows, one of them empty; blank rows; rows that are cut short
+    every fifth day; a cell with a line break on odd days.
+    """
+    raw = DemoTables(spark, folder)["ad_raw"]
+    day = F.col("date").cast("date")
+    cells_of_row = []
+    for number, name in enumerate(ad_columns()):
+        if name == "date":
+            cell = F.col("date")
+        elif name in raw.columns:
+            cell = F.concat(F.lit('"'), F.coalesce(name, F.lit("")), F.lit('"'))
+        elif name == "gfa_clicks":
+            cell = F.when(F.day(day) % 2 == 1, F.lit(f'"{number}\n0"')).otherwise(F.lit(str(number)))
+        else:
+            cell = F.lit(str(number))
+        cells_of_row.append(cell)
+    row = F.when(F.day(day) % 5 == 0, F.concat_ws(",", *cells_of_row[:SHORT_ROW])).otherwise(
+        F.concat_ws(",", *cells_of_row)
+    )
+    blank = F.lit("," * (len(cells_of_row) - 1))
+    data = raw.select(
+        F.datediff(day, F.lit("2000-01-01")).alias("place"), F.concat_ws("\n", row, F.lit(""), blank).alias("text")
+    )
+    header = spark.range(1).select(F.lit(0).alias("place"), F.lit("title\n\ndate,figures").alias("text"))
+    lines = header.union(data).select(
+        F.lit("sheet").alias("file"), "place", F.posexplode(F.split("text", "\n")).alias("n", "line")
+    )
+    grid = grid_of_lines(lines.select("file", (F.col("place") * 10 + F.col("n")).alias("position"), "line"))
+    return clean_ads(grid).select("date", *SHEET_COLUMNS)
+
+
 def report_merge(spark: SparkSession, folder: str) -> DataFrame:
     """An earlier member report, overwritten by that of the next year.
 
@@ -242,6 +284,7 @@ def all_queries() -> dict[str, Query]:
         "vat_net": vat_net_prices,
         "first_order": first_order,
         "ads_clean": ads_clean,
+        "ads_sheet": ads_sheet,
         "report_merge": report_merge,
     }
 
