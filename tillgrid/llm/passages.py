@@ -167,39 +167,56 @@ def _anchors(hot: np.ndarray):
     return run
 
 
-def _segments(hot: bool):
-    """Words of the segments in ``found``: (shard, doc_id, version, start, segment).
+def _window_hash(words: list[bytes], at: int) -> tuple[int, bytes]:
+    window = b" ".join(words[at: at + WINDOW])
+    return xxhash.xxh64_intdigest(window) - 2**63, window
 
-    Of hot anchors, each window by itself, with its own hash for a shard; else
-    those of the others, whole, with their anchor for a shard.
-    """
-    names = ["shard", "doc_id", "version", "start", "segment"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, 2)):
-            rows: list[tuple] = []
-            for doc_id, version, text, found in zip(*(column.to_pylist() for column in batch.columns)):
-                chosen = [one for one in found or () if (one["place"] < 0) is hot]
-                words = text.encode().split() if chosen else []
-                for one in chosen:
-                    place = -1 - one["place"] if hot else one["place"]
-                    start, n = place >> 31, place & 0x7FFFFFFF
-                    if hot:
-                        for at in range(start, min(start + n, len(words) - WINDOW + 1)):
-                            window = b" ".join(words[at: at + WINDOW])
-                            rows.append((xxhash.xxh64_intdigest(window) - 2**63, doc_id, version, at, window))
-                    else:
-                        rows.append((one["route"], doc_id, version, start, b" ".join(words[start: start + n + WINDOW - 1])))
-                if len(rows) >= 50_000:
-                    yield _batch(rows, names)
-                    rows = []
-            if rows:
-                yield _batch(rows, names)
+def _hot_windows(words: list[bytes], found: list[dict] | None) -> Iterator[int]:
+    """First words of the windows of hot anchors in ``found``."""
+    for place in (-1 - one["place"] for one in found or () if one["place"] < 0):
+        yield from range(place >> 31, min((place >> 31) + (place & 0x7FFFFFFF), len(words) - WINDOW + 1))
 
-    return run
 
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the segments in ``found`` but those of hot anchors, with their anchor for a shard.
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    Gives (shard, doc_id, version, start, segment).
+    """
+    for batch in (part for whole in batches for part in slices(whole, 2)):
+        rows: list[tuple] = []
+        for doc_id, version, text, found in zip(*(column.to_pylist() for column in batch.columns[:4])):
+            chosen = [one for one in found or () if one["place"] >= 0]
+            words = text.encode().split() if chosen else []
+            for one in chosen:
+                start, n = one["place"] >> 31, one["place"] & 0x7FFFFFFF
+                rows.append((one["route"], doc_id, version, start, b" ".join(words[start: start + n + WINDOW - 1])))
+            if len(rows) >= 50_000:
+                yield _batch(rows)
+                rows = []
+        if rows:
+            yield _batch(rows)
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of hot anchors, each with its own hash for a shard and its smallest document so far.
+
+    Gives (shard, doc_id, version, start, segment), version and start being 0.
+    """
+    for batch in (part for whole in batches for part in slices(whole, 2)):
+        first: dict[tuple[int, bytes], int] = {}
+        for doc_id, _, text, found in zip(*(column.to_pylist() for column in batch.columns[:4])):
+            if found and any(one["place"] < 0 for one in found):
+                words = text.encode().split()
+                for at in _hot_windows(words, found):
+                    window = _window_hash(words, at)
+                    first[window] = min(first.get(window, doc_id), doc_id)
+        if first:
+            yield _batch([(shard, doc_id, 0, 0, window) for (shard, window), doc_id in first.items()])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = ["shard", "doc_id", "version", "start", "segment"]
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), types)]
     return pa.RecordBatch.from_arrays([*columns[:4], columns[4].cast(pa.string())], names=names)
@@ -287,33 +304,40 @@ def _repeats(table: pa.Table) -> pa.Table:
 
 
 def _first_documents(table: pa.Table) -> pa.Table:
-    """(shard, key, first): the smallest document of each segment of one window."""
+    """(doc_id, shard): the document that has a window first, and the window's hash."""
     which, firsts = _firsts(table["segment"].chunk(0), table["doc_id"].to_numpy())
     first = np.array([int(firsts[own][0]) for own in which.tolist()], np.int64)
-    return pa.table({"shard": table["shard"], "key": table["start"], "first": first}).combine_chunks()
+    return pa.table({"doc_id": first, "shard": table["shard"]}).combine_chunks()
 
 
 def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words that stay, from (text, version, found, repeats).
+
+    ``repeats`` has the runs of repeated windows of a version of the text, and the
+    hashes of those windows of hot anchors that no earlier document has.
+    """
     for batch in batches:
         words_of, removed_of, kept_of = [], [], []
-        for text, version, found in zip(*(column.to_pylist() for column in batch.columns[:3])):
+        for text, version, found, repeats in zip(*(column.to_pylist() for column in batch.columns[:4])):
             words = (text or "").encode().split()
-            runs = [at for one in found or () if one["version"] == version for at in one["runs"]]
+            runs = [at for one in repeats or () if one["version"] == version for at in one["runs"] or ()]
+            new = {one["shard"] for one in repeats or () if one["shard"] is not None}
+            hot = [at for at in _hot_windows(words, found) if _window_hash(words, at)[0] not in new]
             kept = words
-            if runs:
-                starts, lengths = np.array(runs).reshape(-1, 2).T
+            if runs or hot:
+                pairs = np.array([*runs, *[x for at in hot for x in (at, 1)]]).reshape(-1, 2)
                 covered = np.zeros(len(words) + 1, np.int64)
-                np.add.at(covered, starts, 1)
-                np.add.at(covered, starts + lengths + WINDOW - 1, -1)
+                np.add.at(covered, pairs[:, 0], 1)
+                np.add.at(covered, pairs.sum(1) + WINDOW - 1, -1)
                 keep = np.cumsum(covered)[: len(words)] == 0
                 kept = [word for word, stays in zip(words, keep.tolist()) if stays]
             words_of.append(len(words))
             removed_of.append(len(words) - len(kept))
             kept_of.append(b" ".join(kept))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[3:], pa.array(words_of, pa.int64()), pa.array(removed_of, pa.int64()),
+            [*batch.columns[4:], pa.array(words_of, pa.int64()), pa.array(removed_of, pa.int64()),
              pa.array(kept_of, pa.binary()).cast(pa.string())],
-            names=[*batch.schema.names[3:], "n_words", "n_removed", "kept_text"],
+            names=[*batch.schema.names[4:], "n_words", "n_removed", "kept_text"],
         )
 
 
@@ -346,14 +370,17 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     document only can't repeat and stop there. The rest are gathered by document
     and their words cut out. Each shard is an FM-index that is searched for all its
     windows. Windows of hot anchors have shards of their own, and equal ones are
-    merged before they move, so that a passage in a third of all documents is
-    spread over the tasks.
+    merged before they move. All but the first document of such a window repeat
+    it, so only that one is told; a passage in a third of all documents moves no
+    row for each of them.
 
     Null texts have no words. Rows with a null ``doc_id`` neither lose words nor cost
     others theirs, nor do repeated rows each other.
     """
-    texts = docs.select("doc_id", "text")
-    whole = texts.where("doc_id is not null and text is not null")
+    names = [f"keep_{i}" for i in range(len(keep))]
+    carried = [docs[name].alias(alias) for name, alias in zip(keep, names)]
+    texts = docs.select("doc_id", "text", *carried)
+    whole = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     meeting = Window.partitionBy("route")
     found = (
         whole.mapInArrow(_anchors(hot_anchors(whole)), ANCHORS)
@@ -361,38 +388,37 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
         .where("place < 0 or low < high")
     )
     by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("route", "place")).alias("found"))
-    carried = texts.join(by_doc, "doc_id", "left").select("doc_id", F.hash("text").alias("version"), "text", "found")
+    # Documents move once: all that follows reads this shuffle again.
+    gathered = texts.join(by_doc, "doc_id", "left")
+    told = gathered.select("doc_id", F.hash("text").alias("version"), "text", "found", *names)
     direct = (
-        carried.mapInArrow(_segments(False), SEGMENTS)
+        told.mapInArrow(_segments, SEGMENTS)
         .repartition("shard")
         .sortWithinPartitions("shard")
         .mapInArrow(_by_shard(_repeats), REPEATS)
+        .select("doc_id", F.struct("version", "runs", F.lit(None).cast("long").alias("shard")).alias("one"))
     )
-    windows = carried.mapInArrow(_segments(True), SEGMENTS).withColumn("key", F.hash("segment"))
     firsts = (
-        windows.groupBy("shard", "segment")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("key").alias("start"))
-        .select("shard", "doc_id", F.lit(0).alias("version"), "start", "segment")
+        told.mapInArrow(_windows, SEGMENTS)
+        .groupBy("shard", "segment")
+        .agg(F.min("doc_id").alias("doc_id"))
+        .select("shard", "doc_id", F.lit(0).alias("version"), F.lit(0).alias("start"), "segment")
         .repartition("shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(_by_shard(_first_documents), "shard long, key int, first long")
+        .mapInArrow(_by_shard(_first_documents), "doc_id long, shard long")
+        .select("doc_id", F.struct(
+            F.lit(None).cast("int").alias("version"), F.lit(None).cast("array<int>").alias("runs"), "shard"
+        ).alias("one"))
     )
-    spread = (
-        windows.drop("segment")
-        .join(firsts, ["shard", "key"])
-        .where("first < doc_id")
-        .select("doc_id", "version", F.array("start", F.lit(1)).alias("runs"))
-    )
-    repeats = direct.union(spread).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_list(F.struct("version", "runs")).alias("_found")
-    )
-    joined = docs.join(repeats, docs["doc_id"] == F.col("_id"), "left")
+    repeats = direct.union(firsts).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("one").alias("_repeats"))
+    joined = told.join(repeats, told["doc_id"] == F.col("_id"), "left")
     schema = T.StructType([
-        *[docs.schema[name] for name in keep],
+        *[T.StructField(alias, docs.schema[name].dataType) for name, alias in zip(keep, names)],
         T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()),
         T.StructField("kept_text", T.StringType()),
     ])
-    return joined.select(
-        F.col("text").alias("_text"), F.hash("text").alias("_version"), "_found", *[docs[name] for name in keep]
-    ).mapInArrow(_removal, schema)
+    made = joined.select("text", "version", "found", "_repeats", *names).mapInArrow(_removal, schema)
+    return made.select(
+        *[F.col(alias).alias(name) for name, alias in zip(keep, names)], "n_words", "n_removed", "kept_text"
+    )
