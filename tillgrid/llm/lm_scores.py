@@ -16,7 +16,7 @@ from tillgrid.llm.common import saved, witten_bell
 ORDER = 5
 START = "\x02" * (ORDER - 1)
 #: Characters that a task looks at together, and n-grams it adds up before it hands them on.
-PART, MOST_HELD = 2_000_000, 1_000_000
+PART, MOST_HELD = 1_000_000, 1_000_000
 #: Models of at most so many n-grams (24 bytes each) go to every task; others are joined.
 MOST_SENT = 3_000_000
 
