@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillgrid.llm.common import slices
+
 SPACE = "▁"
 #: No piece goes on over the start of a run of spaces or over a line break.
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 #: Chunks that a worker remembers, and characters of the longest of them.
-MOST_KEPT, LONGEST_KEPT = 400_000, 48
+MOST_KEPT, LONGEST_KEPT = 250_000, 48
 
 
 class _Kept(dict):
@@ -70,7 +72,7 @@ class PieceCoder:
                 self.automaton.add_word(piece, piece)
         if len(self.automaton):
             self.automaton.make_automaton()
-        self.fit = lru_cache(maxsize=500_000)(self._fit)
+        self.fit = lru_cache(maxsize=250_000)(self._fit)
         self.kept = _Kept(lambda chunk: np.array(self.encode_chunk(chunk), np.int32).tobytes())
 
     def merged(self, text: str) -> list[str]:
@@ -186,7 +188,7 @@ def _coder(model: bytes) -> PieceCoder:
 def _codes(model: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0, 4 << 20)):
             encoded = [coder.encode(text) for text in batch.column(0).to_pylist()]
             ends = np.cumsum([0, *[len(data) // 4 for data in encoded]])
             ids = pa.ListArray.from_arrays(
