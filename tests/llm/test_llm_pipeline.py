@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import pytest
 import sentencepiece
 import public_tokenizers
@@ -86,3 +87,14 @@ def test_queries_return_every_row(spark, name):
     table = {"op1": "embeddings", "op6": "pages"}.get(name.split("_")[0], "documents")
     made = __spark_entry__.queries()[name](spark, folder)
     assert made.count() == spark.read.parquet(f"{folder}/{table}.parquet").count()
+
+
+@pytest.mark.parametrize("name", sorted(n for n in __spark_entry__.oracle_sql() if n.startswith("op")))
+def test_queries_against_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        duck.sql(f"create view {table} as select * from '{folder}/{table}.parquet'")
+    wanted = duck.sql(__spark_entry__.oracle_sql()[name])
+    found = __spark_entry__.queries()[name](spark, folder).select(*wanted.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(wanted.fetchall())

@@ -96,5 +96,48 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: Every pair of a label by cosine, and everything reachable over links.
+NEAR_VECTORS_SQL = """
+with recursive v as (select vec_id, label, cast(embedding as double[]) as e from embeddings),
+usable as (
+  select * from v where label is not null and e is not null and len(e) > 0
+    and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from usable a
+    join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(node, other) as (
+  select vec_id, vec_id from v
+  union
+  select r.node, l.b from reach r join links l on l.a = r.other),
+counted as (select a, count(*) as n from links group by a),
+lowest as (select node, min(other) as component_id from reach group by node)
+select v.vec_id, coalesce(c.n, 0) as n_links, l.component_id, v.vec_id = l.component_id as kept
+from v join lowest l on l.node = v.vec_id left join counted c on c.a = v.vec_id"""
+
+#: Every window of 13 words, the first document of each, and the words that none covers.
+PASSAGES_SQL = """
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+    lambda x: x <> '') as w
+  from documents),
+windows as (
+  select doc_id, i, array_to_string(w[i : i + 12], ' ') as win
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d)),
+firsts as (select win, min(doc_id) as first from windows group by win),
+covered as (
+  select distinct x.doc_id, unnest(range(x.i, x.i + 13)) as p
+  from windows x join firsts f on f.win = x.win where f.first < x.doc_id),
+words as (select doc_id, unnest(range(1, len(w) + 1)) as p, unnest(w) as word from d),
+kept as (
+  select k.doc_id, count(*) as n, string_agg(k.word, ' ' order by k.p) as text
+  from words k anti join covered c on c.doc_id = k.doc_id and c.p = k.p group by k.doc_id)
+select d.doc_id, len(d.w) as n_words, len(d.w) - coalesce(k.n, 0) as n_removed,
+  sha256(coalesce(k.text, '')) as kept_sha256
+from d left join kept k on k.doc_id = d.doc_id"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {}
+    """SQL of those queries that it can express."""
+    return {"op1_near_vectors": NEAR_VECTORS_SQL, "op10_passages": PASSAGES_SQL}
