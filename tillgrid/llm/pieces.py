@@ -188,7 +188,9 @@ def _coder(model: bytes) -> PieceCoder:
 def _codes(model: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model)
-        for batch in (part for whole in batches for part in slices(whole, 0, 4 << 20)):
+        # What earlier work of this worker has left.
+        pa.default_memory_pool().release_unused()
+        for batch in (part for whole in batches for part in slices(whole, 0, 1 << 20)):
             encoded = [coder.encode(text) for text in batch.column(0).to_pylist()]
             ends = np.cumsum([0, *[len(data) // 4 for data in encoded]])
             ids = pa.ListArray.from_arrays(
