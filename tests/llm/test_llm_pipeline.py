@@ -67,6 +67,20 @@ def test_stages(spark, docs):
         assert row["decoded"] == left[row["doc_id"]]["text"]
 
 
+def test_near_copies_at_four_fifths_go(spark):
+    """Three changed words of 160 leave 0.8 or more of the shingles, and few of 64 bits alike enough."""
+    draw = random.Random(8)
+    rows = []
+    for i in range(0, 40, 2):
+        base = [str(draw.randrange(10**6)) for _ in range(160)]
+        copy = list(base)
+        for at in (20, 80, 140):
+            copy[at] = "changed"
+        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
+    made = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {row["doc_id"] for row in made.collect()} == set(range(0, 40, 2))
+
+
 def test_stages_of_no_rows(spark, docs):
     table = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
