@@ -98,6 +98,25 @@ def test_judged(docs, empty):
     assert rules.judged(rules.measured(empty), rules.fit_rules(rules.measured(empty))).count() == 0
 
 
+def test_long_clean_text_is_kept(spark):
+    """Different words are a small share of long clean prose, and still a small one of each part of poor text."""
+    draw = random.Random(13)
+    vocabulary = ["".join(draw.choices("abcdefghij", k=draw.randint(3, 8))) for _ in range(8000)]
+    weights = [1 / (rank + 30) for rank in range(8000)]
+    clean = draw.choices(vocabulary, weights, k=50_000)
+    poor = draw.choices(vocabulary[:60], k=50_000)
+    assert len(set(clean)) < 0.2 * len(clean)
+    table = spark.createDataFrame(
+        [(0, " ".join(clean)), (1, " ".join(poor)), (2, " ".join(clean[:300])), (3, " ".join(poor[:300])), (4, "")],
+        "doc_id long, text string",
+    )
+    measures = rules.measured(table)
+    rows = {row["doc_id"]: row for row in rules.judged(measures, rules.fit_rules(measures)).collect()}
+    assert [rows[i]["kept"] for i in range(5)] == [True, False, True, False, False]
+    blocks = [clean[at: at + rules.BLOCK] for at in range(0, len(clean), rules.BLOCK)]
+    assert rows[0]["n_distinct"] == sum(len(set(block)) for block in blocks) and rows[4]["n_distinct"] == 0
+
+
 def test_accuracies_follow_planted_rates():
     draw = random.Random(5)
     names, right = ["a", "b", "c", "d"], [0.95, 0.9, 0.8, 0.6]

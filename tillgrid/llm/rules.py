@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from tillgrid.llm.common import SPACES, let, words_of
 
 WINDOW = 8
+#: Words of a block in which different words are counted: their share falls with
+#: the length of clean prose, so it is taken at one length.
+BLOCK = 256
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MEASURES = [*COUNTS, "n_lines", "n_chars_all", "n_capitals", "n_bangs", "n_distinct"]
 
@@ -51,11 +54,22 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) > WINDOW, let(hashes, of_hashes)).otherwise(0)
 
 
+def _distinct_words(words: Column) -> Column:
+    """Different words of each block of consecutive words, added up over the whole text."""
+
+    def of_block(start: Column) -> Column:
+        return F.size(F.array_distinct(F.slice(words, start, BLOCK)))
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(BLOCK))
+    return F.aggregate(starts, F.lit(0), lambda total, start: total + of_block(start))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with the measures of their whole texts as long columns.
 
     A null text has none of anything. Columns with the names of measures are
-    replaced. The first five are ``COUNTS``; ``n_lines`` counts lines with a word.
+    replaced. The first five are ``COUNTS``; ``n_lines`` counts lines with a word,
+    ``n_distinct`` the different words of each block of ``BLOCK``.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     names = [name for name in docs.columns if name not in MEASURES]
@@ -75,7 +89,7 @@ def measured(docs: DataFrame) -> DataFrame:
         "n_chars_all": F.length(text),
         "n_capitals": F.regexp_count(text, F.lit("[A-Z]")),
         "n_bangs": F.regexp_count(text, F.lit("!")),
-        "n_distinct": F.size(F.array_distinct(words)),
+        "n_distinct": _distinct_words(words),
     }
     return split.select(*names, *[value.cast("long").alias(name) for name, value in values.items()])
 
