@@ -91,11 +91,11 @@ def test_stages_of_no_rows(spark, docs):
 def test_run_and_queries(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     names = __spark_entry__.queries()
-    assert {name.split("_")[0] for name in names if name.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in names if name.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", sorted(n for n in __spark_entry__.queries() if n.startswith("op")))
+@pytest.mark.parametrize("name", sorted(n for n in __spark_entry__.queries() if n.startswith("op") and not n.startswith(("op11", "op12"))))
 def test_queries_return_every_row(spark, name):
     folder = "/root/testdata/sf0.001"
     table = {"op1": "embeddings", "op6": "pages"}.get(name.split("_")[0], "documents")

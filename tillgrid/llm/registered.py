@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.llm import (
@@ -14,11 +14,14 @@ from tillgrid.llm import (
     mixing,
     near_vectors,
     passages,
+    phrases,
     pieces,
     rules,
+    secret_scan,
     shards,
     simhash,
     url_filter,
+    whitening,
 )
 from tillgrid.llm.common import saved
 
@@ -81,6 +84,31 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.with_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of_kinds(*kinds: str) -> Column:
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.BASE],
+        F.sha2(listed(of_kinds(*secret_scan.BASE)), 256).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_vectors": op1_near_vectors,
@@ -93,6 +121,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_sharding": op9_sharding,
         "op10_passages": op10_passages,
+        "op11_phrases": op11_phrases,
+        "op12_whitening": op12_whitening,
+        "op13_secrets": op13_secrets,
     }
 
 
@@ -138,6 +169,36 @@ select d.doc_id, len(d.w) as n_words, len(d.w) - coalesce(k.n, 0) as n_removed,
 from d left join kept k on k.doc_id = d.doc_id"""
 
 
+#: Every phrase of up to five words counted, every cut scored, phrases inside longer ones dropped.
+PHRASES_SQL = """
+with d as (
+  select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from d),
+w as (select lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+grams as (
+  select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w cross join (values (1), (2), (3), (4), (5)) s(k))),
+f as (select lang, phrase, k, count(*) as n from grams group by lang, phrase, k having count(*) >= 100),
+cuts as (
+  select c.lang, c.phrase, c.k, c.a, c.j, l.n as l, r.n as r, t.n,
+    cast(cast(1000 as hugeint) * c.a * t.n // (cast(l.n as hugeint) * r.n) as bigint) as score
+  from (select lang, phrase, k, n as a, string_split(phrase, ' ') as ws, unnest(range(1, k)) as j from f where k > 1) c
+    join totals t on t.lang = c.lang
+    join f l on l.lang = c.lang and l.phrase = array_to_string(c.ws[1 : c.j], ' ')
+    join f r on r.lang = c.lang and r.phrase = array_to_string(c.ws[c.j + 1 : c.k], ' ')),
+weakest as (
+  select *, row_number() over (partition by lang, phrase order by score, j) as place from cuts),
+kept as (
+  select p.* from weakest p where place = 1 and not exists (
+    select 1 from f q where q.lang = p.lang and q.k > p.k and 100 * q.n >= 100 * p.a
+      and contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' '))),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, cast(phrase as blob)) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000"""
+
+
 def all_oracles() -> dict[str, str]:
     """SQL of those queries that it can express."""
-    return {"op1_near_vectors": NEAR_VECTORS_SQL, "op10_passages": PASSAGES_SQL}
+    return {"op1_near_vectors": NEAR_VECTORS_SQL, "op10_passages": PASSAGES_SQL, "op11_phrases": PHRASES_SQL}
