@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillgrid.llm.common import saved
+from tillgrid.llm.common import saved, slices
 
 #: Words of the longest phrase, occurrences of a frequent one, phrases of a language that are reported.
 LONGEST, LEAST, TOP = 5, 100, 2000
@@ -26,7 +26,7 @@ LOOK_AHEAD = 1 / 16
 #: this size whatever the input; a phrase taken for known by chance is counted in vain.
 BITS = 27
 #: Bytes of texts that a task looks at together.
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 #: Parts in which the best phrases of a language are looked for before they meet.
 TOP_PARTS = 64
 
@@ -62,6 +62,16 @@ def _lang_hash(lang: str) -> np.uint64:
 _word_hash = lru_cache(maxsize=200_000)(xxhash.xxh64_intdigest)
 
 
+def _kinds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different keys, a place of each, and the number of each key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    index = np.empty(len(keys), np.int64)
+    index[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], index
+
+
 class _Chunk:
     """Words of one language, and how often each of their phrases occurs.
 
@@ -103,7 +113,7 @@ class _Chunk:
             if not len(starts):
                 return
             key = own[starts] * size + ids[starts + k - 1]
-            kinds, first, index = np.unique(key, return_index=True, return_inverse=True)
+            kinds, first, index = _kinds(key)
             asked = np.ones(len(kinds), bool)
             if done is not None:
                 before, begin = _holds(done, hashes), starts[first]
@@ -152,7 +162,9 @@ def _counting(lengths: set[int], known: Broadcast | None, done: Broadcast | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [None if table is None else table.value for table in (known, done)]
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0, CHUNK)):
+            # What earlier work of this worker has left.
+            pa.default_memory_pool().release_unused()
             texts, langs = batch.column(0), np.array(batch.column(1).to_pylist(), object)
             for lang in dict.fromkeys(langs.tolist()):
                 own = texts.take(pa.array(np.flatnonzero(langs == lang)))
@@ -237,7 +249,7 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST, longest: int = LONGES
     """(``lang``, ``phrase``, ``n``) of all phrases of ``texts`` (text, lang) that occur ``least`` times or more.
 
     Counts are exact and the result is complete whatever the sample. A part of the
-    documents proposes phrases, length by length. One pass over all documents then
+    documents proposes phrases of one, two, and more words. One pass over all documents then
     counts them and their border, the phrases whose parts are all proposed. Those of the
     border that turn out frequent, words included, may have frequent extensions
     that nobody counted: a further pass counts the border that they add, until no
@@ -251,9 +263,10 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST, longest: int = LONGES
     asked = saved(texts.where(F.pmod(F.xxhash64("text", "row"), F.lit(sample)) == 0))
     lowered = max(1, int(least / sample * LOWERED))
     proposed = np.zeros(1 << (BITS - 6), np.uint64)
-    for k in lengths[:-1]:
-        known = context.broadcast(proposed) if k > 1 else None
-        found = saved(_counted(asked, {k}, known).where((F.col("n") >= lowered) & (F.col("phrase") != "")))
+    # Of three words on phrases are few, so that all longer ones are looked at in one pass.
+    for k in ({1}, {2}, set(lengths[2:-1])):
+        known = context.broadcast(proposed) if proposed.any() else None
+        found = saved(_counted(asked, k, known, ahead=True).where((F.col("n") >= lowered) & (F.col("phrase") != "")))
         own = _table(found)
         if not own.any():
             break
