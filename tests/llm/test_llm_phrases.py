@@ -85,6 +85,14 @@ def test_failures_are_extended_at_once(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(mined(rows, 10, 1000))
 
 
+def test_phrases_of_one_hash_come_apart(spark, monkeypatch):
+    """A table of 64 bits holds nearly every hash: nothing is screened out, and nothing is miscounted."""
+    monkeypatch.setattr(phrases, "_table", lambda found: np.full(1 << (phrases.BITS - 6), ~np.uint64(0)))
+    rows = made_rows(60, 5)
+    found = phrases.collocations(table(spark, rows), least=10, top=1000)
+    assert sorted(map(tuple, found.collect())) == sorted(mined(rows, 10, 1000))
+
+
 def test_without_ids_or_rows(spark):
     rows = made_rows(100, 3)
     docs = table(spark, rows)
@@ -105,7 +113,8 @@ def test_long_texts_in_stretches(monkeypatch):
     for data, goes_on in stretches:
         context = before[-4:] if goes_on else []
         before = context + phrases.tokens_of(data)
-        for names, n in phrases._Chunk("en", before, len(context)).phrases({1, 2, 3, 4, 5}, every, None, False):
+        for level in phrases._Chunk("en", before, len(context)).levels(5, every, None, False):
+            names, n = level.names(level.new)
             found.update({tuple(name.decode().split(" ")): int(c) for name, c in zip(names.to_pylist(), n)})
     assert found == counts["en"]
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -46,17 +47,18 @@ def _spread(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mixed + word
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return ((hashes ^ (hashes >> np.uint64(32))) * _FACTOR) >> np.uint64(64 - BITS)
+def _named(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes that end in the number of words, in three bits."""
+    return (hashes & ~np.uint64(7)) | np.uint64(k)
 
 
-def _holds(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slots = _slots(hashes)
-    return (table[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
+def _slots(names: np.ndarray) -> np.ndarray:
+    return ((names ^ (names >> np.uint64(32))) * _FACTOR) >> np.uint64(64 - BITS)
 
 
-def _lang_hash(lang: str) -> np.uint64:
-    return np.uint64(xxhash.xxh64_intdigest(lang))
+def _holds(table: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
+    slots = _slots(_named(hashes, k))
+    return (table[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
 
 
 _word_hash = lru_cache(maxsize=200_000)(xxhash.xxh64_intdigest)
@@ -72,6 +74,23 @@ def _kinds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[new], order[new], index
 
 
+@dataclass(frozen=True)
+class _Level:
+    """Phrases of ``k`` words of a chunk: hashes, occurrences, which are new, and how to get their words."""
+
+    k: int
+    hashes: np.ndarray
+    counts: np.ndarray
+    new: np.ndarray
+    words: Callable[[np.ndarray], list[pa.Array]]
+
+    def names(self, wanted: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Texts and occurrences of the wanted phrases that occur."""
+        at = np.flatnonzero(wanted & (self.counts > 0))
+        parts = self.words(at)
+        return (pc.binary_join_element_wise(*parts, b" ") if self.k > 1 else parts[0]), self.counts[at]
+
+
 class _Chunk:
     """Words of one language, and how often each of their phrases occurs.
 
@@ -84,48 +103,42 @@ class _Chunk:
         self.ids = coded.indices.to_numpy()[1:].astype(np.int64)
         self.words = coded.dictionary
         self.seen = seen
+        self.name = lang
         self.hashes = np.array([_word_hash(word) for word in self.words.to_pylist()], np.uint64)
-        self.lang = _lang_hash(lang)
+        self.lang = np.uint64(xxhash.xxh64_intdigest(lang))
 
-    def phrases(
-        self, lengths: set[int], known: np.ndarray | None, done: np.ndarray | None, ahead: bool
-    ) -> Iterator[tuple[pa.Array, np.ndarray]]:
-        """Phrases of the given lengths and their occurrences.
+    def levels(self, longest: int, known: np.ndarray | None, done: np.ndarray | None, ahead: bool) -> Iterator[_Level]:
+        """Phrases by their number of words.
 
-        One of two words or more counts only if both its parts of a word less
-        are ``known``, and not if both are ``done``. With ``ahead`` a phrase that counts here is
-        at once known to longer ones.
+        One of two words or more is looked at only if both its parts of a word less are
+        ``known``; it is new if not both are ``done``. With ``ahead`` a new phrase is at
+        once known to longer ones.
         """
         ids, size = self.ids, len(self.words)
         own, hashes = ids, _spread(np.full(size, self.lang), self.hashes)
         # The first word of the list is the full stop.
         valid, fresh = ids != 0, np.zeros(size, bool)
-        if 1 in lengths:
-            counts = np.bincount(ids[self.seen:], minlength=size)
-            counts[0] = 0
-            found = np.flatnonzero(counts)
-            yield self.words.take(pa.array(found)), counts[found]
-        for k in range(2, max(lengths) + 1):
+        counts = np.bincount(ids[self.seen:], minlength=size)
+        counts[0] = 0
+        yield _Level(1, hashes, counts, np.full(size, done is None), lambda at: [self.words.take(pa.array(at))])
+        for k in range(2, longest + 1):
             if known is None:
                 return
-            inside = valid & (_holds(known, hashes) | fresh)[own]
+            inside = valid & (_holds(known, hashes, k - 1) | fresh)[own]
             starts = np.flatnonzero(inside[:-1] & inside[1:])
             if not len(starts):
                 return
-            key = own[starts] * size + ids[starts + k - 1]
-            kinds, first, index = _kinds(key)
-            asked = np.ones(len(kinds), bool)
+            kinds, first, index = _kinds(own[starts] * size + ids[starts + k - 1])
+            new, begin = np.ones(len(kinds), bool), starts[first]
             if done is not None:
-                before, begin = _holds(done, hashes), starts[first]
-                asked = ~(before[own[begin]] & before[own[begin + 1]])
-            if k in lengths:
-                counts = np.bincount(index[starts + k > self.seen], minlength=len(kinds)) * asked
-                found = np.flatnonzero(counts)
-                begin = starts[first[found]]
-                parts = [self.words.take(pa.array(ids[begin + j])) for j in range(k)]
-                yield pc.binary_join_element_wise(*parts, b" "), counts[found]
+                before = _holds(done, hashes, k - 1)
+                new = ~(before[own[begin]] & before[own[begin + 1]])
             hashes = _spread(hashes[kinds // size], self.hashes[kinds % size])
-            fresh = asked & ahead
+            counts = np.bincount(index[starts + k > self.seen], minlength=len(kinds))
+            yield _Level(
+                k, hashes, counts, new, lambda at: [self.words.take(pa.array(ids[begin[at] + j])) for j in range(k)]
+            )
+            fresh = new & ahead
             own, valid = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
             own[starts], valid[starts] = index, True
 
@@ -157,75 +170,85 @@ def _pieces(texts: list[str]) -> Iterator[tuple[bytes, bool]]:
         yield b".".join(held), False
 
 
-def _counting(lengths: set[int], known: Broadcast | None, done: Broadcast | None, ahead: bool):
-    """(lang, phrase, n) of texts (text, lang); the empty phrase stands for all words."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+    """Chunks of texts (text, lang)."""
+    for batch in (part for whole in batches for part in slices(whole, 0, CHUNK)):
+        # What earlier work of this worker has left.
+        pa.default_memory_pool().release_unused()
+        texts, langs = batch.column(0), np.array(batch.column(1).to_pylist(), object)
+        for lang in dict.fromkeys(langs.tolist()):
+            own = texts.take(pa.array(np.flatnonzero(langs == lang)))
+            before: list[bytes] = []
+            for data, goes_on in _pieces([text for text in own.to_pylist() if text]):
+                context = before[1 - LONGEST:] if goes_on else []
+                before = context + tokens_of(data)
+                if before:
+                    yield _Chunk(lang, before, len(context))
+
+
+def _value(table: Broadcast | None) -> np.ndarray | None:
+    return None if table is None else table.value
+
+
+def _screening(lengths: set[int], known: Broadcast | None, done: Broadcast | None, ahead: bool):
+    """(h, n) of new phrases by their hash; 0 stands for all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [None if table is None else table.value for table in (known, done)]
-        for batch in (part for whole in batches for part in slices(whole, 0, CHUNK)):
-            # What earlier work of this worker has left.
-            pa.default_memory_pool().release_unused()
-            texts, langs = batch.column(0), np.array(batch.column(1).to_pylist(), object)
-            for lang in dict.fromkeys(langs.tolist()):
-                own = texts.take(pa.array(np.flatnonzero(langs == lang)))
-                before: list[bytes] = []
-                for data, goes_on in _pieces([text for text in own.to_pylist() if text]):
-                    context = before[1 - LONGEST:] if goes_on else []
-                    tokens = context + tokens_of(data)
-                    before = tokens
-                    if not tokens:
-                        continue
-                    chunk = _Chunk(lang, tokens, len(context))
-                    for phrases, counts in chunk.phrases(lengths, *tables, ahead):
-                        yield _rows(lang, phrases, counts)
-                    if 1 in lengths:
-                        words = int(np.count_nonzero(chunk.ids[chunk.seen:]))
-                        yield _rows(lang, pa.array([b""], pa.binary()), np.array([words]))
+        for chunk in _chunks(batches):
+            names, counts = [np.zeros(1, np.uint64)], [np.array([np.count_nonzero(chunk.ids[chunk.seen:])])]
+            for level in chunk.levels(max(lengths), _value(known), _value(done), ahead):
+                if level.k in lengths:
+                    at = level.new & (level.counts > 0)
+                    names.append(_named(level.hashes[at], level.k))
+                    counts.append(level.counts[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(counts))], names=["h", "n"]
+            )
 
     return run
 
 
-def _rows(lang: str, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang]).take(pa.array(np.zeros(len(phrases), np.int64))), phrases.cast(pa.string()), pa.array(counts.astype(np.int64))],
-        names=["lang", "phrase", "n"],
-    )
+def _naming(frequent: Broadcast, known: Broadcast, done: Broadcast, ahead: bool):
+    """(lang, phrase, n) of phrases with a frequent hash, and ahead also of new ones; the empty phrase stands for all words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches):
+            parts = [(pa.array([b""], pa.binary()), np.array([np.count_nonzero(chunk.ids[chunk.seen:])]))]
+            for level in chunk.levels(LONGEST, known.value, done.value, ahead):
+                wanted = _holds(frequent.value, level.hashes, level.k)
+                parts.append(level.names(wanted | level.new if ahead else wanted))
+            phrases = pa.concat_arrays([phrases for phrases, _ in parts]).cast(pa.string())
+            langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(phrases), np.int32)), pa.array([chunk.name]))
+            counts = pa.array(np.concatenate([counts for _, counts in parts]))
+            yield pa.RecordBatch.from_arrays([langs.cast(pa.string()), phrases, counts], names=["lang", "phrase", "n"])
 
+    return run
 
-def _counted(
-    texts: DataFrame, lengths: set[int], known: Broadcast | None = None, done: Broadcast | None = None, ahead: bool = False
-) -> DataFrame:
-    """Occurrences of phrases over all texts: one row per phrase and language."""
-    count = _counting(lengths, known, done, ahead)
-    rows = texts.select("text", "lang").mapInArrow(count, "lang string, phrase string, n long")
-    return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
+def _screened(
+    texts: DataFrame, lengths: set[int], least: int, known: Broadcast | None = None, done: Broadcast | None = None, ahead: bool = False
+) -> DataFrame:
+    """Hashes of phrases that are found ``least`` times or more, with their occurrences, and 0 for all words.
 
-def _hashes_of(langs: list[str], phrases: list[str]) -> np.ndarray:
-    found = np.zeros(len(phrases), np.uint64)
-    split = [phrase.encode().split(b" ") for phrase in phrases]
-    for k in range(1, max(map(len, split), default=0) + 1):
-        at = np.array([i for i, words in enumerate(split) if len(words) == k], np.int64)
-        hashes = np.array([_lang_hash(langs[i]) for i in at], np.uint64)
-        for j in range(k):
-            hashes = _spread(hashes, np.array([_word_hash(split[i][j]) for i in at], np.uint64))
-        found[at] = hashes
-    return found
+    Phrases of one hash count together, so no frequent one is missed.
+    """
+    rows = texts.select("text", "lang").mapInArrow(_screening(lengths, known, done, ahead), "h long, n long")
+    return saved(rows.groupBy("h").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("h") == 0)))
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word of the table and the bit in it, of phrases (lang, phrase)."""
+    """Word of the table and the bit in it, of hashes."""
     for batch in batches:
-        slots = _slots(_hashes_of(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        slots = _slots(batch.column(0).to_numpy().view(np.uint64))
         bits = np.left_shift(np.uint64(1), slots & np.uint64(63)).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array((slots >> np.uint64(6)).astype(np.int32)), pa.array(bits)], names=["place", "bits"]
         )
 
 
-def _table(phrases: DataFrame) -> np.ndarray:
-    """Bits of all phrases. The driver gets at most the whole table, 2 to the power of ``BITS`` bits."""
-    places = phrases.select("lang", "phrase").mapInArrow(_places, "place int, bits long")
+def _table(found: DataFrame) -> np.ndarray:
+    """Bits of all hashes but 0. The driver gets at most the whole table, 2 to the power of ``BITS`` bits."""
+    places = found.where("h <> 0").select("h").mapInArrow(_places, "place int, bits long")
     rows = places.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
     table = np.zeros(1 << (BITS - 6), np.uint64)
     table[rows["place"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
@@ -233,10 +256,15 @@ def _table(phrases: DataFrame) -> np.ndarray:
 
 
 def _unknown(table: Broadcast):
+    """Rows (h, n) of phrases that the table does not hold and that a longer one may contain."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = _hashes_of(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            yield batch.filter(pa.array(~_holds(table.value, hashes)))
+            names = batch.column(0).to_numpy().view(np.uint64)
+            slots = _slots(names)
+            held = (table.value[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
+            longer = (names & np.uint64(7)).astype(int)
+            yield batch.filter(pa.array(~held & (longer >= 1) & (longer < LONGEST)))
 
     return run
 
@@ -245,49 +273,52 @@ def _words(phrase: str | Column) -> Column:
     return F.split(phrase, " ")
 
 
-def frequent_phrases(texts: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE) -> DataFrame:
+def frequent_phrases(texts: DataFrame, least: int = LEAST, sample: int = SAMPLE) -> DataFrame:
     """(``lang``, ``phrase``, ``n``) of all phrases of ``texts`` (text, lang) that occur ``least`` times or more.
 
     Counts are exact and the result is complete whatever the sample. A part of the
-    documents proposes phrases of one, two, and more words. One pass over all documents then
-    counts them and their border, the phrases whose parts are all proposed. Those of the
-    border that turn out frequent, words included, may have frequent extensions
-    that nobody counted: a further pass counts the border that they add, until no
-    frequent phrase is in it. Where the failures have few occurrences such a pass looks ahead:
-    it counts every extension of theirs whose other parts are known, which closes
-    the border at once, as a frequent phrase still uncounted would have a shortest
-    uncounted part. The empty phrase has the number of all words of a language.
+    documents proposes phrases of one, two, and more words. A pass over all documents
+    then counts them and their border, the phrases whose parts are all proposed,
+    by hash. What turns out frequent in the border, words included, may have frequent
+    extensions that nobody counted: further passes count the border that they add, until
+    no frequent phrase is in it. The last pass counts by their words what had a frequent
+    hash, so that phrases of one hash come apart.
+
+    Where failures have few occurrences the last pass looks ahead instead of another
+    one: it counts every extension of theirs whose other parts are known. That
+    closes the border at once, as a frequent phrase still uncounted would
+    have a shortest uncounted part. The empty phrase has the number of all words of a language.
     """
     context = texts.sparkSession.sparkContext
-    lengths = range(1, longest + 1)
+    lengths = set(range(1, LONGEST + 1))
     asked = saved(texts.where(F.pmod(F.xxhash64("text", "row"), F.lit(sample)) == 0))
     lowered = max(1, int(least / sample * LOWERED))
     proposed = np.zeros(1 << (BITS - 6), np.uint64)
     # Of three words on phrases are few, so that all longer ones are looked at in one pass.
-    for k in ({1}, {2}, set(lengths[2:-1])):
+    for k in ({1}, {2}, set(range(3, LONGEST))):
         known = context.broadcast(proposed) if proposed.any() else None
-        found = saved(_counted(asked, k, known, ahead=True).where((F.col("n") >= lowered) & (F.col("phrase") != "")))
-        own = _table(found)
-        if not own.any():
-            break
-        proposed = proposed | own
+        proposed = proposed | _table(_screened(asked, k, lowered, known, ahead=True))
 
-    known = context.broadcast(proposed)
-    counted = saved(_counted(texts, set(lengths), known).where((F.col("n") >= least) | (F.col("phrase") == "")))
-    every, new = counted, counted
-    total = counted.where("phrase = ''").agg(F.sum("n")).first()[0] or 0
+    known = done = context.broadcast(proposed)
+    found = _screened(texts, lengths, least, known)
+    total = found.where("h = 0").agg(F.sum("n")).first()[0] or 0
+    frequent, ahead = _table(found), False
     while True:
-        shorter = (F.col("phrase") != "") & (F.size(_words("phrase")) < longest)
-        failed = saved(new.where(shorter).mapInArrow(_unknown(known), "lang string, phrase string, n long"))
-        occurrences = failed.agg(F.sum("n")).first()[0]
-        if occurrences is None:
-            return every
+        failed = saved(found.mapInArrow(_unknown(known), "h long, n long"))
+        occurrences = failed.agg(F.sum("n")).first()[0] or 0
+        if not occurrences:
+            break
         ahead = occurrences <= LOOK_AHEAD * total
         done, known = known, context.broadcast(known.value | _table(failed))
-        new = saved(_counted(texts, set(lengths) - {1}, known, done, ahead).where(F.col("n") >= least))
-        every = every.union(new)
         if ahead:
-            return every
+            break
+        found = _screened(texts, lengths - {1}, least, known, done)
+        frequent = frequent | _table(found)
+    rows = texts.select("text", "lang").mapInArrow(
+        _naming(context.broadcast(frequent), known, done, ahead), "lang string, phrase string, n long"
+    )
+    counted = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return saved(counted.where((F.col("n") >= least) | (F.col("phrase") == "")))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample: int = SAMPLE) -> DataFrame:
@@ -303,7 +334,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample: in
     texts = docs.select(
         F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"), row.alias("row")
     )
-    counted = frequent_phrases(texts, least, LONGEST, sample)
+    counted = frequent_phrases(texts, least, sample)
     totals = counted.where("phrase = ''").select("lang", F.col("n").alias("all_words"))
     phrases = counted.where("phrase <> ''").where(F.col("n") >= least)
 
@@ -332,14 +363,15 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample: in
         return F.col(name).cast("decimal(19,0)")
 
     over, under = exact("a") * F.lit(1000).cast("decimal(4,0)") * exact("all_words"), exact("l") * exact("r")
-    # Few languages have rows, but one may have most of them: the totals are joined before the cuts are settled.
-    scored = cut.join(totals, "lang").withColumn("score", F.call_function("div", over.cast("decimal(38,0)"), under.cast("decimal(38,0)")))
+    # A language may have most of the rows, so its total goes to every part of them.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))
+    totals = totals.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TOP_PARTS - 1).cast("long"))))
+    scored = cut.withColumn("part", part).join(totals, ["lang", "part"]).drop("part").withColumn("score", F.call_function("div", over.cast("decimal(38,0)"), under.cast("decimal(38,0)")))
     weakest = scored.groupBy("lang", "phrase", "a", "all_words").agg(F.min(F.struct("score", "cut", "l", "r")).alias("weakest"))
     kept = weakest.join(around, ["lang", "phrase"], "left").where("longer is null or longer < a")
     kept = kept.select("lang", "phrase", "a", "weakest.l", "weakest.r", F.col("all_words").alias("n"), "weakest.score")
 
     best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    part = F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))
     some = kept.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best)))
     ranked = some.where(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)))
     return ranked.where(F.col("rank") <= top).select(
