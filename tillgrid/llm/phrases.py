@@ -107,12 +107,15 @@ class _Chunk:
         self.hashes = np.array([_word_hash(word) for word in self.words.to_pylist()], np.uint64)
         self.lang = np.uint64(xxhash.xxh64_intdigest(lang))
 
-    def levels(self, longest: int, known: np.ndarray | None, done: np.ndarray | None, ahead: bool) -> Iterator[_Level]:
+    def levels(
+        self, longest: int, known: np.ndarray | None, done: np.ndarray | None, ahead: bool, frequent: np.ndarray | None = None
+    ) -> Iterator[_Level]:
         """Phrases by their number of words.
 
         One of two words or more is looked at only if both its parts of a word less are
         ``known``; it is new if not both are ``done``. With ``ahead`` a new phrase is at
-        once known to longer ones.
+        once known to longer ones. Others are left out if their hash is not ``frequent``, where that is given:
+        no longer phrase around them can be.
         """
         ids, size = self.ids, len(self.words)
         own, hashes = ids, _spread(np.full(size, self.lang), self.hashes)
@@ -126,13 +129,15 @@ class _Chunk:
                 return
             inside = valid & (_holds(known, hashes, k - 1) | fresh)[own]
             starts = np.flatnonzero(inside[:-1] & inside[1:])
+            before = np.zeros(len(hashes), bool) if done is None else _holds(done, hashes, k - 1)
+            if frequent is not None:
+                wanted = _holds(frequent, _spread(hashes[own[starts]], self.hashes[ids[starts + k - 1]]), k)
+                starts = starts[wanted | ~(before[own[starts]] & before[own[starts + 1]]) if ahead else wanted]
             if not len(starts):
                 return
             kinds, first, index = _kinds(own[starts] * size + ids[starts + k - 1])
-            new, begin = np.ones(len(kinds), bool), starts[first]
-            if done is not None:
-                before = _holds(done, hashes, k - 1)
-                new = ~(before[own[begin]] & before[own[begin + 1]])
+            begin = starts[first]
+            new = ~(before[own[begin]] & before[own[begin + 1]])
             hashes = _spread(hashes[kinds // size], self.hashes[kinds % size])
             counts = np.bincount(index[starts + k > self.seen], minlength=len(kinds))
             yield _Level(
@@ -214,7 +219,7 @@ def _naming(frequent: Broadcast, known: Broadcast, done: Broadcast, ahead: bool)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
             parts = [(pa.array([b""], pa.binary()), np.array([np.count_nonzero(chunk.ids[chunk.seen:])]))]
-            for level in chunk.levels(LONGEST, known.value, done.value, ahead):
+            for level in chunk.levels(LONGEST, known.value, done.value, ahead, frequent.value):
                 wanted = _holds(frequent.value, level.hashes, level.k)
                 parts.append(level.names(wanted | level.new if ahead else wanted))
             phrases = pa.concat_arrays([phrases for phrases, _ in parts]).cast(pa.string())
