@@ -32,6 +32,15 @@ def baskets(rollup: DataFrame, orders: DataFrame, by_delivery: bool = True) -> D
     )
 
 
+def baskets_of_facts(facts: DataFrame, by_delivery: bool = True) -> DataFrame:
+    """The same baskets from order facts, which are there already where sales are reported too."""
+    block = ["delivery_type"] if by_delivery else []
+    sums = {"gross": "total", "point": "point", "coupon": "coupon", "delivery_price": "delivery"}
+    return facts.groupBy("entering_year", "period", *block, "order_number").agg(
+        *[F.sum(name).alias(alias) for name, alias in sums.items()]
+    )
+
+
 def _band_shares(basket_rows: DataFrame, block: Sequence[str]) -> DataFrame:
     """Text ``orders%(net sales%)`` per band, one column each.
 

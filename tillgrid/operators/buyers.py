@@ -21,35 +21,46 @@ KEYLESS_PARTS = 1_000
 
 
 def spread_join(
-    facts: DataFrame, per_key: DataFrame, key: str, spread_by: str, how: str = "inner"
+    facts: DataFrame,
+    per_key: DataFrame,
+    key: str,
+    spread_by: str,
+    how: str = "inner",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join many facts to few rows per key, hot keys over several tasks.
 
     Both sides are shuffled for this join alone, so AQE can still split a part
-    that is too large, or broadcast the smaller side after measuring it.
+    that is too large, or broadcast the smaller side after measuring it. ``hot``
+    comes from :func:`hot_keys`; without it the facts are counted here.
     """
-    split, repeated = split_hot_keys(facts, per_key, key, spread_by)
+    split, repeated = split_hot_keys(facts, per_key, key, spread_by, hot)
     return split.join(repeated, [key, "_part"], how).drop("_part")
 
 
+def hot_keys(counted: DataFrame, key: str, rows: str) -> DataFrame:
+    """``key, _parts`` of the keys with more than ``ROWS_PER_PART`` rows, from a count per key.
+
+    A count that is too high only makes more parts. There is at most one hot key
+    per ``ROWS_PER_PART`` rows, which bounds what is broadcast.
+    """
+    parts = F.ceil(F.col(rows) / ROWS_PER_PART).cast("int").alias("_parts")
+    return counted.filter(F.col(key).isNotNull() & (F.col(rows) > ROWS_PER_PART)).select(key, parts)
+
+
 def split_hot_keys(
-    facts: DataFrame, per_key: DataFrame, key: str, spread_by: str
+    facts: DataFrame, per_key: DataFrame, key: str, spread_by: str, hot: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``_part`` to join by together with the key.
 
     A key with more than ``ROWS_PER_PART`` facts gets a part per that many, and
     its rows of the smaller side are repeated for each; other keys have one
     part. A fact takes its part from a hash of ``spread_by``, which stays the
-    same when a lost task is run again. There is at most one hot key per
-    ``ROWS_PER_PART`` facts, which bounds what is broadcast.
+    same when a lost task is run again.
     """
-    hot = F.broadcast(
-        facts.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("_facts"))
-        .filter(F.col("_facts") > ROWS_PER_PART)
-        .select(key, F.ceil(F.col("_facts") / ROWS_PER_PART).cast("int").alias("_parts"))
-    )
+    if hot is None:
+        hot = hot_keys(facts.groupBy(key).agg(F.count("*").alias("_facts")), key, "_facts")
+    hot = F.broadcast(hot)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     fact_parts = F.when(F.col(key).isNull(), KEYLESS_PARTS).otherwise(parts)
     split = facts.join(hot, key, "left").withColumn(
@@ -77,17 +88,17 @@ def account_counts(
 
 
 def first_valid_orders(shipments: DataFrame) -> DataFrame:
-    """Earliest order time of a valid shipment per user, over the whole table."""
+    """Earliest order time and number of the valid shipments per user, over the whole table."""
     return (
         shipments.filter(F.col("status").isin(VALID_ORDER_STATUSES))
         .groupBy("user_id")
-        .agg(F.min("order_dated_at").alias("first_valid_at"))
+        .agg(F.min("order_dated_at").alias("first_valid_at"), F.count("*").alias("valid_orders"))
     )
 
 
-def is_first_order() -> Column:
+def is_first_order(ordered_at: str = "order_dated_at") -> Column:
     """No valid shipment of the user is strictly earlier than this one."""
-    return ~F.coalesce(F.col("first_valid_at") < F.col("order_dated_at"), F.lit(False))
+    return ~F.coalesce(F.col("first_valid_at") < F.col(ordered_at), F.lit(False))
 
 
 def first_order(shipments: DataFrame) -> DataFrame:
@@ -107,18 +118,25 @@ def first_order(shipments: DataFrame) -> DataFrame:
 
 
 def buyers(
-    shipments: DataFrame, users: DataFrame, base_users: DataFrame, by_company: bool = False
+    shipments: DataFrame,
+    users: DataFrame,
+    base_users: DataFrame,
+    by_company: bool = False,
+    first_orders: DataFrame | None = None,
 ) -> DataFrame:
-    """``user_id, buyer, accounts, first_valid_at`` for users with an account.
+    """``user_id, accounts, first_valid_at`` for users with an account.
 
-    ``buyer`` is what the buyer count counts: the user or the company name.
+    With ``by_company`` there is a row per user and ``company``, which is then
+    what the buyer count counts. ``first_orders`` is the result of
+    :func:`first_valid_orders` where it is there already.
     """
     extra = ["company_name"] if by_company else []
-    buyer = F.col("company_name") if by_company else F.col("user_id")
+    if first_orders is None:
+        first_orders = first_valid_orders(shipments)
     return (
         account_counts(users, base_users, extra)
-        .join(first_valid_orders(shipments), "user_id", "left")
-        .select("user_id", buyer.alias("buyer"), "accounts", "first_valid_at")
+        .join(first_orders, "user_id", "left")
+        .select("user_id", *[F.col(name).alias("company") for name in extra], "accounts", "first_valid_at")
     )
 
 

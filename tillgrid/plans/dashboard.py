@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,15 @@ from pyspark.sql import functions as F
 from tillgrid.functions import codes
 from tillgrid.functions.periods import MONTH, WEEK
 from tillgrid.operators import ads, baskets, cells, members, points, sales
-from tillgrid.operators.buyers import buyers
-from tillgrid.operators.shipments import shipment_rollup, shipped_orders
+from tillgrid.operators.buyers import buyers, first_valid_orders, hot_keys
+from tillgrid.operators.shipments import (
+    daily_rollup,
+    is_order_facts,
+    order_facts,
+    order_facts_of_grains,
+    shipment_rollup,
+    shipped_orders,
+)
 from tillgrid.plans import layouts
 from tillgrid.sources.ad_grid import raw_sheet, read_ad_grid
 from tillgrid.sources.cell_store import read_range, upsert_cells
@@ -163,8 +171,15 @@ def point_shares(tables: Tables, settings: Settings) -> DataFrame:
     )
 
 
+#: Name, among the tables, of a stored result of :func:`first_valid_orders`.
+FIRST_ORDERS = "first_orders"
+
+
 def buyer_rows(tables: Tables, by_company: bool) -> DataFrame:
-    return buyers(tables["shipment"], tables["user_account"], tables["base_user"], by_company)
+    first = tables[FIRST_ORDERS] if FIRST_ORDERS in tables else None
+    return buyers(
+        tables["shipment"], tables["user_account"], tables["base_user"], by_company, first
+    )
 
 
 def orders_in_range(tables: Tables, settings: Settings) -> DataFrame:
@@ -175,45 +190,58 @@ def rollup_of(tables: Tables, settings: Settings) -> DataFrame:
     return shipment_rollup(tables["shipment_item"], settings.grain)
 
 
-def lines_by_buyer(
-    tables: Tables, settings: Settings, rollup: DataFrame, by_company: bool
+def facts_of(tables: Tables, settings: Settings) -> DataFrame:
+    """Order facts that the sales and basket reports take in place of a rollup."""
+    return order_facts(rollup_of(tables, settings), orders_in_range(tables, settings))
+
+
+def _bought(
+    tables: Tables, settings: Settings, facts: DataFrame, buyer_rows: DataFrame
 ) -> DataFrame:
-    orders = orders_in_range(tables, settings)
-    return sales.sales_lines(rollup, orders, buyer_rows(tables, by_company))
+    if not is_order_facts(facts):
+        return sales.sales_lines(facts, orders_in_range(tables, settings), buyer_rows)
+    hot = None
+    if FIRST_ORDERS in tables:
+        hot = hot_keys(tables[FIRST_ORDERS], "user_id", "valid_orders")
+    return sales.bought(facts, buyer_rows, hot)
 
 
-def delivery_sales(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
-    return sales.sales_by_delivery(
-        lines_by_buyer(tables, settings, rollup, settings.buyers_by_company)
-    )
+def delivery_sales(tables: Tables, settings: Settings, facts: DataFrame) -> DataFrame:
+    """Sales by delivery type; ``facts`` here and below are order facts or a rollup."""
+    by_buyer = buyer_rows(tables, settings.buyers_by_company)
+    return sales.sales_by_delivery(_bought(tables, settings, facts, by_buyer))
 
 
-def total_sales(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
-    return sales.sales_total(lines_by_buyer(tables, settings, rollup, by_company=False))
+def total_sales(tables: Tables, settings: Settings, facts: DataFrame) -> DataFrame:
+    by_user = buyer_rows(tables, by_company=False)
+    return sales.sales_total(_bought(tables, settings, facts, by_user))
 
 
-def category_sales(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
-    return sales.sales_by_category(
-        rollup,
-        orders_in_range(tables, settings),
+def category_sales(tables: Tables, settings: Settings, facts: DataFrame) -> DataFrame:
+    in_category = sales.in_categories(
         buyer_rows(tables, by_company=False),
         tables["user_business_type_code"],
         tables["business_type"],
         settings.categories,
     )
+    return sales.sales_by_category(
+        _bought(tables, settings, facts, in_category), settings.categories
+    )
 
 
 def basket_rows(
-    tables: Tables, settings: Settings, rollup: DataFrame, by_delivery: bool = True
+    tables: Tables, settings: Settings, facts: DataFrame, by_delivery: bool = True
 ) -> DataFrame:
-    return baskets.baskets(rollup, orders_in_range(tables, settings), by_delivery)
+    if is_order_facts(facts):
+        return baskets.baskets_of_facts(facts, by_delivery)
+    return baskets.baskets(facts, orders_in_range(tables, settings), by_delivery)
 
 
-def sales_measures(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
+def sales_measures(tables: Tables, settings: Settings, facts: DataFrame) -> DataFrame:
     """Long measures of the sales, total and band blocks."""
-    delivery = delivery_sales(tables, settings, rollup)
-    total = total_sales(tables, settings, rollup)
-    in_baskets = basket_rows(tables, settings, rollup)
+    delivery = delivery_sales(tables, settings, facts)
+    total = total_sales(tables, settings, facts)
+    in_baskets = basket_rows(tables, settings, facts)
     bands = list(codes.BASKET_BANDS)
     by_type = cells.earliest_year(baskets.basket_bands(in_baskets), "delivery_type")
     over_all = cells.earliest_year(baskets.basket_bands_total(in_baskets))
@@ -236,27 +264,27 @@ def ad_cells(tables: Tables, settings: Settings) -> DataFrame:
     return _on_main_sheet(ad_measures(tables, settings), settings)
 
 
-def sales_cells(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
+def sales_cells(tables: Tables, settings: Settings, facts: DataFrame) -> DataFrame:
     """Cells of the sales, total and band blocks.
 
-    Four reports read the rollup, so it had better be a stored one.
+    Four reports read the facts, so they had better be stored ones.
     """
-    return _on_main_sheet(sales_measures(tables, settings, rollup), settings)
+    return _on_main_sheet(sales_measures(tables, settings, facts), settings)
 
 
-def report_cells(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
+def report_cells(tables: Tables, settings: Settings, facts: DataFrame) -> DataFrame:
     """Cells of all blocks but the categories, point sheet included."""
     main = (
         member_measures(tables, settings)
         .unionByName(ad_measures(tables, settings))
-        .unionByName(sales_measures(tables, settings, rollup))
+        .unionByName(sales_measures(tables, settings, facts))
     )
     return _on_main_sheet(main, settings).unionByName(point_cells(tables, settings))
 
 
-def report_cells_category(tables: Tables, settings: Settings, rollup: DataFrame) -> DataFrame:
+def report_cells_category(tables: Tables, settings: Settings, facts: DataFrame) -> DataFrame:
     """Cells of the category blocks."""
-    by_category = category_sales(tables, settings, rollup)
+    by_category = category_sales(tables, settings, facts)
     long = cells.measures_long(
         by_category, layouts.CATEGORY_MEASURES, F.col("business_category")
     )
@@ -315,12 +343,40 @@ def pruned_rollup(tables: Tables, settings: Settings) -> DataFrame:
     return rollup_of(tables, settings).join(wanted, "shipment_id", "left_semi")
 
 
+def _all_cells(tables: Tables, settings: Settings, facts: DataFrame) -> DataFrame:
+    main = report_cells(tables, settings, facts)
+    return main.unionByName(report_cells_category(tables, settings, facts))
+
+
 def write_dashboard(tables: Tables, settings: Settings, store: str) -> None:
     """Build all reports of a grain and upsert their cells into the store."""
-    with stored(pruned_rollup(tables, settings), f"rollup_{settings.grain}") as rollup:
-        main = report_cells(tables, settings, rollup)
-        by_category = report_cells_category(tables, settings, rollup)
-        upsert_cells(main.unionByName(by_category), store)
+    write_dashboards(tables, [settings], store)
+
+
+def write_dashboards(tables: Tables, dashboards: Sequence[Settings], store: str) -> None:
+    """Build the reports of one or more grains and upsert their cells into the store at once.
+
+    Items are read once for all grains, and shipments twice: for the facts of orders
+    in range, and for the first order of every user. Both results are stored
+    while the reports read them. The grains must have the same order dates.
+    """
+    first = dashboards[0]
+    if any((at.order_from, at.order_to) != (first.order_from, first.order_to) for at in dashboards):
+        raise ValueError("dashboards of one reading need the same order dates")
+    if len(dashboards) == 1:
+        facts = facts_of(tables, first).withColumn("grain", F.lit(first.grain))
+    else:
+        daily, orders = daily_rollup(tables["shipment_item"]), orders_in_range(tables, first)
+        facts = order_facts_of_grains(daily, orders, [at.grain for at in dashboards])
+    with stored(facts, "facts") as facts, stored(
+        first_valid_orders(tables["shipment"]), FIRST_ORDERS
+    ) as first_orders:
+        known = {**tables, FIRST_ORDERS: first_orders}
+        made = [
+            _all_cells(known, at, facts.filter(F.col("grain") == at.grain).drop("grain"))
+            for at in dashboards
+        ]
+        upsert_cells(reduce(DataFrame.unionByName, made), store)
 
 
 def check_points(spark: SparkSession, settings: Settings, store: str) -> DataFrame:
