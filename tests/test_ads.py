@@ -1,11 +1,15 @@
 """The raw advertising sheet, from CSV to weekly and monthly figures."""
 
 import csv
+import random
+import re
 
 import pytest
 
+from conftest import plan_of
 from tillgrid.operators.ads import ads_clean, ads_monthly, ads_weekly
 from tillgrid.plans.dashboard import refresh_ads
+from tillgrid.sources import ad_grid
 from tillgrid.sources.ad_grid import ad_columns, raw_sheet, read_ad_grid
 
 
@@ -190,3 +194,53 @@ def test_dates_that_are_not_written_in_full(spark):
         "date string, total_signups double, total_cost double, total_conversions double, total_roas double")
     weeks = {row.period: row.signups for row in ads_weekly(ads, "2024-12-30", 32).collect()}
     assert weeks == {1: 2, 9: 1}
+
+
+def rows_in_order(lines):
+    """Row number of each line, read one after the other."""
+    quotes, row, found = 0, 0, []
+    for line in lines:
+        row += quotes % 2 == 0
+        found.append(row)
+        quotes += line.count('"')
+    return found
+
+
+@pytest.mark.parametrize("block", [1, 7, 10_000])
+def test_rows_over_blocks_of_lines(spark, block):
+    draw = random.Random(block)
+    sheets = {}
+    for number in range(6):
+        lines = [draw.choice(["a,b", "", '"x', 'y"', '"whole"', 'a""b', '"', "z"]) for _ in range(60)]
+        if sum(line.count('"') for line in lines) % 2:
+            lines.append('"')
+        sheets[f"f{number}"] = lines
+    rows = [(name, n * 3, line) for name, lines in sheets.items() for n, line in enumerate(lines)]
+    found = ad_grid.numbered_rows(spark.createDataFrame(rows, "file string, position long, line string"), block)
+    by_file = {}
+    for row in sorted(found.collect(), key=lambda row: row.position):
+        by_file.setdefault(row.file, []).append(row.row)
+    assert by_file == {name: rows_in_order(lines) for name, lines in sheets.items()}
+
+
+def test_a_stray_quote_fails(spark):
+    lines = spark.createDataFrame([("f", n, 'a"b' if n == 5 else "a") for n in range(9)], "file string, position long, line string")
+    with pytest.raises(Exception, match="a quote without its partner in f"):
+        ad_grid.grid_of_lines(lines, 3).collect()
+
+
+def test_no_window_over_lines_spans_a_file(spark):
+    lines = spark.createDataFrame([("f", n, "a") for n in range(9)], "file string, position long, line string")
+    plan = plan_of(ad_grid.grid_of_lines(lines))
+    keys = re.findall(r"\n\(\d+\) Window\n.*\n(Arguments: .*)", plan)
+    over_lines = [text for text in keys if "position#" in text]
+    assert over_lines and all(re.search(r"\[file#\d+, block#\d+L\], \[position#", text) for text in over_lines)
+    assert all("line#" not in text for text in keys)
+    # By file alone go the totals of blocks, after they have been grouped.
+    tree = plan.split("\n\n")[0].splitlines()
+    assert any("HashAggregate" in line for line in tree)
+
+
+def test_no_lines(spark):
+    none = spark.createDataFrame([], "file string, position long, line string")
+    assert ad_grid.grid_of_lines(none).count() == 0

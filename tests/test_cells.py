@@ -1,5 +1,7 @@
 """Placing, merging, storing and reading back report cells."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +191,54 @@ def test_dashboard_is_written_once_and_again_without_change(spark, tmp_path):
         for row, value in zip((3, 4, 5), (read.first_order, read.joined, read.referral))
     } == {key: value for key, value in first.items() if key[0] == points and key[2] in shown}
     assert shown
+
+
+def test_comparison_finds_changed_lost_and_extra_cells(spark, tmp_path):
+    store = str(tmp_path / "cells")
+    before = [("s", 1, 1, "a"), ("s", 1, 2, None), ("s", 1, 3, "c"), ("s", 2, 1, None), (None, 3, 3, "n"), ("t", 1, 1, "x")]
+    after = [("s", 1, 1, "a"), ("s", 1, 2, "b"), ("s", 2, 1, None), ("s", 2, 2, None), (None, 3, 3, "m"), ("t", 1, 1, None)]
+    for rows in (before, after):
+        cell_store.replace_cells(spark.createDataFrame([(*row[:3], "A1", row[3]) for row in rows], cell_store.CELL_SCHEMA), store)
+    assert cell_store.complete_versions(spark, store) == [1, 2]
+    found = {tuple(row) for row in cell_store.changes_of_last_write(spark, store).collect()}
+    assert found == {
+        ("s", 1, 2, "changed", None, "b"), ("s", 1, 3, "lost", "c", None), ("s", 2, 2, "extra", None, None),
+        (None, 3, 3, "changed", "n", "m"), ("t", 1, 1, "changed", "x", None),
+    }
+    assert cell_store.read_cells(spark, store, 1).count() == len(before)
+
+
+def test_changes_of_a_first_write_and_of_none(spark, tmp_path):
+    store = str(tmp_path / "cells")
+    assert cell_store.changes_of_last_write(spark, store).count() == 0
+    cell_store.replace_cells(cell_rows(spark, [("s", 1, 1, "x")]), store)
+    assert [row.change for row in cell_store.changes_of_last_write(spark, store).collect()] == ["extra"]
+
+
+def dashboard_tables(spark, folder, seed=3, size=120):
+    rows = shop.shop_rows(seed, size=size)
+    rows["dashboard_user"] = [
+        (f"2025-0{month}-15 00:00:00", "DAILY", month, 10 * month, 4 * month, 6 * month)
+        for month in range(1, 9)
+    ]
+    rows["direct_shipping"] = [(row[5], 0) for row in rows["shipment"] if row[5]]
+    tables = shop.spark_tables(spark, rows, folder)
+    tables["ads"] = spark.sql(
+        "select '2025-03-04' as date, 5D as total_signups, 1000D as total_cost,"
+        " 2D as total_conversions, 150D as total_roas"
+    )
+    return tables
+
+
+def test_both_dashboards_from_one_reading_are_those_of_two(spark, tmp_path):
+    tables = dashboard_tables(spark, str(tmp_path / "tables"), seed=4, size=300)
+    together, apart = str(tmp_path / "together"), str(tmp_path / "apart")
+    weekly, monthly = shop.SETTINGS["weekly"], shop.SETTINGS["monthly"]
+    dashboard.write_dashboards(tables, [weekly, monthly], together)
+    for at in (weekly, monthly):
+        dashboard.write_dashboard(tables, at, apart)
+    found = values(cell_store.read_cells(spark, together))
+    assert found == values(cell_store.read_cells(spark, apart))
+    assert {key[0] for key in found} >= {weekly.sheet, monthly.sheet}
+    with pytest.raises(ValueError, match="same order dates"):
+        dashboard.write_dashboards(tables, [weekly, replace(monthly, order_to="2025-07-01")], together)

@@ -5,10 +5,11 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 import shop
 from conftest import plan_of
-from tillgrid.operators import buyers
+from tillgrid.operators import buyers, shipments
 from tillgrid.plans import dashboard, queries
 from tillgrid.sources.tables import SCHEMAS, as_declared, jdbc_options
 
@@ -163,3 +164,53 @@ def test_tables_of_a_database_get_their_declared_types(spark):
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", {})
     assert "partitionColumn" not in jdbc_options("jdbc:x", "t", {}, one_task=True)
+
+
+def scans_of(plan: str, column: str) -> int:
+    """Files read for a table, told by one of its columns; what is reused is read once."""
+    return sum(bool(re.search(rf"struct<.*\b{column}:", block)) for block in plan.split("\n\n") if "Scan parquet" in block)
+
+
+@pytest.mark.parametrize("grain", ["weekly", "monthly"])
+def test_sales_have_no_expand(tables, no_broadcast, grain):
+    at = shop.SETTINGS[grain]
+    for build in (dashboard.delivery_sales, dashboard.total_sales, dashboard.category_sales):
+        for facts in (dashboard.facts_of(tables, at), dashboard.rollup_of(tables, at)):
+            assert "Expand" not in plan_of(build(tables, at, facts))
+
+
+def test_a_dashboard_reads_shipments_twice_and_items_once(spark, tables, monkeypatch):
+    """All that reads the given tables for sales and baskets is what gets stored."""
+    at = shop.SETTINGS["weekly"]
+    stored = [plan_of(dashboard.facts_of(tables, at)), plan_of(buyers.first_valid_orders(tables["shipment"]))]
+    assert sum(scans_of(plan, "order_dated_at") for plan in stored) == 2
+    assert sum(scans_of(plan, "item_status") for plan in stored) == 1
+    with dashboard.stored(dashboard.facts_of(tables, at), "facts") as facts, dashboard.stored(
+        buyers.first_valid_orders(tables["shipment"]), "first"
+    ) as first:
+        known = {**tables, dashboard.FIRST_ORDERS: first}
+        for build in (dashboard.sales_cells, dashboard.report_cells_category):
+            plan = plan_of(build(known, at, facts))
+            assert scans_of(plan, "item_status") == scans_of(plan, "courier") == 0
+
+
+def test_both_grains_read_items_once_and_combine_before_the_shuffle(tables, no_broadcast):
+    at = shop.SETTINGS["weekly"]
+    daily = shipments.daily_rollup(tables["shipment_item"])
+    plan = plan_of(shipments.order_facts_of_grains(daily, dashboard.orders_in_range(tables, at)))
+    assert scans_of(plan, "item_status") == scans_of(plan, "courier") == 1
+    assert plan.count(") Expand") == 1
+
+
+def test_facts_and_rollup_give_the_same_reports(tables, monkeypatch):
+    monkeypatch.setattr(buyers, "ROWS_PER_PART", 5)
+    daily = shipments.daily_rollup(tables["shipment_item"])
+    known = {**tables, dashboard.FIRST_ORDERS: buyers.first_valid_orders(tables["shipment"])}
+    for at in shop.SETTINGS.values():
+        both = shipments.order_facts_of_grains(daily, dashboard.orders_in_range(tables, at))
+        own = both.filter(F.col("grain") == at.grain).drop("grain")
+        for build in (dashboard.delivery_sales, dashboard.total_sales, dashboard.category_sales, dashboard.basket_rows):
+            wanted = build(tables, at, dashboard.rollup_of(tables, at))
+            for facts in (own, dashboard.facts_of(tables, at)):
+                found = build(known, at, facts).select(*wanted.columns)
+                assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))

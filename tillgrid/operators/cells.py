@@ -102,6 +102,35 @@ def merge_cells(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def compare_cells(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Cells that two reports do not share: ``sheet, row_no, col_no, change, before, after``.
+
+    ``change`` is ``extra`` for a cell of ``after`` alone, ``lost`` for one of
+    ``before`` alone, and ``changed`` where the values differ, a missing value
+    being a value like any other. Both sides have a cell at most once.
+    """
+    place = ["sheet", "row_no", "col_no"]
+
+    def side(cells: DataFrame, name: str) -> DataFrame:
+        return cells.select(*[F.col(key).alias(f"{name}_{key}") for key in place], F.col("value").alias(name))
+
+    same_place = [F.col(f"before_{key}").eqNullSafe(F.col(f"after_{key}")) for key in place]
+    both = side(before, "before").withColumn("was", F.lit(True)).join(
+        side(after, "after").withColumn("is", F.lit(True)), same_place, "full"
+    )
+    change = (
+        F.when(F.col("was").isNull(), "extra")
+        .when(F.col("is").isNull(), "lost")
+        .when(~F.col("before").eqNullSafe(F.col("after")), "changed")
+    )
+    return both.withColumn("change", change).filter(F.col("change").isNotNull()).select(
+        *[F.when(F.col("is").isNull(), F.col(f"before_{key}")).otherwise(F.col(f"after_{key}")).alias(key) for key in place],
+        "change",
+        "before",
+        "after",
+    )
+
+
 def verify_points(cells: DataFrame, sheet: str, rows: dict[str, int]) -> DataFrame:
     """Point shares read back per column, and the new-member check sum.
 

@@ -117,7 +117,7 @@ class DemoTables(dict):
 
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__()
-        self._spark, self._folder = spark, folder
+        self.spark, self._folder = spark, folder
 
     def __missing__(self, name: str) -> DataFrame:
         if name == "ads":
@@ -125,11 +125,11 @@ class DemoTables(dict):
             return self[name]
         text = view_text(name)
         used = {
-            table: given_table(self._spark, self._folder, table)
+            table: given_table(self.spark, self._folder, table)
             for table in GIVEN
             if "{" + table + "}" in text
         }
-        self[name] = self._spark.sql(text, **used)
+        self[name] = self.spark.sql(text, **used)
         return self[name]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,13 @@ from tillgrid.functions.periods import calendar_days, week_mode1
 from tillgrid.operators import baskets, cells, members, points
 from tillgrid.operators import buyers as buyer_operators
 from tillgrid.operators.ads import ads_clean as clean_ads
+from tillgrid.operators.shipments import daily_rollup, order_facts_of_grains
 from tillgrid.plans import dashboard, layouts
 from tillgrid.plans.dashboard import Settings, monthly_settings, weekly_settings
 from tillgrid.plans.demo_tables import DemoTables, given_table
+from tillgrid.sources import cell_store
 from tillgrid.sources.ad_grid import ad_columns, grid_of_lines
+from tillgrid.sources.folders import kept, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,17 +109,44 @@ def _basket_bands_total(tables: DemoTables, at: Settings) -> DataFrame:
 
 
 def _report_cells(tables: DemoTables, at: Settings) -> DataFrame:
-    return dashboard.report_cells(tables, at, dashboard.rollup_of(tables, at))
+    return dashboard.report_cells(tables, at, dashboard.facts_of(tables, at))
 
 
 def _report_cells_category(tables: DemoTables, at: Settings) -> DataFrame:
-    return dashboard.report_cells_category(tables, at, dashboard.rollup_of(tables, at))
+    return dashboard.report_cells_category(tables, at, dashboard.facts_of(tables, at))
 
 
-def _verify(tables: DemoTables, at: Settings) -> DataFrame:
-    checked = cells.verify_points(
-        dashboard.point_cells(tables, at), at.point_sheet, layouts.POINT_ROWS
+def _with_first_orders(tables: DemoTables) -> DemoTables:
+    tables[dashboard.FIRST_ORDERS] = kept(
+        buyer_operators.first_valid_orders(tables["shipment"]), dashboard.FIRST_ORDERS
     )
+    return tables
+
+
+def _stored_report_cells(tables: DemoTables, at: Settings) -> DataFrame:
+    facts = kept(dashboard.facts_of(tables, at), "facts")
+    return dashboard.report_cells(_with_first_orders(tables), at, facts)
+
+
+def report_cells_grains(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales cells of both grains, the categories included, from one reading of the items."""
+    tables = DemoTables(spark, folder)
+    orders = dashboard.orders_in_range(tables, WEEKLY)
+    facts = kept(order_facts_of_grains(daily_rollup(tables["shipment_item"]), orders), "facts")
+    tables = _with_first_orders(tables)
+    parts = []
+    for at in GRAINS.values():
+        own = facts.filter(F.col("grain") == at.grain).drop("grain")
+        parts.append(dashboard.sales_cells(tables, at, own))
+        parts.append(dashboard.report_cells_category(tables, at, own))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _verify(tables: DemoTables, at: Settings) -> DataFrame:
+    """Point shares read back from a store that they were written to."""
+    store = scratch_folder(tables.spark, "cells")
+    cell_store.upsert_cells(dashboard.point_cells(tables, at), store)
+    checked = dashboard.check_points(tables.spark, at, store)
     shares = [*layouts.POINT_ROWS, "check_sum"]
     return checked.select(
         "sheet", "col_no", *[F.col(name).cast("double").alias(name) for name in shares]
@@ -135,7 +166,7 @@ BY_GRAIN: dict[str, Callable[[DemoTables, Settings], DataFrame]] = {
     "sales_total": _sales_total,
     "basket_bands": _basket_bands,
     "basket_bands_total": _basket_bands_total,
-    "report_cells": _report_cells,
+    "report_cells": _stored_report_cells,
     "report_cells_category": _report_cells_category,
     "report_verify": _verify,
     "ads": dashboard.ad_figures,
@@ -261,18 +292,28 @@ def ads_sheet(spark: SparkSession, folder: str) -> DataFrame:
     return clean_ads(grid).select("date", *SHEET_COLUMNS)
 
 
+def _member_reports(tables: DemoTables) -> tuple[DataFrame, DataFrame]:
+    """Member cells of a year, and of the next one up to week 20."""
+    weekly = {"order_to": "1996-08-08", "first_monday": "2024-01-01"}
+    old = weekly_settings(1995, **weekly, **DEMO)
+    new = weekly_settings(1996, **weekly, **{**DEMO, "signup_year": 1996, "last_period": 20})
+    return dashboard.member_cells(tables, old), dashboard.member_cells(tables, new)
+
+
 def report_merge(spark: SparkSession, folder: str) -> DataFrame:
     """An earlier member report, overwritten by that of the next year.
 
     The new report ends at week 20, so later cells are kept from the old one.
     """
-    tables = DemoTables(spark, folder)
-    weekly = {"order_to": "1996-08-08", "first_monday": "2024-01-01"}
-    old = weekly_settings(1995, **weekly, **DEMO)
-    new = weekly_settings(1996, **weekly, **{**DEMO, "signup_year": 1996, "last_period": 20})
-    return cells.merge_cells(
-        dashboard.member_cells(tables, old), dashboard.member_cells(tables, new)
-    )
+    return cells.merge_cells(*_member_reports(DemoTables(spark, folder)))
+
+
+def report_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What replacing a stored member report by that of the next year changed, lost and added."""
+    store = scratch_folder(spark, "cells")
+    for report in _member_reports(DemoTables(spark, folder)):
+        cell_store.replace_cells(report, store)
+    return cell_store.changes_of_last_write(spark, store)
 
 
 def all_queries() -> dict[str, Query]:
@@ -286,6 +327,8 @@ def all_queries() -> dict[str, Query]:
         "ads_clean": ads_clean,
         "ads_sheet": ads_sheet,
         "report_merge": report_merge,
+        "report_changes": report_changes,
+        "report_cells_grains": report_cells_grains,
     }
 
     def bound(build: Callable[[DemoTables, Settings], DataFrame], at: Settings) -> Query:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillgrid.operators.cells import merge_cells
+from tillgrid.operators.cells import compare_cells, merge_cells
 from tillgrid.sources.folders import exists, literal, names_in, remove_folder
 
 CELL_SCHEMA = (
@@ -44,14 +44,26 @@ def latest_version(spark: SparkSession, store: str) -> int:
     return max((number for number, done in _versions(spark, store).items() if done), default=0)
 
 
-def read_cells(spark: SparkSession, store: str) -> DataFrame:
-    """Cells of the newest version."""
-    version = latest_version(spark, store)
+def read_cells(spark: SparkSession, store: str, version: int | None = None) -> DataFrame:
+    """Cells of a version, the newest one if none is given; no cells where there is none."""
+    if version is None:
+        version = latest_version(spark, store)
     if not version:
         return spark.createDataFrame([], CELL_SCHEMA)
     return spark.read.schema(CELL_SCHEMA).parquet(literal(f"{store}/version={version}"))
 
 
+def complete_versions(spark: SparkSession, store: str) -> list[int]:
+    """Numbers of the complete versions that are still there, oldest first."""
+    return sorted(number for number, done in _versions(spark, store).items() if done)
+
+
+def changes_of_last_write(spark: SparkSession, store: str) -> DataFrame:
+    """What the newest version changed, lost or added; see :func:`compare_cells`."""
+    before, after = [0, 0, *complete_versions(spark, store)][-2:]
+    return compare_cells(read_cells(spark, store, before), read_cells(spark, store, after))
+
+
 def replace_cells(cells: DataFrame, store: str) -> None:
     """Make ``cells`` the whole content of the store; none empty it."""
     spark = cells.sparkSession

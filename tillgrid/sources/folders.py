@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _opened(spark: SparkSession, path: str):
@@ -30,6 +32,32 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     system.delete(place, True)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that is removed when the session's process ends.
+
+    It lies in the folder that ``spark.checkpoint.dir`` names, which all machines
+    share. Only a session on one machine may do without the setting.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        folder = tempfile.gettempdir()
+    path = f"{folder.rstrip('/')}/{spark.conf.get('spark.app.id')}/{name}_{uuid4().hex}"
+    system, place = _opened(spark, path)
+    system.mkdirs(place)
+    system.deleteOnExit(place)
+    return path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once and read from a scratch folder from then on."""
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark, name)}/rows"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(literal(path))
+
+
 def literal(path: str) -> str:
     """A path to read whose brackets, braces, stars and question marks mean themselves."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
