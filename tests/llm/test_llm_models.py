@@ -250,3 +250,41 @@ def test_decoding_any_ids():
     for _ in range(500):
         ids = [draw.choice([draw.randrange(32000), draw.randrange(3, 259), draw.randrange(3, 259)]) for _ in range(9)]
         assert coder.decode(np.array(ids, np.int32)) == library.decode(ids)
+
+
+def test_neighbours_fit_as_merging_tells():
+    """Taking merges back decides as merging all characters again does, for pieces drawn and for those of texts."""
+    with open(MODEL, "rb") as file:
+        coder = pieces.PieceCoder(file.read())
+    draw = random.Random(5)
+    made = [piece for piece, own in coder.id_of.items() if coder.length[own] and len(piece) < 9]
+    starts = {}
+    for piece in made:
+        starts.setdefault(piece[0], []).append(piece)
+    pairs = [(draw.choice(made), draw.choice(made)) for _ in range(3000)]
+    for piece in draw.sample(made, 3000):
+        half = coder.halves[coder.id_of[piece]]
+        if half:
+            pairs.append(tuple(coder.piece_of[own] for own in half))
+            pairs.append((piece, draw.choice(starts[coder.piece_of[half[1]][0]])))
+    pairs += [(a, b) for a in ("a", "aa", "▁", "▁▁", "▁▁▁", "ss", "s") for b in ("a", "aa", "▁", "▁▁", "ss", "s", "▁s")
+              if a in coder.id_of and b in coder.id_of]
+    fitting = 0
+    for left, right in pairs:
+        fits = coder.fits[coder.id_of[left], coder.id_of[right]]
+        assert fits == (coder.merged(left + right) == [left, right]), (left, right)
+        fitting += fits
+    assert 1000 < fitting < len(pairs) - 1000
+
+
+def test_pieces_of_a_long_text_of_random_letters():
+    """Backtracking over many positions, in one chunk."""
+    with open(MODEL, "rb") as file:
+        coder = pieces.PieceCoder(file.read())
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    draw = random.Random(9)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "aeionst", "ab", "a", "éèàçêt"):
+        text = "".join(draw.choices(letters, k=3000))
+        ids = np.frombuffer(coder.encode(text), np.int32)
+        assert ids.tolist() == library.encode(text)
+        assert coder.decode(ids) == text

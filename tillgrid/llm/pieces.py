@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice, pairwise
 
 import ahocorasick
 import numpy as np
@@ -19,12 +22,12 @@ from tillgrid.llm.common import slices
 SPACE = "▁"
 #: No piece goes on over the start of a run of spaces or over a line break.
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
-#: Chunks that a worker remembers, and characters of the longest of them.
-MOST_KEPT, LONGEST_KEPT = 250_000, 48
+#: Chunks, and pairs of pieces, that a worker remembers, and characters of the longest chunk of them.
+MOST_KEPT, LONGEST_KEPT = 400_000, 48
 
 
 class _Kept(dict):
-    """Results by chunk; forgets all when full."""
+    """Results by chunk or by pair of pieces; forgets the older half when full."""
 
     def __init__(self, make):
         self.make = make
@@ -33,7 +36,8 @@ class _Kept(dict):
         value = self.make(chunk)
         if len(chunk) <= LONGEST_KEPT:
             if len(self) >= MOST_KEPT:
-                self.clear()
+                for old in list(islice(self, MOST_KEPT // 2)):
+                    del self[old]
             self[chunk] = value
         return value
 
@@ -66,20 +70,48 @@ class PieceCoder:
         self.text_of = [texts.get(i, "") for i in ids]
         self.part = np.array([self.byte_of.get(i, 0) > 127 for i in ids])
         self.known = {piece for piece in self.id_of if len(piece) == 1}
+        self._index_pieces(len(ids))
+        self.fits = _Kept(self._fit)
+        self.kept = _Kept(lambda chunk: array("i", self.encode_chunk(chunk)).tobytes())
+
+    def _index_pieces(self, size: int) -> None:
+        """Tables by id of the pieces that merging their own characters gives.
+
+        ``halves`` are the two pieces of the last merge, ``rank`` tells which of two
+        merges comes first, and ``shorter`` is the longest piece that a piece begins with.
+        """
         self.automaton = ahocorasick.Automaton()
-        for piece in self.id_of:
-            if len(piece) == 1 or self.merged(piece) == [piece]:
-                self.automaton.add_word(piece, piece)
+        self.length, self.shorter, self.rank = [0] * size, [-1] * size, [0] * size
+        self.halves: list[tuple[int, int] | None] = [None] * size
+        by_score = sorted(self.id_of, key=lambda piece: -self.score[piece])
+        pieces_of_score = Counter(self.score[piece] for piece in by_score if len(piece) > 1)
+        self.tied = [False] * size
+        for rank, piece in enumerate(by_score):
+            self.rank[self.id_of[piece]] = rank
+        made = {}
+        for piece, own in self.id_of.items():
+            halves = self.last_merge(piece) if len(piece) > 1 else None
+            if len(piece) == 1 or halves:
+                made[piece] = own
+                self.length[own] = len(piece)
+                self.tied[own] = len(piece) > 1 and pieces_of_score[self.score[piece]] > 1
+                self.halves[own] = halves and (self.id_of[halves[0]], self.id_of[halves[1]])
+                self.automaton.add_word(piece, own)
+        for piece, own in made.items():
+            self.shorter[own] = next((made[piece[:k]] for k in range(len(piece) - 1, 0, -1) if piece[:k] in made), -1)
         if len(self.automaton):
             self.automaton.make_automaton()
-        self.fit = lru_cache(maxsize=250_000)(self._fit)
-        self.kept = _Kept(lambda chunk: np.array(self.encode_chunk(chunk), np.int32).tobytes())
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces from merging: the best scored pair first, the leftmost of equals."""
+    def last_merge(self, piece: str) -> tuple[str, str] | None:
+        """The two parts that become ``piece`` when its characters are merged; null if they never do."""
+        parts = self.merged(piece, stop=2)
+        return (parts[0], parts[1]) if len(parts) == 2 and parts[0] in self.id_of and parts[1] in self.id_of else None
+
+    def merged(self, text: str, stop: int = 1) -> list[str]:
+        """Pieces from merging: the best scored pair first, the leftmost of equals, until ``stop`` are left."""
         parts = list(text)
         score = self.score
-        while len(parts) > 1:
+        while len(parts) > stop:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 own = score.get(parts[i] + parts[i + 1])
@@ -90,48 +122,75 @@ class PieceCoder:
             parts[at: at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _fit(self, left: str, right: str) -> bool:
-        return self.merged(left + right) == [left, right]
-
-    def cover(self, text: str) -> list[str]:
-        """Pieces of a text of known characters, by backtracking."""
-        found: list[list[str]] = [[] for _ in text]
-        for end, piece in self.automaton.iter(text):
-            found[end + 1 - len(piece)].append(piece)
-        # Matches of a start come in the order of their ends: the longest is last.
-        choice = [len(own) for own in found]
-        failed = bytearray(len(text) + 1)
-        pieces: list[str] = []
-        at, end = 0, len(text)
-        while at < end:
-            last = pieces[-1] if pieces else None
-            own = found[at]
-            while choice[at]:
-                choice[at] -= 1
-                piece = own[choice[at]]
-                if not failed[at + len(piece)] and (last is None or self.fit(last, piece)):
-                    pieces.append(piece)
-                    at += len(piece)
-                    if at < end:
-                        choice[at] = len(found[at])
-                    break
+    def _fit(self, pair: tuple[int, int]) -> bool:
+        """Whether merging the characters of two pieces again gives the same two.
+
+        Their merges are taken back, the latest first. Before each, the parts that
+        meet at the border must not make a piece whose merge would have come first;
+        of equal merges the one further left does. Pieces that share their score
+        with others, such as runs of spaces, are merged from their characters instead.
+        """
+        left, right = pair
+        rank, halves, id_of, piece_of = self.rank, self.halves, self.id_of, self.piece_of
+        a, b = left, right
+        # A merge at the border breaks the pair if it comes before ``limit``, or at it where that lies further right.
+        limit, or_at = len(rank), False
+        if self.tied[left] or self.tied[right]:
+            return self.merged(piece_of[left] + piece_of[right]) == [piece_of[left], piece_of[right]]
+        while True:
+            joined = id_of.get(piece_of[a] + piece_of[b])
+            if joined is not None and (rank[joined] < limit or or_at and rank[joined] == limit):
+                return False
+            of_a, of_b = halves[a], halves[b]
+            if of_a is None and of_b is None:
+                return True
+            if of_b is None or of_a is not None and rank[a] > rank[b]:
+                limit, or_at, a = rank[a], False, of_a[1]
             else:
-                if not pieces:
-                    raise ValueError(f"no encoding of {text!r}")
-                failed[at] = 1
-                at -= len(pieces.pop())
+                limit, or_at, b = rank[b], True, of_b[0]
+
+    def cover(self, text: str) -> list[int]:
+        """Pieces of a text of known characters: longest matches, and backtracking where two do not fit."""
+        pieces = [piece for _, piece in self.automaton.iter_long(text)]
+        fits = self.fits
+        for count, pair in enumerate(pairwise(pieces), 1):
+            if not fits[pair]:
+                return self._backtrack(text, pieces[:count], pieces[count])
         return pieces
 
+    def _backtrack(self, text: str, pieces: list[int], piece: int) -> list[int]:
+        """The cover that starts like ``pieces``, unless what follows makes them give way; ``piece`` is the longest then."""
+        length, shorter, fits = self.length, self.shorter, self.fits
+        at, end = sum(length[piece] for piece in pieces), len(text)
+        failed = bytearray(end + 1)
+        while True:
+            last = pieces[-1] if pieces else -1
+            while piece >= 0 and (failed[at + length[piece]] or last >= 0 and not fits[last, piece]):
+                piece = shorter[piece]
+            if piece >= 0:
+                pieces.append(piece)
+                at += length[piece]
+                if at == end:
+                    return pieces
+                piece = next(self.automaton.iter_long(text, at))[1]
+            elif pieces:
+                # No piece here fits the one before, which has to be shorter.
+                failed[at] = 1
+                piece = pieces.pop()
+                at -= length[piece]
+            else:
+                raise ValueError(f"no encoding of {text!r}")
+
     def encode_chunk(self, chunk: str) -> list[int]:
         if self.known.issuperset(chunk):
-            return [self.id_of[piece] for piece in self.cover(chunk)]
+            return self.cover(chunk)
         ids, start = [], 0
         for i, char in enumerate(chunk):
             if char not in self.known:
-                ids += [self.id_of[piece] for piece in self.cover(chunk[start:i])]
+                ids += self.cover(chunk[start:i])
                 ids += self.bytes_of(char)
                 start = i + 1
-        return ids + [self.id_of[piece] for piece in self.cover(chunk[start:])]
+        return ids + self.cover(chunk[start:])
 
     def bytes_of(self, char: str) -> list[int]:
         return [self.bytes[f"<0x{byte:02X}>"] for byte in char.encode("utf-8", "replace")] if self.bytes else [self.unknown]
