@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.llm import mixing, near_texts, passages, pieces, rules
+from tillgrid.llm import mixing, passages, pieces, rules, simhash
 from tillgrid.llm.common import saved
 
 
@@ -16,21 +16,29 @@ def _row(docs: DataFrame) -> Column:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    model = rules.fit_rules(saved(rules.measured(docs.select("text"))))
-    judged = rules.judged(rules.measured(docs.select("text", _row(docs))), model)
-    return judged.where("kept").select("row.*")
+    """Documents that the quality rules keep.
+
+    Measures are taken once and stored beside their row, so that neither the model nor the
+    verdict takes them again.
+    """
+    measures = saved(rules.measured(docs.select("text", _row(docs))).drop("text"))
+    return rules.judged(measures, rules.fit_rules(measures)).where("kept").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id.
+    """One document of each group that SimHash links, with the settings of ``op4_simhash``.
 
-    Near copies share 0.8 or more of their five-word shingles; the closer link of
-    ``op4_simhash`` does not find them. Documents without an id stay.
+    It is the one with the smallest id; one without an id stays only where none has
+    one, and of several texts of one id the first by a hash does. Rows are told by two hashes of all
+    their columns, so an id that stands twice loses nothing but what has a copy. Of
+    rows that repeat in every column one stays.
     """
-    found = near_texts.near_copies(docs)
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    hashes = [F.xxhash64(*docs.columns).alias("h1"), F.xxhash64(F.lit(1), *docs.columns).alias("h2")]
+    name = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", *hashes).alias("name")
+    found = simhash.near_duplicates(docs.select("text", name), "name")
+    stays = found.where("name = component_id").select("name.h1", "name.h2").distinct()
+    rows = docs.select(_row(docs), *hashes).dropDuplicates(["h1", "h2"])
+    return rows.join(stays, ["h1", "h2"], "left_semi").select("row.*")
 
 
 def passages_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
