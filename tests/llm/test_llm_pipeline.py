@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from tillgrid.llm import simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words int, threshold int"
 
@@ -67,18 +68,38 @@ def test_stages(spark, docs):
         assert row["decoded"] == left[row["doc_id"]]["text"]
 
 
-def test_near_copies_at_four_fifths_go(spark):
-    """Three changed words of 160 leave 0.8 or more of the shingles, and few of 64 bits alike enough."""
+def near_copies_left(spark, rows):
+    schema = "doc_id long, text string, source string, row string, h1 int, name string, component_id int"
+    made = corpus_pipeline.near_copies(spark, spark.createDataFrame([(*row, "r", 1, "n", 2) for row in rows], schema).repartition(3), "")
+    assert made.columns == ["doc_id", "text", "source", "row", "h1", "name", "component_id"]
+    return sorted((tuple(row)[:3] for row in made.collect()), key=str)
+
+
+def test_near_copies_of_ids_that_stand_twice(spark):
+    """A text goes only where a copy of it stays."""
     draw = random.Random(8)
-    rows = []
-    for i in range(0, 40, 2):
-        base = [str(draw.randrange(10**6)) for _ in range(160)]
-        copy = list(base)
-        for at in (20, 80, 140):
-            copy[at] = "changed"
-        rows += [(i, " ".join(base)), (i + 1, " ".join(copy))]
-    made = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
-    assert {row["doc_id"] for row in made.collect()} == set(range(0, 40, 2))
+    a, b, c = (" ".join(str(draw.randrange(10**6)) for _ in range(300)) for _ in range(3))
+    rows = [(2, b, "s"), (5, a, "s"), (5, b, "s"), (7, a + " tail", "s"), (9, c, "s"), (9, c, "s"), (9, c, "t"), (None, c, "s"), (None, a[:900], "s")]
+    rows += [(None, "only without an id", "s"), (None, "only without an id", "s"), (3, None, "s"), (4, "", "s"), (4, " ", "s")]
+    left = near_copies_left(spark, rows)
+    assert (2, b, "s") in left and (5, a, "s") in left and (3, None, "s") in left and (None, "only without an id", "s") in left
+    assert [row for row in left if row[1] == c][0][0] == 9 and len([row for row in left if row[1] == c]) == 1
+    linked = simhash.fingerprint(a[:900]) ^ simhash.fingerprint(a)
+    assert len(left) == 5 + (bin(linked).count("1") > 4)
+
+
+def test_one_document_of_each_group_stays(spark, docs):
+    """The rows that stay are those of brute-force groups of links, one each."""
+    rows = docs.union(docs.where("doc_id % 3 = 0").withColumn("doc_id", F.col("doc_id") + 100)).cache()
+    listed = rows.collect()
+    prints = [simhash.fingerprint(row["text"]) for row in listed]
+    group = list(range(len(listed)))
+    for i, one in enumerate(prints):
+        for j, other in enumerate(prints[:i]):
+            if bin(one ^ other).count("1") <= 4:
+                group = [group[j] if g == group[i] else g for g in group]
+    wanted = {min(row["doc_id"] for row, g in zip(listed, group) if g == own) for own in group}
+    assert {row["doc_id"] for row in corpus_pipeline.near_copies(spark, rows, "").collect()} == wanted
 
 
 def test_stages_of_no_rows(spark, docs):

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tillgrid.llm import common, mixing, near_texts, passages, rules, shards, simhash
+from tillgrid.llm import common, mixing, passages, rules, shards, simhash
 
 SCHEMA = "doc_id long, text string, source string, n_words string, kept string, size int, fp int"
 
@@ -183,42 +183,7 @@ def test_links_of_dense_and_loose_fingerprints(spark, monkeypatch, block):
     assert found == expected
 
 
-# Near copies
-
-
-def shingle_set(text):
-    own = [re.sub("[A-Z]", lambda m: m[0].lower(), word) for word in words(text)]
-    return frozenset(" ".join(own[i: i + 5]) for i in range(max(1, len(own) - 4))) if own else frozenset()
-
-
-def jaccard(a, b):
-    return len(a & b) / len(a | b) if a or b else 1.0
-
-
-@pytest.mark.parametrize("most", [4096, 5])
-def test_near_copies(spark, docs, odd, empty, monkeypatch, most):
-    """Copies on both sides of 0.8 link by their exact similarity, also in blocks."""
-    monkeypatch.setattr(near_texts, "MOST_IN_LIST", most)
-    monkeypatch.setattr(near_texts, "MOST_IN_GROUP", most)
-    draw = random.Random(11)
-    texts = list(TEXTS)
-    for n in (40, 120, 400):
-        for _ in range(12):
-            base = [str(draw.randrange(10**6)) for _ in range(n)]
-            texts.append(" ".join(base))
-            for _ in range(3):
-                copy = list(base)
-                for at in draw.sample(range(n), draw.randint(1, max(1, n // 30))):
-                    copy[at] = "changed"
-                texts.append(" ".join(copy))
-    sets = [shingle_set(text) for text in texts]
-    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if jaccard(sets[i], sets[j]) >= 0.8]
-    assert sum(jaccard(sets[i], sets[j]) < 0.9 for i, j in pairs) > 10
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
-    found = {row["doc_id"]: row["component_id"] for row in near_texts.near_copies(table).collect()}
-    assert found == dict(enumerate(union(len(texts), pairs)))
-    assert near_texts.near_copies(odd).count() == odd.where("doc_id is not null").count()
-    assert near_texts.near_copies(empty).count() == 0
+# Components
 
 
 def test_components(spark):

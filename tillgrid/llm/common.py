@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillgrid.sources.folders import kept
+
 #: A word is a run of characters other than these (space and U+0009 to U+000D).
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -27,30 +27,13 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder of the cluster for intermediate tables.
-
-    It is what ``spark.checkpoint.dir`` names. Only a session on one machine may
-    do without the setting; it then gets a temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder all machines share")
-        folder = tempfile.mkdtemp(prefix="tillgrid-")
-    return folder.rstrip("/")
-
-
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written once as a table to the shared folder and read from there.
 
-    Cuts the lineage: a lost executor costs no recomputation of what is before.
+    Cuts the lineage: a lost executor costs no recomputation of what is before. The
+    table is removed when the driver's process ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return kept(df, "table")
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
