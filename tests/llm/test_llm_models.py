@@ -79,6 +79,19 @@ def test_near_vectors_of_odd_rows(spark):
     assert near_vectors.near_vectors(empty).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_near_vectors_of_ids_that_stand_twice(spark, kind):
+    """Each row counts its own links, whatever other vectors its id has; labels may be text."""
+    draw = np.random.default_rng(12)
+    a, b, c = (draw.normal(size=8).tolist() for _ in range(3))
+    rows = [(1, a, "7"), (1, b, "8"), (2, a, "7"), (3, b, "8"), (3, c, "7"), (4, [2 * x for x in b], "8"), (None, c, "7"), (-5, c, "9")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    found = near_vectors.near_vectors(table.withColumn("label", F.col("label").cast(kind)))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 1, 3, True), (4, 2, 1, False), (None, 1, None, True), (-5, 0, -5, True)
+    ], key=str)
+
+
 # Classifier
 
 

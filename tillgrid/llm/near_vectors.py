@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillgrid.llm.common import components, saved, smallest_reachable
 
@@ -17,6 +18,8 @@ LEAST_COSINE = 0.93
 PER_PIVOT, IN_BLOCK, MOST_PIVOTS = 2048, 1024, 2048
 #: For rounding of distances; cosines are compared without it.
 SLACK = 1e-6
+#: Parts of a component that look up its smallest id apart.
+ROOT_PARTS = 16
 
 
 def usable(vector: Column) -> Column:
@@ -127,7 +130,7 @@ def links_of_vectors(nodes: DataFrame, least: float = LEAST_COSINE) -> DataFrame
     counts and a forest, not its pairs.
     """
     radius = math.sqrt(2 - 2 * least)
-    schema = "label int, node long, copies long, vector array<double>, cell int, home boolean"
+    schema = "label long, node long, copies long, vector array<double>, cell int, home boolean"
     placed = saved(
         nodes.select("label", "node", "copies", F.col("vector").cast("array<double>").alias("vector"))
         .mapInArrow(_to_cells(_pivots(nodes), radius), schema)
@@ -162,30 +165,34 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     ``least``. Vectors without a direction, without a label, and of different
     lengths link with nothing. Equal vectors of a label are compared once and
     count as linked to each other. A row whose ``vec_id`` is null counts as a
-    partner and has itself a null component. An empty table gives none.
+    partner and has itself a null component. An id that stands twice names each of
+    its rows for itself. Labels may be of any type. An empty table gives none.
     """
     keys = [F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(1), "embedding").alias("k2")]
     linkable = F.col("label").isNotNull() & usable(F.col("embedding"))
+    whole = isinstance(vectors.schema["label"].dataType, T.IntegralType)
+    group = F.col("label").cast("long") if whole else F.xxhash64("label")
     rows = vectors.select("vec_id", "label", "embedding", *keys).where(linkable)
+    # Nodes are numbered as they are written, so that an id that stands twice names none.
     nodes = saved(
-        rows.groupBy("label", "k1", "k2").agg(
-            F.coalesce(F.min("vec_id"), F.first("k1")).alias("node"),
-            F.count("*").alias("copies"),
-            F.first("embedding").alias("vector"),
-        )
+        rows.groupBy("label", "k1", "k2")
+        .agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"), F.first("embedding").alias("vector"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
-    found = saved(links_of_vectors(nodes.select(F.col("label").cast("int").alias("label"), "node", "copies", "vector"), least))
+    found = saved(links_of_vectors(nodes.select(group.alias("label"), "node", "copies", "vector"), least))
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     reach = components(found.where("b is not null").select("a", "b"))
-    named = (
+    rooted = (
         nodes.drop("vector")
         .join(counts, "node", "left")
-        .join(reach, "node", "left")
-        .select(
-            "label", "k1", "k2",
-            (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component_id", "node").alias("component_id"),
-        )
+        .join(reach.withColumnRenamed("component_id", "root"), "node", "left")
+        .withColumns({"root": F.coalesce("root", "node"), "part": F.pmod(F.xxhash64("node"), F.lit(ROOT_PARTS))})
+    )
+    # A component may hold a third of all nodes: its smallest id goes to every part of it.
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ROOT_PARTS - 1).cast("long"))).alias("part")
+    named = rooted.join(lowest.select("*", parts), ["root", "part"]).select(
+        "label", "k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
     every = vectors.select(
         "vec_id", F.when(linkable, F.col("label")).alias("label"), *keys

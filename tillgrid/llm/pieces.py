@@ -202,6 +202,11 @@ class PieceCoder:
         chunks = CHUNK.findall(SPACE + text.replace(" ", SPACE))
         return b"".join(map(self.kept.__getitem__, chunks))
 
+    def forget(self) -> None:
+        """Drop what has been remembered of texts."""
+        self.kept.clear()
+        self.fits.clear()
+
     def decode_all(self, ids: np.ndarray) -> str:
         """Text of pieces in the middle of a text; bytes that are no UTF-8 become U+FFFD."""
         listed, text_of = ids.tolist(), self.text_of
@@ -247,19 +252,22 @@ def _coder(model: bytes) -> PieceCoder:
 def _codes(model: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model)
-        # What earlier work of this worker has left.
-        pa.default_memory_pool().release_unused()
-        for batch in (part for whole in batches for part in slices(whole, 0, 1 << 20)):
-            encoded = [coder.encode(text) for text in batch.column(0).to_pylist()]
-            ends = np.cumsum([0, *[len(data) // 4 for data in encoded]])
-            ids = pa.ListArray.from_arrays(
-                pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(encoded), np.int32))
-            )
-            decoded = [coder.decode(np.frombuffer(data, np.int32)) for data in encoded]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], ids, pa.array(decoded, pa.string())],
-                names=[*batch.schema.names[1:], "ids", "decoded"],
-            )
+        try:
+            for batch in (part for whole in batches for part in slices(whole, 0, 1 << 20)):
+                encoded = [coder.encode(text) for text in batch.column(0).to_pylist()]
+                ends = np.cumsum([0, *[len(data) // 4 for data in encoded]])
+                ids = pa.ListArray.from_arrays(
+                    pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(encoded), np.int32))
+                )
+                decoded = [coder.decode(np.frombuffer(data, np.int32)) for data in encoded]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[1:], ids, pa.array(decoded, pa.string())],
+                    names=[*batch.schema.names[1:], "ids", "decoded"],
+                )
+        finally:
+            # The worker lives on, and the next stage needs the memory.
+            coder.forget()
+            pa.default_memory_pool().release_unused()
 
     return run
 
