@@ -96,6 +96,44 @@ def first_valid_orders(shipments: DataFrame) -> DataFrame:
     )
 
 
+def updated_first_orders(
+    stored: DataFrame, removed: DataFrame, added: DataFrame, shipments: DataFrame
+) -> DataFrame:
+    """What :func:`first_valid_orders` gives after a change, from what it gave before.
+
+    ``removed`` holds shipments as they were and no longer are, cancelled ones
+    among them, ``added`` new shipments and changed ones as they are now, and
+    ``shipments`` the whole table as it is now. The table is read for those users alone whose
+    first order may have gone, to find their next one; all others follow from the
+    stored row and the changes. Users without a valid shipment have no row.
+    """
+    gone, come = first_valid_orders(removed), first_valid_orders(added)
+    nothing = F.lit(None).cast(stored.schema["first_valid_at"].dataType)
+
+    def part(rows: DataFrame, sign: int, name: str) -> DataFrame:
+        dates = {other: F.col("first_valid_at") if other == name else nothing for other in ("before", "gone", "come")}
+        return rows.select(
+            "user_id", (F.col("valid_orders") * sign).alias("valid_orders"), *[date.alias(at) for at, date in dates.items()]
+        )
+
+    changed = (
+        part(stored, 1, "before").unionByName(part(gone, -1, "gone")).unionByName(part(come, 1, "come"))
+        .groupBy("user_id")
+        .agg(F.sum("valid_orders").alias("valid_orders"), *[F.min(name).alias(name) for name in ("before", "gone", "come")])
+        .filter(F.col("valid_orders") > 0)
+    )
+    # A removed order was the first one, and no added one is as early.
+    unsure = F.coalesce(F.col("gone") <= F.col("before"), F.lit(False)) & ~F.coalesce(
+        F.col("come") <= F.col("before"), F.lit(False)
+    )
+    known = changed.filter(~unsure).select(
+        "user_id", F.least("before", "come").alias("first_valid_at"), "valid_orders"
+    )
+    asked = changed.filter(unsure).select(F.col("user_id").alias("asked"))
+    again = shipments.join(asked, F.col("user_id").eqNullSafe(F.col("asked")), "left_semi")
+    return known.unionByName(first_valid_orders(again))
+
+
 def is_first_order(ordered_at: str = "order_dated_at") -> Column:
     """No valid shipment of the user is strictly earlier than this one."""
     return ~F.coalesce(F.col("first_valid_at") < F.col(ordered_at), F.lit(False))

@@ -14,6 +14,7 @@ from tillgrid.functions.periods import calendar_days, week_mode1
 from tillgrid.operators import baskets, cells, members, points
 from tillgrid.operators import buyers as buyer_operators
 from tillgrid.operators.ads import ads_clean as clean_ads
+from tillgrid.operators.intervals import in_periods
 from tillgrid.operators.shipments import daily_rollup, order_facts_of_grains
 from tillgrid.plans import dashboard, layouts
 from tillgrid.plans.dashboard import Settings, monthly_settings, weekly_settings
@@ -247,6 +248,38 @@ def first_order(spark: SparkSession, folder: str) -> DataFrame:
     return buyer_operators.first_order(DemoTables(spark, folder)["shipment"])
 
 
+def first_orders_updated(spark: SparkSession, folder: str) -> DataFrame:
+    """First valid order of each user, kept up to date over a change of the shipments.
+
+    Stored are those of the shipments before 1997. Then every eleventh of these is
+    cancelled, and the later shipments come in.
+    """
+    shipments = DemoTables(spark, folder)["shipment"]
+    early = F.col("order_dated_at") < F.lit("1997-01-01").cast("timestamp")
+    cancelled = early & (F.col("id") % 11 == 0)
+    now = shipments.withColumn("status", F.when(cancelled, F.lit("CANCEL")).otherwise(F.col("status")))
+    stored = kept(buyer_operators.first_valid_orders(shipments.filter(early)), "first_orders")
+    return buyer_operators.updated_first_orders(
+        stored, shipments.filter(cancelled), now.filter(~early | cancelled), now
+    ).select("user_id", F.date_format("first_valid_at", "yyyy-MM-dd").alias("first_valid_at"), "valid_orders")
+
+
+def lines_in_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines shipped within a period of its own of each order, from its day up to 120 days on."""
+    orders, lines = (given_table(spark, folder, name) for name in ("orders", "lineitem"))
+    start = F.col("o_orderdate").cast("date")
+    periods = orders.select(
+        F.col("o_orderkey").alias("period_id"), start.alias("first_day"),
+        F.date_add(start, (F.col("o_custkey") % 121).cast("int")).alias("last_day"),
+    )
+    daily = lines.groupBy(F.col("l_shipdate").cast("date").alias("day")).agg(F.count("*").alias("lines"))
+    return (
+        in_periods(daily, "day", periods, "first_day", "last_day")
+        .groupBy("period_id")
+        .agg(F.sum("lines").alias("lines"), F.count("*").alias("days"))
+    )
+
+
 def ads_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Typed advertising table."""
     return DemoTables(spark, folder)["ads"]
@@ -324,6 +357,8 @@ def all_queries() -> dict[str, Query]:
         "status_labels": status_labels,
         "vat_net": vat_net_prices,
         "first_order": first_order,
+        "first_orders_updated": first_orders_updated,
+        "lines_in_periods": lines_in_periods,
         "ads_clean": ads_clean,
         "ads_sheet": ads_sheet,
         "report_merge": report_merge,
