@@ -242,3 +242,47 @@ def test_both_dashboards_from_one_reading_are_those_of_two(spark, tmp_path):
     assert {key[0] for key in found} >= {weekly.sheet, monthly.sheet}
     with pytest.raises(ValueError, match="same order dates"):
         dashboard.write_dashboards(tables, [weekly, replace(monthly, order_to="2025-07-01")], together)
+
+
+def test_an_upsert_leaves_other_sheets_alone(spark, tmp_path):
+    store = tmp_path / "cells"
+    for name in ("a", "b/ä=1", "12", None):
+        cell_store.upsert_cells(cell_rows(spark, [(name, 1, 1, "old"), (name, 2, 2, "stays")]), str(store))
+    before = {path: path.stat().st_mtime_ns for path in store.rglob("*.parquet")}
+    for n in range(4):
+        cell_store.upsert_cells(cell_rows(spark, [("b/ä=1", 1, 1, f"new {n}")]), str(store))
+    written = [path for path in store.rglob("cells/*/*.parquet") if path not in before]
+    assert written and all("sheet_folder=b" in str(path) for path in written)
+    assert all(path.stat().st_mtime_ns == before[path] for path in store.rglob("*.parquet") if path in before)
+    found = values(cell_store.read_cells(spark, str(store)))
+    assert found == {(name, 1, 1): "new 3" if name == "b/ä=1" else "old" for name in ("a", "b/ä=1", "12", None)} | {
+        (name, 2, 2): "stays" for name in ("a", "b/ä=1", "12", None)
+    }
+    # What only versions that are gone referred to is gone, what the others refer to is not.
+    assert cell_store.complete_versions(spark, str(store)) == [1, 3, 4, 6, 7, 8]
+    plan = cell_store.read_range(spark, str(store), "a", (1, 1), (1, 1))
+    assert [row.value for row in plan.collect()] == ["old"]
+    assert len(plan.inputFiles()) == 1 and "version=1" in plan.inputFiles()[0]
+
+
+def test_a_second_writer_is_refused(spark, tmp_path, monkeypatch):
+    store = str(tmp_path / "cells")
+    cell_store.replace_cells(cell_rows(spark, [("s", 1, 1, "x")]), store)
+    with cell_store._new_version(spark, store):
+        for write in (cell_store.upsert_cells, cell_store.replace_cells):
+            with pytest.raises(cell_store.StoreBusy):
+                write(cell_rows(spark, [("s", 1, 1, "y")]), store)
+        assert values(cell_store.read_cells(spark, store)) == {("s", 1, 1): "x"}
+        # One that has been silent for long has died.
+        monkeypatch.setattr(cell_store, "WRITER_SECONDS", -1)
+        cell_store.upsert_cells(cell_rows(spark, [("s", 1, 2, "z")]), store)
+    assert values(cell_store.read_cells(spark, store)) == {("s", 1, 1): "x", ("s", 1, 2): "z"}
+
+
+def test_a_failed_write_lets_the_next_one_in(spark, tmp_path):
+    store = str(tmp_path / "cells")
+    failing = cell_rows(spark, [("s", 1, 1, "x")]).withColumn("value", F.raise_error(F.lit("no value")))
+    with pytest.raises(Exception, match="no value"):
+        cell_store.upsert_cells(failing, store)
+    cell_store.upsert_cells(cell_rows(spark, [("s", 1, 1, "y")]), store)
+    assert values(cell_store.read_cells(spark, store)) == {("s", 1, 1): "y"}

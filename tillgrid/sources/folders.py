@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there, also where another process was faster."""
+    system, place = _opened(spark, path)
+    system.mkdirs(place.getParent())
+    return system.createNewFile(place)
+
+
+def age_of(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file was written, or None if there is none."""
+    system, place = _opened(spark, path)
+    if not system.exists(place):
+        return None
+    return time.time() - system.getFileStatus(place).getModificationTime() / 1000
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     system, place = _opened(spark, folder)
     system.delete(place, True)
