@@ -378,8 +378,9 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     others theirs, nor do repeated rows each other.
     """
     names = [f"keep_{i}" for i in range(len(keep))]
-    carried = [docs[name].alias(alias) for name, alias in zip(keep, names)]
-    texts = docs.select("doc_id", "text", *carried)
+    # The text moves once, also where it is kept.
+    carried = {alias: docs[name] for name, alias in zip(keep, names) if name != "text"}
+    texts = docs.select("doc_id", "text", *[column.alias(alias) for alias, column in carried.items()])
     whole = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     meeting = Window.partitionBy("route")
     found = (
@@ -390,7 +391,7 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("route", "place")).alias("found"))
     # Documents move once: all that follows reads this shuffle again.
     gathered = texts.join(by_doc, "doc_id", "left")
-    told = gathered.select("doc_id", F.hash("text").alias("version"), "text", "found", *names)
+    told = gathered.select("doc_id", F.hash("text").alias("version"), "text", "found", *carried)
     direct = (
         told.mapInArrow(_segments, SEGMENTS)
         .repartition("shard")
@@ -418,7 +419,8 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
         T.StructField("n_removed", T.LongType()),
         T.StructField("kept_text", T.StringType()),
     ])
-    made = joined.select("text", "version", "found", "_repeats", *names).mapInArrow(_removal, schema)
+    kept = [F.col(alias if alias in carried else "text").alias(alias) for alias in names]
+    made = joined.select("text", "version", "found", "_repeats", *kept).mapInArrow(_removal, schema)
     return made.select(
         *[F.col(alias).alias(name) for name, alias in zip(keep, names)], "n_words", "n_removed", "kept_text"
     )
