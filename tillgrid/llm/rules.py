@@ -1,8 +1,8 @@
 """Quality rules under weak supervision.
 
-Rules vote good or bad on a document, or abstain. How far each can be trusted is
-estimated from the votes of all documents by expectation-maximisation, without
-labels, and the posterior probability that a document is good decides.
+Rules vote good or bad on a document, or abstain. How often each votes good on good
+and on bad documents is estimated from the votes on all documents by
+expectation-maximisation, without labels, and the posterior probability that a document is good decides.
 """
 
 from __future__ import annotations
@@ -20,8 +20,10 @@ WINDOW = 8
 #: Words of a block in which different words are counted: their share falls with
 #: the length of clean prose, so it is taken at one length.
 BLOCK = 256
+#: A letter of any script, or a mark on one.
+LETTER = r"[\p{L}\p{M}]"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MEASURES = [*COUNTS, "n_lines", "n_chars_all", "n_capitals", "n_bangs", "n_distinct"]
+MEASURES = [*COUNTS, "n_lines", "n_chars_all", "n_capitals", "n_bangs", "n_distinct", "n_letters", "n_letter_words"]
 
 
 def _repeat_words(words: Column) -> Column:
@@ -69,7 +71,8 @@ def measured(docs: DataFrame) -> DataFrame:
 
     A null text has none of anything. Columns with the names of measures are
     replaced. The first five are ``COUNTS``; ``n_lines`` counts lines with a word,
-    ``n_distinct`` the different words of each block of ``BLOCK``.
+    ``n_distinct`` the different words of each block of ``BLOCK``, ``n_letter_words`` the
+    words with a letter.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     names = [name for name in docs.columns if name not in MEASURES]
@@ -90,6 +93,8 @@ def measured(docs: DataFrame) -> DataFrame:
         "n_capitals": F.regexp_count(text, F.lit("[A-Z]")),
         "n_bangs": F.regexp_count(text, F.lit("!")),
         "n_distinct": _distinct_words(words),
+        "n_letters": F.regexp_count(text, F.lit(LETTER)),
+        "n_letter_words": F.size(F.filter(words, lambda word: word.rlike(LETTER))),
     }
     return split.select(*names, *[value.cast("long").alias(name) for name, value in values.items()])
 
@@ -97,98 +102,112 @@ def measured(docs: DataFrame) -> DataFrame:
 def votes() -> dict[str, Column]:
     """Vote of each rule from the measures: true for good, false for bad, else null.
 
-    Each rule on a defect votes bad or abstains: that a text lacks one defect says
-    little about the others. One rule votes good, on ordinary prose.
+    Each rule looks at one measure: it votes good where clean prose lies, bad where it
+    hardly ever does, and abstains between and on texts without words. Rules overlap:
+    symbols in a text lower its share of letters or of words with a letter, and repeated lines repeat windows.
     """
-    words = F.col("n_words")
+    words, length = F.col("n_words"), F.col("word_chars")
 
-    def bad(defect: Column) -> Column:
-        return F.when((words > 0) & defect, False)
+    def rule(good: Column, bad: Column) -> Column:
+        return F.when(words > 0, F.when(good, True).when(bad, False))
+
+    def at_most(measure: str, good: float, bad: float, of: Column = words) -> Column:
+        return rule(F.col(measure) <= good * of, F.col(measure) > bad * of)
+
+    def at_least(measure: str, good: float, bad: float, of: Column = words) -> Column:
+        return rule(F.col(measure) >= good * of, F.col(measure) < bad * of)
 
-    prose = (
-        F.col("word_chars").between(4 * words, 7 * words)
-        & (F.col("n_symbols") <= 0.01 * words)
-        & (F.col("n_capitals") < 0.1 * F.col("n_chars_all"))
-        & (F.col("n_bangs") <= 0.02 * words)
-        & (F.col("n_distinct") > 0.45 * words)
-    )
     return {
-        "prose": F.when((words > 0) & prose, True),
-        "symbols": bad(F.col("n_symbols") > 0.1 * words),
-        "lines": bad(F.col("n_dup_lines") > 0.4 * F.col("n_lines")),
-        "windows": bad(F.col("n_repeat_words") > 0.3 * words),
-        "short_words": bad(F.col("word_chars") < 3 * words),
-        "long_words": bad(F.col("word_chars") > 9 * words),
-        "capitals": bad(F.col("n_capitals") > 0.3 * F.col("n_chars_all")),
-        "bangs": bad(F.col("n_bangs") > 0.2 * words),
-        "variety": bad(F.col("n_distinct") < 0.4 * words),
+        "symbols": at_most("n_symbols", 0.02, 0.1),
+        "lines": at_most("n_dup_lines", 0.1, 0.3, F.col("n_lines")),
+        "windows": at_most("n_repeat_words", 0.1, 0.2),
+        "word_length": rule(length.between(4 * words, 7 * words), (length < 3 * words) | (length > 9 * words)),
+        "capitals": at_most("n_capitals", 0.1, 0.3, F.col("n_chars_all")),
+        "bangs": at_most("n_bangs", 0.02, 0.2),
+        "variety": at_least("n_distinct", 0.5, 0.4),
+        "letters": at_least("n_letters", 0.85, 0.7, length),
+        "letter_words": at_least("n_letter_words", 0.9, 0.8),
     }
 
 
+#: Where the estimates start, and what they are drawn to: how often a rule votes good on a
+#: good and on a bad document (most bad ones have one defect of many), and the share of good ones.
+ON_GOOD, ON_BAD, BALANCE = 0.98, 0.8, 0.5
+#: Votes that stand for the start: so many, and a share of those cast.
+LEAST, DRAW = 100, 0.25
+
+
 @dataclass(frozen=True)
 class RuleModel:
-    """How often the votes of each rule are right.
+    """How often each rule, if it votes, votes good on good and on bad documents.
 
-    Good and bad are taken as equally likely before the votes: a balance learned
-    from mostly good documents would outvote a defect that only one rule sees.
+    A rule that is right on bad documents (it sees their defect) outweighs several that
+    find nothing, and one whose bad votes fall on documents that all others find good is outvoted by them.
     """
 
-    rules: dict[str, float]
+    on_good: dict[str, float]
+    on_bad: dict[str, float]
+    balance: float
+
+    def weights(self, name: str) -> tuple[float, float]:
+        """What a good and a bad vote of a rule add to the log-odds of good."""
+        good, bad = self.on_good[name], self.on_bad[name]
+        return math.log(good / bad), math.log((1 - good) / (1 - bad))
 
     def posterior(self) -> Column:
         """Probability of good given the votes of :func:`votes`; silence says nothing."""
-        odds = F.lit(0.0)
+        odds = F.lit(math.log(self.balance / (1 - self.balance)))
         for name, vote in votes().items():
-            if name in self.rules:
-                weight = _log_odds(self.rules[name])
-                odds = odds + F.when(vote.isNull(), 0.0).when(vote, weight).otherwise(-weight)
+            good, bad = self.weights(name)
+            odds = odds + F.when(vote, good).when(~vote, bad).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
     def probability(self, names: list[str], pattern: tuple) -> float:
         """The same for one pattern of votes."""
-        odds = 0.0
+        odds = math.log(self.balance / (1 - self.balance))
         for name, vote in zip(names, pattern):
             if vote is not None:
-                odds += _log_odds(self.rules[name]) * (1 if vote else -1)
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+                odds += self.weights(name)[0 if vote else 1]
+        return 1 / (1 + math.exp(-odds))
 
 
-def _drawn(right: float, cast: int) -> float:
-    more = 1 + cast / 2
-    return (right + START * more) / (cast + more)
+def _drawn(found: float, of: float, start: float) -> float:
+    more = LEAST + DRAW * of
+    return (found + start * more) / (of + more)
 
 
-def _log_odds(p: float) -> float:
-    return math.log(p / (1 - p))
-
-
-#: Where the estimate starts, and what it is drawn to: a rule is right nine times in ten.
-START = 0.9
-
-
-def accuracies(patterns: Iterable[tuple[tuple, int]], names: list[str], rounds: int = 50) -> RuleModel:
+def estimated(patterns: Iterable[tuple[tuple, int]], names: list[str], rounds: int = 100) -> RuleModel:
     """Expectation-maximisation over vote patterns (votes, documents).
 
-    Every estimate includes half as many votes again, and one, that are right as
-    often as ``START`` says. Where a rule votes alone its votes say nothing about
-    its accuracy, which then stays at the start instead of drifting.
+    Each estimate includes a quarter as many votes again, and a hundred, that go as the
+    start says. So a few documents change little, no rate reaches 0 or 1, and beyond some
+    thousand documents a table and many copies of it give the same.
     """
     patterns = list(patterns)
-    model = RuleModel({name: START for name in names})
+    model = RuleModel(dict.fromkeys(names, ON_GOOD), dict.fromkeys(names, ON_BAD), BALANCE)
     for _ in range(rounds):
-        right, cast = dict.fromkeys(names, 0.0), dict.fromkeys(names, 0)
+        cast = {name: [0.0, 0.0] for name in names}
+        found = {name: [0.0, 0.0] for name in names}
+        good_ones = every = 0.0
         for pattern, n in patterns:
             p = model.probability(names, pattern)
+            good_ones += n * p
+            every += n
             for name, vote in zip(names, pattern):
                 if vote is not None:
-                    right[name] += n * (p if vote else 1 - p)
-                    cast[name] += n
-        model = RuleModel({name: _drawn(right[name], cast[name]) for name in names})
+                    for kind, share in enumerate((p, 1 - p)):
+                        cast[name][kind] += n * share
+                        found[name][kind] += n * share * vote
+        model = RuleModel(
+            {name: _drawn(found[name][0], cast[name][0], ON_GOOD) for name in names},
+            {name: _drawn(found[name][1], cast[name][1], ON_BAD) for name in names},
+            _drawn(good_ones, every, BALANCE),
+        )
     return model
 
 
 def fit_rules(measures: DataFrame) -> RuleModel:
-    """Accuracies from all rows of a table of measures.
+    """Model from the votes on all rows of a table of measures.
 
     The driver gets one row per pattern of votes, at most 3 to the power of the
     number of rules.
@@ -196,7 +215,7 @@ def fit_rules(measures: DataFrame) -> RuleModel:
     rules = votes()
     rows = measures.select(*[vote.alias(name) for name, vote in rules.items()]).groupBy(*rules).count().collect()
     counted = sorted(((tuple(row)[:-1], row["count"]) for row in rows), key=str)
-    return accuracies(counted, list(rules))
+    return estimated(counted, list(rules))
 
 
 def judged(measures: DataFrame, model: RuleModel, least: float = 0.5) -> DataFrame:
