@@ -326,10 +326,78 @@ def test_index_finds_all_rows():
 # Mixing
 
 
-def test_targets():
-    assert mixing._capped([100, 100, 100], [5, 2, 1], 450, 2) == pytest.approx([200, 500 / 3, 250 / 3])
-    assert mixing._capped([0, 10], [5, 2], 15, 2) == pytest.approx([0, 15])
-    assert mixing._capped([], [], 0, 2) == []
+def targets_of(sizes, weights, share=1.5, most_times=2.0):
+    """Targets by stopping sources round by round, from sizes by source."""
+    names = sorted((name for name in sizes if name is not None)) + [None] * (None in sizes)
+    own = {name: weights[i % len(weights)] for i, name in enumerate(names)}
+    targets, rest = {}, share * sum(sizes.values())
+    while len(targets) < len(names):
+        left = [name for name in names if name not in targets]
+        weight = sum(own[name] for name in left)
+        above = [name for name in left if rest * own[name] / weight > most_times * sizes[name]]
+        targets.update({name: most_times * sizes[name] for name in above})
+        if not above:
+            targets.update({name: rest * own[name] / weight for name in left})
+        rest -= sum(most_times * sizes[name] for name in above)
+    return targets
+
+
+def test_targets(spark):
+    draw = random.Random(2)
+    many = {f"s{i}é😀"[: draw.randint(2, 7)] + str(i): int(10 ** draw.uniform(0, 6)) for i in range(700)}
+    for sizes, weights in (
+        ({"a": 100, "b": 100, "c": 100}, (5, 2, 1)), ({"a": 0, "b": 10}, (5, 2)), ({"a": 0, None: 0}, (5, 2, 1)),
+        ({"a": 5, None: 7, "B": 1000, "": 3}, (5, 2, 1)), ({}, (5, 2, 1)), ({**many, None: 10**6}, (5, 2, 1)),
+    ):
+        # Each source in two rows, and one without a size.
+        rows = [(name, part) for name, size in sizes.items() for part in (size // 3, size - size // 3, None)]
+        table = spark.createDataFrame(rows, "source string, size long").repartition(3)
+        found = {row["source"]: (row["source_size"], row["target"]) for row in mixing.source_targets(table, weights).collect()}
+        expected = targets_of(sizes, weights)
+        assert found.keys() == sizes.keys()
+        for name, (size, target) in found.items():
+            assert size == sizes[name] and target == pytest.approx(expected[name])
+
+
+@pytest.mark.parametrize("sent", [mixing.MOST_SENT, 1])
+def test_thresholds_by_brute_force(spark, monkeypatch, sent):
+    """Rows in the order of their hash up to the border nearest to the budget, also if sources are joined by salts."""
+    monkeypatch.setattr(mixing, "MOST_SENT", sent)
+    draw = random.Random(8)
+    sources = ["hot", "hot", "hot", "b", "c", None]
+    rows = [(i, draw.choice(sources), draw.choice([0, 1, 5, 40])) for i in range(1500)]
+    rows += [(2000, "one", 9), (2000, "one", 9), (2001, "none", 0), (2002, "none", 0)]
+    # A small source with a heavy weight, taken twice whole, with rows of no words.
+    rows += [(3000 + i, "a", i % 2) for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    hashed = table.withColumn("h", mixing.row_hash(F.col("doc_id")))
+    given = [tuple(row) for row in hashed.select("source", "size", "h", "doc_id").collect()]
+    sizes = Counter()
+    for source, size, _, _ in given:
+        sizes[source] += size
+    targets, expected = targets_of(sizes, mixing.WEIGHTS), {}
+    for source in sizes:
+        times = int(targets[source] // sizes[source]) if sizes[source] else 0
+        budget, taken = targets[source] - times * sizes[source], set()
+        by_hash = Counter()
+        for own, size, h, _ in given:
+            if own == source:
+                by_hash[h] += size
+        left = budget
+        for h in sorted(by_hash) if budget > 0 else []:
+            if by_hash[h] > left:
+                if by_hash[h] - left < left:
+                    taken.add(h)
+                break
+            taken.add(h)
+            left -= by_hash[h]
+        for own, size, h, doc_id in given:
+            if own == source:
+                expected[doc_id] = times + (h in taken)
+    placed = mixing.taken_times(table, "doc_id", mixing.mix_plan(table))
+    found = {row["doc_id"]: row["copies"] for row in placed.collect()}
+    assert placed.count() == len(rows) and found == expected
+    assert max(found.values()) == 2 and {found[i] for i in range(3000, 3040)} == {2}
 
 
 def test_mixed(docs, odd, empty):

@@ -13,32 +13,25 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST_TIMES = 1.5, 2.0
 #: Levels of the histogram and bits of the hash each of them looks at.
 LEVELS, BITS = 4, 12
+#: Sources whose plan goes to every task, and parts that rows of more sources are dealt to.
+MOST_SENT, SALTS = 50_000, 32
 
 
 def word_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
-def _capped(sizes: Sequence[float], weights: Sequence[float], total: float, most_times: float) -> list[float]:
-    """Shares of ``total`` by weight, none above ``most_times`` its size.
+def _numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``rank`` from 0, by the code points of ``source``, null last.
 
-    What a stopped target leaves goes to the others by weight, until none is
-    above; what nobody can take is left out.
+    Sorted in ranges, which are numbered apart; the number of rows of the ranges before is added.
     """
-    targets, open_ = [0.0] * len(sizes), list(range(len(sizes)))
-    rest = total
-    while open_:
-        weight = sum(weights[i] for i in open_)
-        above = [i for i in open_ if rest * weights[i] / weight > most_times * sizes[i]]
-        if not above:
-            for i in open_:
-                targets[i] = rest * weights[i] / weight
-            break
-        for i in above:
-            targets[i] = most_times * sizes[i]
-            open_.remove(i)
-            rest -= targets[i]
-    return targets
+    placed = saved(sources.sort(F.col("source").asc_nulls_last()).withColumn("at", F.monotonically_increasing_id()))
+    part, within = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    parts = placed.groupBy(part.alias("part")).count()
+    before = parts.withColumn("before", F.sum("count").over(Window.orderBy("part")) - F.col("count"))
+    joined = placed.withColumn("part", part).join(before.drop("count"), "part")
+    return joined.withColumn("rank", F.col("before") + within).drop("at", "part", "before")
 
 
 def source_targets(
@@ -47,17 +40,43 @@ def source_targets(
     """(``source``, ``source_size``, ``target``) from a table with ``source`` and ``size``.
 
     Sources take the weights in turn, in the order of their code points, null
-    last. The driver gets one row per source; a catalogue of sources is small
-    next to the documents, each of which names one.
+    last. A share by weight stops at ``most_times`` its source, and what is left of it goes to the
+    others by weight; what nobody can take is left out. The share of one unit of weight only rises from
+    round to round, so a round asks for two sums over the sources: what has stopped, and the
+    weight of the rest. The driver holds these sums and no list of sources.
+    """
+    sums = sizes.groupBy("source").agg(F.coalesce(F.sum("size"), F.lit(0)).cast("long").alias("source_size"))
+    own = F.get(F.array(*[F.lit(float(weight)) for weight in weights]), F.pmod("rank", F.lit(len(weights))).cast("int"))
+    sources = saved(_numbered(sums).select("source", "source_size", own.alias("weight")))
+    every, weight = sources.agg(F.sum("source_size"), F.sum("weight")).first()
+    rest, stopped = share * (every or 0), 0
+    while True:
+        # No weight is left once all have stopped.
+        offer = F.lit(rest) * F.col("weight") / F.lit(weight) if weight else F.lit(float("inf"))
+        above = offer > most_times * F.col("source_size")
+        n, size, weight_left = sources.agg(
+            F.count_if(above), F.sum(F.when(above, F.col("source_size"))), F.sum(F.when(~above, F.col("weight")))
+        ).first()
+        if n == stopped:
+            break
+        rest, weight, stopped = share * every - most_times * size, weight_left, n
+    target = F.when(above, most_times * F.col("source_size")).otherwise(offer)
+    return sources.select("source", "source_size", target.alias("target"))
+
+
+def _with_source(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined to a table of one row per source by ``source``, null like any other.
+
+    Up to ``MOST_SENT`` sources go to every task. More are repeated once per salt, by which the rows
+    of a source are dealt, as one source may hold a third of all rows.
     """
-    spark = sizes.sparkSession
-    rows = sizes.groupBy("source").agg(F.sum("size").alias("size")).collect()
-    rows.sort(key=lambda row: (row["source"] is None, row["source"] or ""))
-    total = share * sum(row["size"] for row in rows)
-    own = [weights[i % len(weights)] for i in range(len(rows))]
-    targets = _capped([row["size"] for row in rows], own, total, most_times)
-    made = [(row["source"], row["size"], target) for row, target in zip(rows, targets)]
-    return spark.createDataFrame(made, "source string, source_size long, target double")
+    table = table.withColumnRenamed("source", "_source")
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    if table.count() <= MOST_SENT:
+        return rows.join(F.broadcast(table), same, how).drop("_source")
+    table = table.withColumn("_salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)).cast("int"))
+    return dealt.join(table, same & (F.col("_salt") == F.col("_salt_of")), how).drop("_source", "_salt", "_salt_of")
 
 
 def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
@@ -69,7 +88,8 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     and hash bucket, finds the bucket in which the budget ends, and only its rows
     go to the next level with finer buckets. The threshold ends at whichever
     border of the last bucket is nearer to the budget; that bucket holds rows of
-    one hash, or one in 2^48 of the source. Null and other sources alike.
+    one hash, or one in 2^48 of the source. A source without a rest of the budget has the threshold 0.
+    Null and other sources alike.
     """
     state = targets.select(
         "source",
@@ -79,7 +99,7 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     ).select(
         "source", "times", (F.col("target") - F.col("times") * F.col("source_size")).alias("budget"),
         F.lit(0).cast("long").alias("start"),
-    )
+    ).withColumn("spent", F.col("budget") <= 0)
     inside, span = rows, LEVELS * BITS
     for _ in range(LEVELS):
         span -= BITS
@@ -98,6 +118,7 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
             .select(
                 "s.source",
                 "s.times",
+                "s.spent",
                 F.when(F.col("p.edge").isNull(), F.col("s.budget")).otherwise(
                     F.col("s.budget") - (F.col("p.edge.until") - F.col("p.edge.size"))
                 ).alias("budget"),
@@ -106,17 +127,13 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
             )
         )
         edges = state.where("edge_size is not null").select("source", F.shiftright(F.col("start"), span).alias("edge"))
-        inside = (
-            inside.alias("i")
-            .join(F.broadcast(edges).alias("b"), F.col("i.source").eqNullSafe(F.col("b.source"))
-                  & (F.shiftright(F.col("i.h"), span) == F.col("b.edge")))
-            .select("i.source", "i.size", "i.h")
-        )
+        inside = _with_source(inside, edges).where(F.shiftright(F.col("h"), span) == F.col("edge")).drop("edge")
     up = (F.col("edge_size") - F.col("budget")) < F.col("budget")
     return state.select(
         "source",
         "times",
-        F.when(F.col("edge_size").isNull() & (F.col("budget") > 0), F.lit(1 << (LEVELS * BITS)))
+        F.when(F.col("spent"), 0)
+        .when(F.col("edge_size").isNull() & (F.col("budget") > 0), F.lit(1 << (LEVELS * BITS)))
         .when(up, F.col("start") + 1)
         .otherwise(F.col("start"))
         .alias("threshold"),
@@ -131,12 +148,11 @@ def row_hash(key: Column) -> Column:
 def taken_times(docs: DataFrame, key: str, plan: DataFrame) -> DataFrame:
     """``docs`` with the columns of ``plan`` and ``copies``, how often the mix takes the row.
 
-    ``plan`` has one row per source, so it is broadcast.
+    ``plan`` has one row per source. ``docs`` must have no column ``h``.
     """
-    plan = F.broadcast(plan.withColumnRenamed("source", "_source"))
-    joined = docs.join(plan, docs["source"].eqNullSafe(F.col("_source")), "left").drop("_source")
-    more = (row_hash(F.col(key)) < F.col("threshold")).cast("long")
-    return joined.withColumn("copies", F.col("times") + more)
+    joined = _with_source(docs.withColumn("h", row_hash(F.col(key))), plan, "left")
+    more = (F.col("h") < F.col("threshold")).cast("long")
+    return joined.withColumn("copies", F.col("times") + more).drop("h")
 
 
 def mix_plan(sizes: DataFrame, key: str = "doc_id") -> DataFrame:
