@@ -126,21 +126,21 @@ def test_classifier_without_rows(spark):
 # Language models
 
 
-def chances_of(counts, order, uniform):
-    """Chance of each n-gram from its counts, by the definition."""
+def chances_of(counts, order, uniform, share=1.0):
+    """Chance of each n-gram from a share of its counts, by the definition."""
     ngrams = defaultdict(int)
     for gram, n in counts.items():
         for k in range(order):
             ngrams[gram[order - k - 1:]] += n
     after = defaultdict(lambda: [0, 0])
     for gram, n in ngrams.items():
-        after[gram[:-1]][0] += n
-        after[gram[:-1]][1] += n > 0
+        after[gram[:-1]][0] += n * share
+        after[gram[:-1]][1] += 1 - (1 - share) ** n if n else 0
 
     def chance(gram):
         shorter = chance(gram[1:]) if len(gram) > 1 else uniform
         n, kinds = after[gram[:-1]]
-        return (ngrams[gram] + kinds * shorter) / (n + kinds) if n else shorter
+        return (ngrams[gram] * share + kinds * shorter) / (n + kinds) if n else shorter
 
     return {gram: chance(gram) for gram in counts}
 
@@ -170,18 +170,41 @@ def test_witten_bell(spark):
 def test_entropy_differences(spark, monkeypatch, sent, part):
     """Sent and joined models; texts whole and in parts."""
     monkeypatch.setattr(lm_scores, "PART", part)
-    rows = [(i, text, i in (0, 1, 4), i in (1, 5)) for i, text in enumerate(TEXTS)]
-    members = spark.createDataFrame(rows, "doc_id long, text string, target boolean, background boolean")
-    scored = lm_scores.scored(members.select("doc_id", "text"), lm_scores.losses(members), sent).collect()
+    rows = [(i, text, i in (0, 1, 4), True) for i, text in enumerate(TEXTS)]
+    docs = spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(row[0], int(row[2])) for row in rows], "doc_id long, quality int")
+    members, share = lm_scores.with_membership(docs, labels)
+    assert share == sum(len(row[1]) for row in rows if row[2]) / sum(len(row[1] or "") for row in rows)
+    scored = lm_scores.scored(docs, lm_scores.losses(members, share), sent).collect()
+    assert len(scored) == len(rows)
     every = set(gram_counts(TEXTS, 5))
     uniform = 1 / len({gram[-1] for gram in every})
     for k, name in ((2, "target"), (3, "background")):
         counts = gram_counts([row[1] for row in rows if row[k]], 5)
-        chance = chances_of({gram: counts[gram] for gram in every}, 5, uniform)
+        chance = chances_of({gram: counts[gram] for gram in every}, 5, uniform, share if name == "background" else 1.0)
         for row in scored:
             own = gram_counts([TEXTS[row["doc_id"]]], 5)
             assert row["n_tokens"] == sum(own.values())
-            assert row[f"{name}_sum"] == pytest.approx(-sum(n * math.log(chance[gram]) for gram, n in own.items()))
+            # Expected numbers of different characters are rounded to one in 2^20.
+            expected = -sum(n * math.log(chance[gram]) for gram, n in own.items())
+            assert row[f"{name}_sum"] == pytest.approx(expected, rel=1e-5)
+
+
+def test_background_is_all_documents(spark):
+    """Other documents tell in the scores though labels stay as they are; all in the target leave no difference."""
+    rows = [(0, "abab abab"), (1, "cdcd cdcd cd"), (2, "efef efe")]
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    before = {row["doc_id"]: row["score"] for row in lm_scores.entropy_differences(
+        spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
+    grown = spark.createDataFrame(rows + [(i, "efef efe") for i in range(3, 200)], "doc_id long, text string")
+    after = {row["doc_id"]: row["score"] for row in lm_scores.entropy_differences(grown, labels).collect()}
+    assert before[0] < 0 < before[1] and before[0] < 0 < before[2]
+    assert after[2] > before[2] and after[1] < after[2]
+    every = spark.createDataFrame([(0, 1), (1, 1), (2, 1)], "doc_id long, quality int")
+    same = lm_scores.entropy_differences(spark.createDataFrame(rows, "doc_id long, text string"), every).collect()
+    assert [row["score"] for row in same] == [0.0] * 3
+    none = lm_scores.entropy_differences(spark.createDataFrame(rows, "doc_id long, text string"), labels.where("doc_id > 5"))
+    assert [row["score"] for row in none.collect()] == [0.0] * 3
 
 
 def test_entropy_differences_of_odd_rows(spark):

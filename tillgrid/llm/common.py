@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,14 +47,23 @@ def slices(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[
             yield batch.slice(start, end - start)
 
 
-def witten_bell(grams: DataFrame, order: int, names: list[str], uniform: float) -> DataFrame:
+#: Steps in which expected numbers of different characters are counted, so that sums are exact in any order.
+STEPS = 1 << 20
+
+
+def witten_bell(
+    grams: DataFrame, order: int, names: list[str], uniform: float, shares: dict[str, float] | None = None
+) -> DataFrame:
     """Chance of the last character of each ``gram`` after the others, ``p_<name>`` per count column.
 
     Mixes orders 0 to ``order`` - 1: the share of a character after a context is
     mixed with that after the context without its first character, by the number
     of different characters seen after it. A context never seen leaves the shorter
-    one's chance as it is; before any count stands ``uniform``.
+    one's chance as it is; before any count stands ``uniform``. A model in ``shares`` is that of a
+    part of its counts: they are scaled by the share f, and a character counted n times is
+    different with the chance 1 - (1 - f)^n that the part has it.
     """
+    shares = shares or {}
     chances = None
     for k in range(order):
         ends = grams.groupBy(F.substring("gram", order - k, k + 1).alias("e")).agg(
@@ -62,7 +72,7 @@ def witten_bell(grams: DataFrame, order: int, names: list[str], uniform: float)
         ends = ends.withColumn("c", F.substring("e", 1, k))
         contexts = ends.groupBy("c").agg(
             *[F.sum(name).alias(f"{name}_all") for name in names],
-            *[F.sum((F.col(name) > 0).cast("long")).alias(f"{name}_kinds") for name in names],
+            *[_kinds(name, shares.get(name, 1.0)).alias(f"{name}_kinds") for name in names],
         )
         table = ends.join(contexts, "c")
         if chances is None:
@@ -71,12 +81,22 @@ def witten_bell(grams: DataFrame, order: int, names: list[str], uniform: float)
             table = table.withColumn("s", F.substring("e", 2, k)).join(chances.withColumnRenamed("e", "s"), "s")
         mixed = []
         for name in names:
-            kinds, every, p = F.col(f"{name}_kinds"), F.col(f"{name}_all"), F.col(f"p_{name}")
-            mixed.append(F.when(every == 0, p).otherwise((F.col(name) + kinds * p) / (every + kinds)).alias(f"p_{name}"))
+            share = shares.get(name, 1.0)
+            kinds, p = F.col(f"{name}_kinds"), F.col(f"p_{name}")
+            own, every = F.col(name) * share, F.col(f"{name}_all") * share
+            mixed.append(F.when(every == 0, p).otherwise((own + kinds * p) / (every + kinds)).alias(f"p_{name}"))
         chances = table.select("e", *mixed)
     return chances.withColumnRenamed("e", "gram")
 
 
+def _kinds(name: str, share: float) -> Column:
+    """Different characters counted, or expected in a share of the counts."""
+    if share == 1:
+        return F.sum((F.col(name) > 0).cast("long"))
+    chance = -F.expm1(F.col(name) * math.log1p(-share))
+    return F.sum(F.ceil(chance * STEPS)) / STEPS
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each batch of links (a, b) as links of its nodes with the smallest reachable one."""
     for batch in batches:

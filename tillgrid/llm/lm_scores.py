@@ -60,7 +60,7 @@ def _keyed(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, gram, target, background) of what the task reads, added up."""
+    """(key, gram, target, background) of what the task reads, added up; every text is in the background."""
     held: list[pd.DataFrame] = []
     size = 0
 
@@ -71,7 +71,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         target = batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
-        background = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
         for owner, keys, points, at in _keyed(batch.column(0).to_pylist()):
             codes, different = pd.factorize(keys)
             first = np.zeros(len(different), np.int64)
@@ -81,7 +80,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "key": different,
                 "gram": [text[i: i + ORDER] for i in range(0, len(text), ORDER)],
                 "target": np.bincount(codes, target[owner], len(different)).astype(np.int64),
-                "background": np.bincount(codes, background[owner], len(different)).astype(np.int64),
+                "background": np.bincount(codes, minlength=len(different)).astype(np.int64),
             }))
             size += len(different)
             if size >= MOST_HELD:
@@ -94,38 +93,35 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pandas(combined(), preserve_index=False)
 
 
-def with_membership(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and whether a text belongs to ``target`` and to ``background``.
+def with_membership(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+    """``doc_id``, ``text`` and whether a text is in ``target``; and the target's share of all characters.
 
-    The target is the documents of quality 1. The background is a part of all
-    documents, picked by a hash, with about as many characters as the target, so
-    that both models are matched in size.
+    The target is the documents of quality 1.
     """
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("target", F.lit(True))
     members = docs.select("doc_id", "text").join(good, "doc_id", "left")
     members = members.withColumn("target", F.coalesce("target", F.lit(False)))
     sizes = docs.select("doc_id", F.length("text").alias("size")).join(good, "doc_id", "left")
     every, own = sizes.agg(F.sum("size"), F.sum(F.when(F.col("target"), F.col("size")))).first()
-    share = (own or 0) / every if every else 0.0
-    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    return members.withColumn("background", picked)
+    return members, (own or 0) / every if every else 0.0
 
 
-def losses(members: DataFrame) -> DataFrame:
+def losses(members: DataFrame, share: float) -> DataFrame:
     """(``key``, ``target_loss``, ``background_loss``) of every n-gram of all texts.
 
-    Both models share the characters and n-grams of all documents, counted or
-    not, so each n-gram that a text can ask for is there. Counts are added up in
-    the tasks first.
+    The background is counted over all documents. ``share`` matches both models in size: the background's
+    counts stand for what a part of all documents as large as the target has of them.
+    Both models share the characters and n-grams of all documents, so each n-gram that a text can
+    ask for is there. Counts are added up in the tasks first.
     """
     counts = saved(
-        members.select("text", "target", "background")
+        members.select("text", "target")
         .mapInArrow(_count, "key long, gram string, target long, background long")
         .groupBy("key")
         .agg(F.first("gram").alias("gram"), F.sum("target").alias("target"), F.sum("background").alias("background"))
     )
     characters = counts.select(F.substring("gram", ORDER, 1)).distinct().count()
-    chances = witten_bell(counts, ORDER, ["target", "background"], 1 / max(1, characters))
+    chances = witten_bell(counts, ORDER, ["target", "background"], 1 / max(1, characters), {"background": share})
     return saved(
         counts.select("key", "gram").join(chances, "gram").select(
             "key", (-F.log("p_target")).alias("target_loss"), (-F.log("p_background")).alias("background_loss")
@@ -154,12 +150,14 @@ def _score(sent):
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, key, n): how often each text has each n-gram."""
+    """(h1, h2, key, n): how often each text, named by two hashes, has each n-gram."""
     for batch in batches:
-        rows = batch.column(1).to_numpy()
+        h1, h2 = batch.column(1).to_numpy(), batch.column(2).to_numpy()
         for owner, keys, _, _ in _keyed(batch.column(0).to_pylist()):
-            counted = pd.DataFrame({"row": rows[owner], "key": keys}).groupby(["row", "key"], sort=False).size()
-            yield pa.RecordBatch.from_pandas(counted.rename("n").reset_index(), preserve_index=False)
+            counted = pd.DataFrame({"at": owner, "key": keys}).groupby(["at", "key"], sort=False).size().rename("n").reset_index()
+            at = counted.pop("at").to_numpy()
+            made = pd.DataFrame({"h1": h1[at], "h2": h2[at], "key": counted["key"], "n": counted["n"]})
+            yield pa.RecordBatch.from_pandas(made, preserve_index=False)
 
 
 def scored(docs: DataFrame, table: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
@@ -171,13 +169,15 @@ def scored(docs: DataFrame, table: DataFrame, most_sent: int = MOST_SENT) -> Dat
         sent = docs.sparkSession.sparkContext.broadcast(tuple(rows[name].to_numpy() for name in rows.column_names))
         schema = docs.select(*keep, F.lit(0).cast("long").alias(sums[0]), *[F.lit(0.0).alias(name) for name in sums[1:]]).schema
         return docs.select("text", *keep).mapInArrow(_score(sent), schema)
-    numbered = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    bags = numbered.dropDuplicates(["_row"]).select("text", "_row").mapInArrow(_bags, "row long, key long, n long")
-    added = bags.join(table, "key").groupBy("row").agg(
+    # Names come from the text alone: equal texts have equal scores.
+    hashes = {"_h1": F.xxhash64("text"), "_h2": F.xxhash64(F.lit(1), "text")}
+    numbered = docs.withColumns(hashes)
+    bags = numbered.dropDuplicates([*hashes]).select("text", *hashes).mapInArrow(_bags, "h1 long, h2 long, key long, n long")
+    added = bags.join(table, "key").groupBy(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(
         F.sum("n").alias("n_tokens"),
         *[F.sum(F.col("n") * F.col(f"{name}_loss")).alias(f"{name}_sum") for name in ("target", "background")],
     )
-    joined = numbered.drop("text").join(added.withColumnRenamed("row", "_row"), "_row", "left")
+    joined = numbered.drop("text").join(added, [*hashes], "left")
     return joined.select(*keep, *[F.coalesce(name, F.lit(0)).alias(name) for name in sums])
 
 
@@ -187,10 +187,10 @@ def entropy_differences(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Losses are in nats per character of the whole text; the score is the target's
     loss less the background's, so that lower is closer to the target. A null or
     empty text has no tokens, null losses and the score 0. A null ``doc_id`` is never
-    in the target.
+    in the target. Without documents in the target both models are uniform and scores are 0.
     """
-    members = with_membership(docs, labels)
-    sums = scored(docs.select("doc_id", "text"), losses(members))
+    members, share = with_membership(docs, labels)
+    sums = scored(docs.select("doc_id", "text"), losses(members, share))
     means = {
         f"{name}_loss": F.when(F.col("n_tokens") > 0, F.col(f"{name}_sum") / F.col("n_tokens"))
         for name in ("target", "background")
