@@ -310,6 +310,54 @@ def test_without_repeats(docs, odd, empty, monkeypatch, hot):
         assert Counter(map(tuple, found)) == removal(rows)
 
 
+def test_no_anchor_has_more_than_so_many_segments(docs, monkeypatch):
+    monkeypatch.setattr(passages, "MOST_TOGETHER", 2)
+    rows = [(row["doc_id"], row["text"]) for row in docs.select("doc_id", "text").collect()]
+    assert Counter(map(tuple, passages.without_repeats(docs, "doc_id").collect())) == removal(rows)
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 60])
+def test_matches_in_earlier_documents(letters):
+    """Streamed segments against brute force, with copies, overlaps and one word over and over."""
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(letters)
+    base = [str(draw.randrange(letters)) for _ in range(90)]
+    for _ in range(40):
+        segments = []
+        for _ in range(draw.randrange(1, 12)):
+            start = draw.randrange(60)
+            own = base[start: start + draw.randrange(13, 60)]
+            own += [str(draw.randrange(letters)) for _ in range(max(13 - len(own), draw.randrange(14)))]
+            segments += [" ".join(own)] * draw.choice([1, 1, 2])
+        ids = [draw.randrange(6) for _ in segments]
+        first, smallest = {}, {}
+        for segment, i in zip(segments, ids):
+            smallest[segment] = min(smallest.get(segment, i), i)
+            own = segment.split()
+            for k in range(len(own) - 12):
+                window = tuple(own[k: k + 13])
+                first[window] = min(first.get(window, i), i)
+        which, begins, windows, marks = passages._matched(pa.array(segments), np.array(ids, np.int64))
+        for segment, i, own in zip(segments, ids, which):
+            found = marks[int(i > smallest[segment]), begins[own]: begins[own] + windows[own]].tolist()
+            text = segment.split()
+            assert found == [first[tuple(text[k: k + 13])] < i for k in range(len(text) - 12)]
+
+
+def test_least_of_ranges():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    for n in (1, 2, 3, 64, 65, 200):
+        values = draw.integers(0, 50, n)
+        low = draw.integers(0, n, 300)
+        high = low + 1 + (draw.random(300) * (n - low)).astype(int)
+        made = passages.Least(values).between(low, high)
+        assert made.tolist() == [values[a:b].min() for a, b in zip(low, high)]
+
+
 def test_index_finds_all_rows():
     import numpy as np
 

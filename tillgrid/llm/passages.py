@@ -20,8 +20,10 @@ WINDOW, ANCHOR = 13, 4
 #: its inverse of them, and the part of the documents that is asked for hot ones.
 #: A hot anchor also has so many segments in that part.
 HOT_SHARE, HOT_ASKED, LEAST_HOT = 1 / 20_000, 1 / 64, 16
-#: Words of a shard.
-SHARD_WORDS = 150_000
+#: Segments from which on an anchor is hot at any size of the input, so that no shard key has more.
+MOST_TOGETHER = 8_192
+#: Words of a shard, and of a piece that is streamed against its index.
+SHARD_WORDS, PIECE = 150_000, 2 * WINDOW - ANCHOR
 
 
 class FmIndex:
@@ -29,7 +31,8 @@ class FmIndex:
 
     Suffixes are sorted by their first ``depth`` symbols, which is all that
     searches of up to ``depth`` symbols need. The last column of the sorted rows is kept
-    as a wavelet matrix: one bit per symbol and level, with counts per 64 bits.
+    as a wavelet matrix: one bit per symbol and level, with counts per 64 bits. The order
+    of the suffixes is forgotten but for their positions in 32 bits.
     """
 
     def __init__(self, symbols: np.ndarray, depth: int):
@@ -42,8 +45,7 @@ class FmIndex:
             ahead[: n - step] = rank[step:] + 1
             rank = np.unique(rank * (n + 2) + ahead, return_inverse=True)[1].reshape(-1)
             known += step
-        self.rows = np.argsort(rank, kind="stable")
-        self.classes = rank[self.rows]
+        self.rows = np.argsort(rank, kind="stable").astype(np.int32)
         self.levels = max(1, int(symbols.max(initial=0)).bit_length())
         counts = np.bincount(symbols, minlength=(1 << self.levels) + 1)
         self.before = np.concatenate([[0], np.cumsum(counts)])
@@ -75,24 +77,38 @@ class FmIndex:
             at = np.where(bit, self.zeros[level] + ones_at, at - ones_at)
         return at - start
 
-    def first_row(self, patterns: np.ndarray) -> np.ndarray:
-        """First row of each pattern, a row of symbols that stand in the text like that."""
-        low = self.before[patterns[:, -1]]
-        for k in reversed(range(patterns.shape[1] - 1)):
-            low = self.before[patterns[:, k]] + self.occurrences(patterns[:, k], low)
-        return low
+    def extended(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that begin with each symbol and then with what the rows from ``low`` to ``high`` begin with."""
+        before = self.occurrences(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
+        return self.before[symbol] + before[: len(symbol)], self.before[symbol] + before[len(symbol):]
 
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First row and end of the rows that begin with each pattern, a row of symbols."""
         low = np.zeros(len(patterns), np.int64)
         high = np.full(len(patterns), len(self.rows), np.int64)
         for k in reversed(range(patterns.shape[1])):
-            symbol = patterns[:, k]
-            low = self.before[symbol] + self.occurrences(symbol, low)
-            high = self.before[symbol] + self.occurrences(symbol, high)
+            low, high = self.extended(patterns[:, k], low, high)
         return low, high
 
 
+class Least:
+    """Minimum of any range of ``values``, from minima of ranges of 1, 2, 4, ..."""
+
+    def __init__(self, values: np.ndarray):
+        minima = [values]
+        while 1 << len(minima) <= len(values):
+            half = 1 << (len(minima) - 1)
+            minima.append(np.minimum(minima[-1][:-half], minima[-1][half:]))
+        self.flat = np.concatenate(minima)
+        self.starts = np.cumsum([0, *map(len, minima)])[:-1]
+
+    def between(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Minimum of the values from each ``low`` up to ``high``, which is greater."""
+        step = np.frexp((high - low).astype(float))[1] - 1
+        start = self.starts[step]
+        return np.minimum(self.flat[start + low], self.flat[start + high - (1 << step)])
+
+
 def _split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Number of words of each text, and all words in order."""
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
@@ -222,32 +238,85 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*columns[:4], columns[4].cast(pa.string())], names=names)
 
 
-def _firsts(segments: pa.Array, docs: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Number of each segment among the different ones, and for each of those the
-    smallest document with each of its windows, in any segment."""
+def earlier_windows(
+    index: FmIndex, least: Least, text: np.ndarray, start: np.ndarray, end: np.ndarray, own: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of pieces of ``text`` that a row of the index with a value below ``own`` has.
+
+    Gives (piece, first window, last window), windows by their first place in ``text``. A piece
+    goes from ``start`` to ``end`` and has at most ``PIECE`` symbols, to which the index is sorted.
+
+    All pieces are searched abreast. A search goes backward and widens a match as long as it
+    occurs in a lower row. From the end of what is open it gives the longest match that
+    ends there, and a match of ``WINDOW`` or more settles all windows in it. Where that one is too short, the
+    first open window is searched: it fails at a place that no window over it can pass,
+    so the next one starts after that.
+    """
+    lane = np.flatnonzero(end - start >= WINDOW)
+    # Open windows are those from ``first`` to ``last``.
+    first, last = start[lane], end[lane] - WINDOW
+    at, narrow = end[lane] - 1, np.zeros(len(lane), bool)
+    low, high = np.zeros(len(lane), np.int64), np.full(len(lane), len(text))
+    found = []
+    while len(lane):
+        new_low, new_high = index.extended(text[at], low, high)
+        held = new_low < new_high
+        held[held] = least.between(new_low[held], new_high[held]) < own[lane[held]]
+        goes_on = held & (at > first)
+        # The leftmost place of the match, and with it the windows that are settled.
+        reached = np.where(held, at, at + 1)
+        whole = ~goes_on & np.where(narrow, held, reached <= last)
+        found.append((lane[whole], reached[whole], np.where(narrow, first, last)[whole]))
+        ends = ~goes_on
+        first = np.where(ends & narrow, np.where(held, first + 1, at + 1), first)
+        wide = ends & ~narrow
+        last = np.where(wide, np.where(reached <= last, reached - 1, last - 1), last)
+        narrow = np.where(ends, np.where(narrow, ~held, reached > last + 1), narrow)
+        at = np.where(goes_on, at - 1, np.where(narrow, first, last) + WINDOW - 1)
+        low, high = np.where(goes_on, new_low, 0), np.where(goes_on, new_high, len(text))
+        stays = first <= last
+        if not stays.all():
+            lane, first, last, at, narrow, low, high = (x[stays] for x in (lane, first, last, at, narrow, low, high))
+    return tuple(np.concatenate(part) for part in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+
+
+def _matched(segments: pa.Array, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which windows of each row of ``segments`` an earlier document has.
+
+    Gives the number of each row's segment among the different ones, the place of its
+    first window, the number of its windows and, by place, a mark for the first document of the
+    segment and one for its later ones. The index holds different segments once, for
+    their first documents; they are streamed against it for the first and for the second one.
+    """
     coded = segments.dictionary_encode()
     which, different = coded.indices.to_numpy(), coded.dictionary
     first = np.full(len(different), np.iinfo(np.int64).max)
     np.minimum.at(first, which, docs)
+    later = np.full(len(different), np.iinfo(np.int64).max)
+    after = docs > first[which]
+    np.minimum.at(later, which[after], docs[after])
     counts, words = _split(different)
-    symbols = words.dictionary_encode().indices.to_numpy() + 1
+    symbols = words.dictionary_encode().indices.to_numpy().astype(np.int64) + 1
     owner = np.repeat(np.arange(len(counts)), counts)
     # One separator after each segment.
     text = np.zeros(len(symbols) + len(counts), np.int64)
     text[np.arange(len(symbols)) + owner] = symbols
-    owner = np.repeat(np.arange(len(counts)), counts + 1)
-    index = FmIndex(text, WINDOW)
-    borders = np.flatnonzero(np.diff(index.classes, prepend=-1))
-    smallest = np.minimum.reduceat(first[owner[index.rows]], borders)
+    begins = np.cumsum(counts + 1) - counts - 1
+    index = FmIndex(text, PIECE)
+    least = Least(np.repeat(first, counts + 1)[index.rows])
+    # Pieces overlap so that each window is in one of them.
     windows = np.maximum(0, counts - WINDOW + 1)
-    of = np.repeat(np.arange(len(counts)), windows)
-    offset = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = (np.cumsum(counts) - counts)[of] + of + offset
-    made = np.empty(len(at), np.int64)
-    for part in np.array_split(np.arange(len(at)), max(1, len(at) // 20_000)):
-        low = index.first_row(text[at[part][:, None] + np.arange(WINDOW)])
-        made[part] = smallest[index.classes[low]]
-    return which, np.split(made, np.cumsum(windows)[:-1])
+    step = PIECE - WINDOW + 1
+    pieces = -(-windows // step)
+    of = np.repeat(np.arange(len(counts)), pieces)
+    start = begins[of] + step * (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    end = np.minimum(start + PIECE, (begins + counts)[of])
+    marks = []
+    for own, asked in ((first, slice(None)), (later, later[of] != np.iinfo(np.int64).max)):
+        _, a, b = earlier_windows(index, least, text, start[asked], end[asked], own[of[asked]])
+        change = np.bincount(a, minlength=len(text) + 1) - np.bincount(b + 1, minlength=len(text) + 1)
+        marks.append(np.cumsum(change)[:-1] > 0)
+    return which, begins, windows, np.stack(marks)
 
 
 def _by_shard(search):
@@ -286,11 +355,14 @@ def _repeats(table: pa.Table) -> pa.Table:
     ``runs`` has pairs: the first word of such a window, and how many follow each other.
     """
     docs, starts = table["doc_id"].to_numpy(), table["start"].to_numpy()
-    which, firsts = _firsts(table["segment"].chunk(0), docs)
-    sizes = np.array([len(own) for own in firsts])[which]
+    which, begins, windows, marks = _matched(table["segment"].chunk(0), docs)
+    first = np.full(len(begins), np.iinfo(np.int64).max)
+    np.minimum.at(first, which, docs)
+    later = (docs > first[which]).astype(np.int64)
+    sizes = windows[which]
     row = np.repeat(np.arange(len(docs)), sizes)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    earlier = np.concatenate([np.zeros(0, np.int64), *[firsts[own] for own in which.tolist()]]) < docs[row]
+    earlier = marks[later[row], begins[which[row]] + offset]
     row, offset = row[earlier], offset[earlier]
     new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)])[: len(row)])
     length = np.diff(np.concatenate([new, [len(row)]]))
@@ -303,13 +375,6 @@ def _repeats(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": taken["doc_id"], "version": taken["version"], "runs": lists}).combine_chunks()
 
 
-def _first_documents(table: pa.Table) -> pa.Table:
-    """(doc_id, shard): the document that has a window first, and the window's hash."""
-    which, firsts = _firsts(table["segment"].chunk(0), table["doc_id"].to_numpy())
-    first = np.array([int(firsts[own][0]) for own in which.tolist()], np.int64)
-    return pa.table({"doc_id": first, "shard": table["shard"]}).combine_chunks()
-
-
 def _removal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words that stay, from (text, version, found, repeats).
 
@@ -368,8 +433,10 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
 
     Windows go to shards by their anchor; those whose anchor stands in one
     document only can't repeat and stop there. The rest are gathered by document
-    and their words cut out. Each shard is an FM-index that is searched for all its
-    windows. Windows of hot anchors have shards of their own, and equal ones are
+    and their words cut out. Each shard has an FM-index of its different segments, each for its first
+    document. Segments are streamed against it, and what backward search matches in
+    an earlier document over 13 words or more is reported as an interval. Windows of hot
+    anchors have keys of their own, and equal ones are
     merged before they move. All but the first document of such a window repeat
     it, so only that one is told; a passage in a third of all documents moves no
     row for each of them.
@@ -385,8 +452,14 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     meeting = Window.partitionBy("route")
     found = (
         whole.mapInArrow(_anchors(hot_anchors(whole)), ANCHORS)
-        .withColumns({"low": F.min("doc_id").over(meeting), "high": F.max("doc_id").over(meeting)})
+        .withColumns({
+            "low": F.min("doc_id").over(meeting),
+            "high": F.max("doc_id").over(meeting),
+            "together": F.count("*").over(meeting),
+        })
         .where("place < 0 or low < high")
+        .withColumn("place", F.when(F.expr("place >= 0") & (F.col("together") > MOST_TOGETHER), -1 - F.col("place"))
+                    .otherwise(F.col("place")))
     )
     by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("route", "place")).alias("found"))
     # Documents move once: all that follows reads this shuffle again.
@@ -403,10 +476,6 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
         told.mapInArrow(_windows, SEGMENTS)
         .groupBy("shard", "segment")
         .agg(F.min("doc_id").alias("doc_id"))
-        .select("shard", "doc_id", F.lit(0).alias("version"), F.lit(0).alias("start"), "segment")
-        .repartition("shard")
-        .sortWithinPartitions("shard")
-        .mapInArrow(_by_shard(_first_documents), "doc_id long, shard long")
         .select("doc_id", F.struct(
             F.lit(None).cast("int").alias("version"), F.lit(None).cast("array<int>").alias("runs"), "shard"
         ).alias("one"))
