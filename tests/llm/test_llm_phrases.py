@@ -93,6 +93,29 @@ def test_phrases_of_one_hash_come_apart(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(mined(rows, 10, 1000))
 
 
+@pytest.mark.parametrize("look_ahead", [0, 10**6])
+def test_phrases_known_by_chance_hide_no_longer_one(spark, monkeypatch, look_ahead):
+    """The table holds phrases that no pass has looked at; longer ones around them have to be counted."""
+    rows = [("a b c d e f", "en")] * 20 + made_rows(40, 6)
+    every = np.full(1 << (phrases.BITS - 6), ~np.uint64(0))
+    levels = phrases._Chunk("en", [b"a", b"b", b"c", b"d", b".", b"d", b"e", b"f"], 0).levels(3, every, None, False)
+    slots = np.concatenate([phrases._slots(phrases._named(level.hashes, 3)) for level in levels if level.k == 3])
+    assert len(slots) == 3
+    right = phrases._table
+
+    def chance(found):
+        table = right(found)
+        np.bitwise_or.at(table, (slots >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slots & np.uint64(63)))
+        return table
+
+    monkeypatch.setattr(phrases, "_table", chance)
+    monkeypatch.setattr(phrases, "LOOK_AHEAD", look_ahead)
+    wanted = mined(rows, 10, 1000)
+    assert {"a b c d e", "b c d e f"} <= {row[2] for row in wanted}
+    found = phrases.collocations(table(spark, rows), least=10, top=1000, sample=10**9)
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+
+
 def test_without_ids_or_rows(spark):
     rows = made_rows(100, 3)
     docs = table(spark, rows)

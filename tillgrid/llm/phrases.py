@@ -113,23 +113,24 @@ class _Chunk:
         """Phrases by their number of words.
 
         One of two words or more is looked at only if both its parts of a word less are
-        ``known``; it is new if not both are ``done``. With ``ahead`` a new phrase is at
+        ``known``; it is new if not both are ``done``, or if one is itself new: ``done`` holds some
+        phrases by chance that no pass has looked at. With ``ahead`` a new phrase is at
         once known to longer ones. Others are left out if their hash is not ``frequent``, where that is given:
         no longer phrase around them can be.
         """
         ids, size = self.ids, len(self.words)
         own, hashes = ids, _spread(np.full(size, self.lang), self.hashes)
         # The first word of the list is the full stop.
-        valid, fresh = ids != 0, np.zeros(size, bool)
+        valid, new = ids != 0, np.zeros(size, bool)
         counts = np.bincount(ids[self.seen:], minlength=size)
         counts[0] = 0
         yield _Level(1, hashes, counts, np.full(size, done is None), lambda at: [self.words.take(pa.array(at))])
         for k in range(2, longest + 1):
             if known is None:
                 return
-            inside = valid & (_holds(known, hashes, k - 1) | fresh)[own]
+            inside = valid & (_holds(known, hashes, k - 1) | (new & ahead))[own]
             starts = np.flatnonzero(inside[:-1] & inside[1:])
-            before = np.zeros(len(hashes), bool) if done is None else _holds(done, hashes, k - 1)
+            before = np.zeros(len(hashes), bool) if done is None else _holds(done, hashes, k - 1) & ~new
             if frequent is not None:
                 wanted = _holds(frequent, _spread(hashes[own[starts]], self.hashes[ids[starts + k - 1]]), k)
                 starts = starts[wanted | ~(before[own[starts]] & before[own[starts + 1]]) if ahead else wanted]
@@ -143,7 +144,6 @@ class _Chunk:
             yield _Level(
                 k, hashes, counts, new, lambda at: [self.words.take(pa.array(ids[begin[at] + j])) for j in range(k)]
             )
-            fresh = new & ahead
             own, valid = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
             own[starts], valid[starts] = index, True
 
