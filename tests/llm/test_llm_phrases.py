@@ -150,3 +150,40 @@ def test_scores_beyond_64_bits(spark, monkeypatch):
     docs = spark.createDataFrame([("t", "en")], "text string, lang string")
     row = phrases.collocations(docs).first()
     assert tuple(row) == ("en", 1, "a b", many - 1, many, many + 1, 4 * many, 1000 * (many - 1) * 4 * many // (many * (many + 1)))
+
+
+def frequent(spark, rows, least, sample):
+    found = phrases.frequent_phrases(table(spark, rows).select(
+        "text", phrases.F.coalesce("lang", phrases.F.lit("und")).alias("lang"), phrases.F.col("doc_id").alias("row")
+    ), least, sample)
+    return {(lang, tuple(phrase.split(" "))): n for lang, phrase, n in found.select("lang", "phrase", "n").collect() if phrase}
+
+
+def test_few_rows_for_the_words_of_a_hash(spark, monkeypatch):
+    """The last pass counts by words what the sample does not have, not what is frequent."""
+    rows, asked = made_rows(60, 7), []
+    naming = phrases._naming
+    monkeypatch.setattr(phrases, "_naming", lambda *of: asked.append(of[0].value) or naming(*of))
+    counts, _ = counts_of([row for row in rows if row[0]])
+    wanted = {(lang, p): n for lang, own in counts.items() for p, n in own.items() if n >= 10}
+    assert frequent(spark, rows, 10, 1) == wanted
+    assert not asked.pop().any()
+    assert frequent(spark, rows, 10, 10**9) == wanted
+    assert 0 < np.bitwise_count(asked.pop()).sum() <= len(wanted)
+
+
+def test_hash_of_two_phrases_is_counted_by_words(spark, monkeypatch):
+    """A hash whose occurrences weigh no multiple of the phrase told for it goes to the last pass."""
+    rows, right = made_rows(60, 8), phrases._screened
+
+    def screened(texts, lengths, least, known=None, done=None, ahead=False):
+        found = right(texts, lengths, least, known, done, ahead)
+        if 5 not in lengths:
+            return found
+        # As if another phrase of the same hash occurred five times.
+        return found.withColumn("s", phrases.F.expr(f"if(h <> 0 and pmod(h, 16) < 8, s + 5 * ({1 << phrases.UNIT} + 7), s)"))
+
+    monkeypatch.setattr(phrases, "_screened", screened)
+    counts, _ = counts_of([row for row in rows if row[0]])
+    wanted = {(lang, p): n for lang, own in counts.items() for p, n in own.items() if n >= 10}
+    assert frequent(spark, rows, 10, 1) == wanted

@@ -28,6 +28,9 @@ LOOK_AHEAD = 1 / 16
 BITS = 27
 #: Bytes of texts that a task looks at together.
 CHUNK = 2 << 20
+#: An occurrence weighs 2 to the power of ``UNIT`` and, below ``CHECK``, a second hash of its phrase, so that
+#: one sum tells both how many there are and whether they are of one phrase.
+UNIT, CHECK = 24, np.uint64((1 << 16) - 1)
 #: Parts in which the best phrases of a language are looked for before they meet.
 TOP_PARTS = 64
 
@@ -61,7 +64,16 @@ def _holds(table: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
     return (table[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
 
 
-_word_hash = lru_cache(maxsize=200_000)(xxhash.xxh64_intdigest)
+_word_hash = lru_cache(maxsize=200_000)(xxhash.xxh3_128_digest)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """Two hashes of each word, in two rows."""
+    return np.frombuffer(b"".join(map(_word_hash, words)), ">u8").reshape(-1, 2).T.astype(np.uint64)
+
+
+def _weights(checks: np.ndarray) -> np.ndarray:
+    return (np.uint64(1 << UNIT) | (checks & CHECK)).view(np.int64)
 
 
 def _kinds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,10 +88,11 @@ def _kinds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class _Level:
-    """Phrases of ``k`` words of a chunk: hashes, occurrences, which are new, and how to get their words."""
+    """Phrases of ``k`` words of a chunk: two hashes, occurrences, which are new, and how to get their words."""
 
     k: int
     hashes: np.ndarray
+    checks: np.ndarray
     counts: np.ndarray
     new: np.ndarray
     words: Callable[[np.ndarray], list[pa.Array]]
@@ -104,8 +117,8 @@ class _Chunk:
         self.words = coded.dictionary
         self.seen = seen
         self.name = lang
-        self.hashes = np.array([_word_hash(word) for word in self.words.to_pylist()], np.uint64)
-        self.lang = np.uint64(xxhash.xxh64_intdigest(lang))
+        self.hashes, self.checks = _hashes(self.words.to_pylist())
+        self.lang = _hashes([lang.encode()])[:, 0]
 
     def levels(
         self, longest: int, known: np.ndarray | None, done: np.ndarray | None, ahead: bool, frequent: np.ndarray | None = None
@@ -119,12 +132,12 @@ class _Chunk:
         no longer phrase around them can be.
         """
         ids, size = self.ids, len(self.words)
-        own, hashes = ids, _spread(np.full(size, self.lang), self.hashes)
+        own, hashes, checks = ids, _spread(np.full(size, self.lang[0]), self.hashes), _spread(np.full(size, self.lang[1]), self.checks)
         # The first word of the list is the full stop.
         valid, new = ids != 0, np.zeros(size, bool)
         counts = np.bincount(ids[self.seen:], minlength=size)
         counts[0] = 0
-        yield _Level(1, hashes, counts, np.full(size, done is None), lambda at: [self.words.take(pa.array(at))])
+        yield _Level(1, hashes, checks, counts, np.full(size, done is None), lambda at: [self.words.take(pa.array(at))])
         for k in range(2, longest + 1):
             if known is None:
                 return
@@ -139,10 +152,11 @@ class _Chunk:
             kinds, first, index = _kinds(own[starts] * size + ids[starts + k - 1])
             begin = starts[first]
             new = ~(before[own[begin]] & before[own[begin + 1]])
-            hashes = _spread(hashes[kinds // size], self.hashes[kinds % size])
+            shorter, last = kinds // size, kinds % size
+            hashes, checks = _spread(hashes[shorter], self.hashes[last]), _spread(checks[shorter], self.checks[last])
             counts = np.bincount(index[starts + k > self.seen], minlength=len(kinds))
             yield _Level(
-                k, hashes, counts, new, lambda at: [self.words.take(pa.array(ids[begin[at] + j])) for j in range(k)]
+                k, hashes, checks, counts, new, lambda at: [self.words.take(pa.array(ids[begin[at] + j])) for j in range(k)]
             )
             own, valid = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
             own[starts], valid[starts] = index, True
@@ -196,31 +210,55 @@ def _value(table: Broadcast | None) -> np.ndarray | None:
 
 
 def _screening(lengths: set[int], known: Broadcast | None, done: Broadcast | None, ahead: bool):
-    """(h, n) of new phrases by their hash; 0 stands for all words."""
+    """(h, s) of new phrases by their hash, ``s`` the weight of their occurrences; 0 stands for all words, by their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            names, counts = [np.zeros(1, np.uint64)], [np.array([np.count_nonzero(chunk.ids[chunk.seen:])])]
+            names, sums = [np.zeros(1, np.uint64)], [np.array([np.count_nonzero(chunk.ids[chunk.seen:])])]
             for level in chunk.levels(max(lengths), _value(known), _value(done), ahead):
                 if level.k in lengths:
                     at = level.new & (level.counts > 0)
                     names.append(_named(level.hashes[at], level.k))
-                    counts.append(level.counts[at])
+                    sums.append(level.counts[at] * _weights(level.checks[at]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(counts))], names=["h", "n"]
+                [pa.array(np.concatenate(names).view(np.int64)), pa.array(np.concatenate(sums))], names=["h", "s"]
             )
 
     return run
 
 
-def _naming(frequent: Broadcast, known: Broadcast, done: Broadcast, ahead: bool):
-    """(lang, phrase, n) of phrases with a frequent hash, and ahead also of new ones; the empty phrase stands for all words."""
+def _telling(frequent: Broadcast):
+    """(h, lang, phrase, weight) of phrases with a frequent hash, each hash told once by a task; the weight is that of one occurrence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        untold = frequent.value.copy()
+        for chunk in _chunks(batches):
+            for level in chunk.levels(LONGEST, frequent.value, None, False, frequent.value):
+                wanted = _holds(untold, level.hashes, level.k) & (level.counts > 0)
+                phrases, _ = level.names(wanted)
+                names = _named(level.hashes[wanted], level.k)
+                slots = _slots(names)
+                bits = np.left_shift(np.uint64(1), slots & np.uint64(63))
+                np.bitwise_and.at(untold, (slots >> np.uint64(6)).astype(np.int64), ~bits)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(names.view(np.int64)), pa.array([chunk.name] * len(names), pa.string()),
+                        phrases.cast(pa.string()), pa.array(_weights(level.checks[wanted])),
+                    ],
+                    names=["h", "lang", "phrase", "weight"],
+                )
+
+    return run
+
+
+def _naming(asked: Broadcast, frequent: Broadcast, known: Broadcast, done: Broadcast, ahead: bool):
+    """(lang, phrase, n) of phrases with an ``asked`` hash, and ahead also of new ones; the empty phrase stands for all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
             parts = [(pa.array([b""], pa.binary()), np.array([np.count_nonzero(chunk.ids[chunk.seen:])]))]
             for level in chunk.levels(LONGEST, known.value, done.value, ahead, frequent.value):
-                wanted = _holds(frequent.value, level.hashes, level.k)
+                wanted = _holds(asked.value, level.hashes, level.k)
                 parts.append(level.names(wanted | level.new if ahead else wanted))
             phrases = pa.concat_arrays([phrases for phrases, _ in parts]).cast(pa.string())
             langs = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(phrases), np.int32)), pa.array([chunk.name]))
@@ -233,12 +271,17 @@ def _naming(frequent: Broadcast, known: Broadcast, done: Broadcast, ahead: bool)
 def _screened(
     texts: DataFrame, lengths: set[int], least: int, known: Broadcast | None = None, done: Broadcast | None = None, ahead: bool = False
 ) -> DataFrame:
-    """Hashes of phrases that are found ``least`` times or more, with their occurrences, and 0 for all words.
+    """Hashes of phrases that are found ``least`` times or more, with the weight of their occurrences, and 0 for all words.
 
-    Phrases of one hash count together, so no frequent one is missed.
+    Phrases of one hash count together, so no frequent one is missed. From 256 times on the weight
+    may be that of slightly more.
     """
-    rows = texts.select("text", "lang").mapInArrow(_screening(lengths, known, done, ahead), "h long, n long")
-    return saved(rows.groupBy("h").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("h") == 0)))
+    rows = texts.select("text", "lang").mapInArrow(_screening(lengths, known, done, ahead), "h long, s long")
+    return saved(rows.groupBy("h").agg(F.sum("s").alias("s")).where((_times("s") >= least) | (F.col("h") == 0)))
+
+
+def _times(weight: str) -> Column:
+    return F.shiftright(weight, UNIT)
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +304,7 @@ def _table(found: DataFrame) -> np.ndarray:
 
 
 def _unknown(table: Broadcast):
-    """Rows (h, n) of phrases that the table does not hold and that a longer one may contain."""
+    """Rows (h, s) of phrases that the table does not hold and that a longer one may contain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,8 +329,12 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST, sample: int = SAMPLE)
     then counts them and their border, the phrases whose parts are all proposed,
     by hash. What turns out frequent in the border, words included, may have frequent
     extensions that nobody counted: further passes count the border that they add, until
-    no frequent phrase is in it. The last pass counts by their words what had a frequent
-    hash, so that phrases of one hash come apart.
+    no frequent phrase is in it.
+
+    The words of a frequent hash are looked up in that part of the documents. They have the hash's
+    occurrences if the weight of all of these is a multiple of theirs. The last pass
+    counts by their words the others: what that part does not have, and phrases of one hash, which so
+    come apart.
 
     Where failures have few occurrences the last pass looks ahead instead of another
     one: it counts every extension of theirs whose other parts are known. That
@@ -306,11 +353,12 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST, sample: int = SAMPLE)
 
     known = done = context.broadcast(proposed)
     found = _screened(texts, lengths, least, known)
-    total = found.where("h = 0").agg(F.sum("n")).first()[0] or 0
+    hashed = found
+    total = found.where("h = 0").agg(F.sum("s")).first()[0] or 0
     frequent, ahead = _table(found), False
     while True:
-        failed = saved(found.mapInArrow(_unknown(known), "h long, n long"))
-        occurrences = failed.agg(F.sum("n")).first()[0] or 0
+        failed = saved(found.mapInArrow(_unknown(known), "h long, s long"))
+        occurrences = failed.agg(F.sum(_times("s"))).first()[0] or 0
         if not occurrences:
             break
         ahead = occurrences <= LOOK_AHEAD * total
@@ -318,12 +366,22 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST, sample: int = SAMPLE)
         if ahead:
             break
         found = _screened(texts, lengths - {1}, least, known, done)
-        frequent = frequent | _table(found)
+        frequent, hashed = frequent | _table(found), hashed.union(found)
+
+    every = context.broadcast(frequent)
+    told = asked.select("text", "lang").mapInArrow(_telling(every), "h long, lang string, phrase string, weight long")
+    told = told.groupBy("h").agg(F.min(F.struct("lang", "phrase", "weight")).alias("told"))
+    hashed = hashed.where("h <> 0").groupBy("h").agg(F.sum("s").alias("s")).join(told, "h", "left")
+    hashed = saved(hashed.select("h", "s", "told", (F.col("s") % F.col("told.weight") == 0).alias("alike")))
+    left = context.broadcast(_table(hashed.where("alike is not true")))
     rows = texts.select("text", "lang").mapInArrow(
-        _naming(context.broadcast(frequent), known, done, ahead), "lang string, phrase string, n long"
+        _naming(left, every, known, done, ahead), "lang string, phrase string, n long"
     )
     counted = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return saved(counted.where((F.col("n") >= least) | (F.col("phrase") == "")))
+    alike = hashed.where("alike").select("told.lang", "told.phrase", F.expr("s div told.weight").alias("n"))
+    # The last pass may count some of these, too, where the table holds them by chance.
+    both = counted.union(alike).where((F.col("n") >= least) | (F.col("phrase") == ""))
+    return saved(both.groupBy("lang", "phrase").agg(F.max("n").alias("n")))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, sample: int = SAMPLE) -> DataFrame:
